@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DateLike = dt.date | str
+Month = tuple[int, int]  # year, month
 
 
 def day(value: DateLike) -> Column:
@@ -60,7 +61,10 @@ def yyyymmdd(d: Column) -> Column:
     return F.date_format(d, "yyyyMMdd")
 
 
-def month_range(first: tuple[int, int], last: tuple[int, int]) -> list[tuple[int, int]]:
-    """(year, month) pairs from first to last, both included."""
-    span = range(first[0] * 12 + first[1] - 1, last[0] * 12 + last[1])
-    return [(m // 12, m % 12 + 1) for m in span]
+def in_months(rows: DataFrame, first: Month, last: Month) -> DataFrame:
+    """Every row once per month from first to last, with ``year`` and ``month``."""
+    start, end = (y * 12 + m - 1 for y, m in (first, last))
+    months = rows.withColumn("month_index", F.explode(F.sequence(F.lit(start), F.lit(end))))
+    return months.withColumns({
+        "year": F.expr("CAST(month_index DIV 12 AS INT)"), "month": F.expr("month_index % 12 + 1"),
+    }).drop("month_index")

@@ -12,28 +12,18 @@ from pyspark.sql import functions as F
 
 from gearledger.functions import predicates as P
 from gearledger.functions import ratings as R
-from gearledger.functions.calendar import DateLike, between_days
+from gearledger.functions.calendar import DateLike, Month, between_days, in_months
 from gearledger.functions.money import quotient, round2, total, zero_if_null
 from gearledger.operators.merge import update_columns
 
 MONTH_KEYS = ["year", "month"]
-Month = tuple[int, int]
-
-
-def _months(months: Sequence[Month]) -> Column:
-    return F.array(*[F.struct(F.lit(y).alias("year"), F.lit(m).alias("month")) for y, m in months])
-
-
-def _in_months(rows: DataFrame, months: Sequence[Month]) -> DataFrame:
-    """Every row once per month of the run."""
-    return rows.withColumn("m", F.explode(_months(months))).select("*", "m.year", "m.month").drop("m")
 
 
 # --- roster ------------------------------------------------------------------------------
 
 def bonus_roster(
     users: DataFrame, areas: DataFrame, region_users: DataFrame, region_provinces: DataFrame,
-    months: Sequence[Month],
+    first: Month, last: Month,
 ) -> DataFrame:
     """Field staff with their areas, and region heads with every province of their region."""
     staff = users.where(
@@ -48,7 +38,7 @@ def bonus_roster(
         .withColumn("position", F.lit(R.REGION_HEAD))
         .select(*columns)
     )
-    return _in_months(field.unionByName(heads).distinct(), months).withColumn(
+    return in_months(field.unionByName(heads).distinct(), first, last).withColumn(
         "repeat_shop_factor", R.repeat_shop_factor(F.lit(0.0)))
 
 
@@ -214,7 +204,8 @@ def region_weighted_completion(
 
 def region_bonus_factors(
     region_users: DataFrame, users: DataFrame, region_provinces: DataFrame, targets: DataFrame,
-    active_shops: DataFrame, selfop_totals: DataFrame, weighted: DataFrame, months: Sequence[Month],
+    active_shops: DataFrame, selfop_totals: DataFrame, weighted: DataFrame,
+    first: Month, last: Month,
 ) -> DataFrame:
     """Factors of region heads per province: own figures where they are responsible for the
     province, the weighted figures of the region elsewhere."""
@@ -231,7 +222,7 @@ def region_bonus_factors(
     own_completion = _completion(
         zero_if_null("amount_actual_picc_selfop"), F.col("picc_selfop_trans_target"))
     rows = (
-        _in_months(heads, months)
+        in_months(heads, first, last)
         .join(province_level_targets(targets), keys, "left")
         .join(active_shops, keys, "left")
         .join(selfop_totals, keys, "left")

@@ -56,7 +56,8 @@ def insert_if_absent(
     """Add the rows whose key the target does not hold; existing rows stay as they are."""
     if not unique:
         updates = one_per_key(updates, keys)
-    added = updates.join(target.select(*keys), list(keys), "left_anti")
+    present = target.select(*keys).distinct()  # a key held by very many rows is one row here
+    added = updates.join(present, list(keys), "left_anti")
     return target.unionByName(added.select(*target.columns))
 
 

@@ -9,7 +9,7 @@ from gearledger.functions import predicates as P
 from gearledger.functions.calendar import days_before, same_day_last_year
 from gearledger.functions.money import round2
 from gearledger.functions.text import clean_part_number, pid
-from gearledger.operators.extremes import highest_per_key, lowest_per_key
+from gearledger.operators.extremes import extreme_row, highest_per_key, lowest_per_key
 from gearledger.operators.lookups import lookup
 
 KEYS = ["car_brand", "temp_oe", "quality_type"]
@@ -88,17 +88,20 @@ def price_avg_merge(history: DataFrame, batch: DataFrame) -> DataFrame:
 
 
 def price_history(rows: DataFrame) -> DataFrame:
-    """History table built from price rows: lowest, highest, average and count per key."""
-    low = lowest_per_key(rows, KEYS, "sale_price").select(
-        *KEYS, F.col("part_oe").alias("oe"), F.col("sale_price").alias("min_sale_price"),
-        F.col("province").alias("min_sale_province"), F.col("deliver_time").alias("min_sale_deliver_time"))
-    high = highest_per_key(rows, KEYS, "sale_price").select(
-        *KEYS, F.col("sale_price").alias("max_sale_price"),
-        F.col("province").alias("max_sale_province"), F.col("deliver_time").alias("max_sale_deliver_time"))
-    mean = rows.groupBy(*KEYS).agg(
-        round2(F.sum("sale_price").cast("double") / F.count(F.lit(1))).alias("avg_sale_price"),
+    """History table built from price rows in one aggregation: lowest, highest, average and
+    count per key."""
+    folded = rows.groupBy(*KEYS).agg(
+        extreme_row("sale_price", 1).alias("low"),
+        extreme_row("sale_price", -1).alias("high"),
+        F.sum("sale_price").cast("double").alias("price_sum"),
         F.count(F.lit(1)).alias("sale_times"))
-    return low.join(high, KEYS).join(mean, KEYS)
+    return folded.select(
+        *KEYS, F.col("low.part_oe").alias("oe"),
+        F.col("low.price").alias("min_sale_price"), F.col("low.province").alias("min_sale_province"),
+        F.col("low.deliver_time").alias("min_sale_deliver_time"),
+        F.col("high.price").alias("max_sale_price"), F.col("high.province").alias("max_sale_province"),
+        F.col("high.deliver_time").alias("max_sale_deliver_time"),
+        round2(F.col("price_sum") / F.col("sale_times")).alias("avg_sale_price"), "sale_times")
 
 
 def order_item_enriched(rows: DataFrame, brand_map: DataFrame, list_prices: DataFrame) -> DataFrame:

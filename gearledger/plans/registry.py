@@ -31,7 +31,7 @@ EXCLUDED_SUPPLIER = 50
 PRICE_BATCH_START = "2001-06-01"
 ITEM_TARGET_END = "1999-12-31"
 ITEM_UPDATE_START = "1999-01-01"
-MONTHS = cal.month_range((1995, 1), (2001, 12))
+FIRST_MONTH, LAST_MONTH = (1995, 1), (2001, 12)
 PRICE_PROVINCES = ["nation_1", "nation_2"]
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -248,8 +248,8 @@ def business_calendar(t: Tables) -> DataFrame:
 
 @query
 def clean_part_number_(t: Tables) -> DataFrame:
-    return t.part.select(
-        "p_partkey", V.part_oe().alias("part_oe"), clean_part_number(V.part_oe()).alias("temp_oe"),
+    return V.part_numbers(t).select(
+        "p_partkey", "part_oe", "temp_oe",
         clean_part_number(F.concat("p_name", F.lit("#"), "p_brand", F.lit("~+1,2"))).alias("cleaned_name"))
 
 
@@ -417,7 +417,13 @@ def service_charge_by_manager(t: Tables) -> DataFrame:
 # --- bonus -------------------------------------------------------------------------------
 
 def _roster(t: Tables) -> DataFrame:
-    return bonus.bonus_roster(V.sales_users(t), V.user_areas(t), V.region_users(t), V.region_provinces(t), MONTHS)
+    return bonus.bonus_roster(
+        V.sales_users(t), V.user_areas(t), V.region_users(t), V.region_provinces(t),
+        FIRST_MONTH, LAST_MONTH)
+
+
+def _targets(t: Tables) -> DataFrame:
+    return V.targets(t, FIRST_MONTH, LAST_MONTH)
 
 
 @query
@@ -459,18 +465,18 @@ def bonus_customer_manager(t: Tables) -> DataFrame:
 @query
 def province_completion_factors(t: Tables) -> DataFrame:
     return bonus.province_completion_factors(
-        bonus.province_selfop_totals(V.manager_stats(t)), V.targets(t, MONTHS), shops.active_shops(_shop_years(t)))
+        bonus.province_selfop_totals(V.manager_stats(t)), _targets(t), shops.active_shops(_shop_years(t)))
 
 
 def _region_weighted(t: Tables, selfop: DataFrame, active: DataFrame) -> DataFrame:
     return bonus.region_weighted_completion(
-        V.targets(t, MONTHS), selfop, active, V.region_provinces(t), V.region_users(t))
+        _targets(t), selfop, active, V.region_provinces(t), V.region_users(t))
 
 
 def _region_factors(t: Tables, selfop: DataFrame, active: DataFrame) -> DataFrame:
     return bonus.region_bonus_factors(
-        V.region_users(t), V.sales_users(t), V.region_provinces(t), V.targets(t, MONTHS), active, selfop,
-        _region_weighted(t, selfop, active), MONTHS)
+        V.region_users(t), V.sales_users(t), V.region_provinces(t), _targets(t), active, selfop,
+        _region_weighted(t, selfop, active), FIRST_MONTH, LAST_MONTH)
 
 
 @query
@@ -506,7 +512,7 @@ def bonus_table(t: Tables) -> DataFrame:
         bonus.bonus_customer_manager(roster, bonus.manager_channel_totals(stats)))
     return bonus.apply_factor_updates(
         table,
-        bonus.province_completion_factors(selfop, V.targets(t, MONTHS), active),
+        bonus.province_completion_factors(selfop, _targets(t), active),
         _region_factors(t, selfop, active),
         bonus.manager_repeat_rate(shops.shop_detail(years), V.shop_managers(t)))
 

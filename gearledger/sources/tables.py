@@ -4,6 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Known schemas; a table read with one needs no job to look into its files first.
+SCHEMAS = {
+    "region": "r_regionkey INT, r_name STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, p_retailprice DOUBLE",
+    "orders": """o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE,
+        o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING""",
+    "lineitem": """l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE,
+        l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, l_linestatus STRING,
+        l_shipdate TIMESTAMP_NTZ""",
+    "events": """event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING""",
+}
+
 
 class Tables:
     """Lazy access to the parquet tables of a folder: ``Tables(spark, path).orders``."""
@@ -15,7 +30,12 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        reader = self.spark.read
+        if name in SCHEMAS:
+            reader = reader.schema(SCHEMAS[name])
+        frame = reader.parquet(f"{self.folder}/{name}.parquet")
+        setattr(self, name, frame)
+        return frame
 
 
 def publish(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:

@@ -7,84 +7,68 @@ shuffles it otherwise.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gearledger.functions.money import MONEY
+from gearledger.functions.calendar import Month, in_months
 from gearledger.functions.text import (
-    BRANDED_QUALITY, CIRCULATED_ORIGINAL_QUALITY, ORIGINAL_QUALITY, clean_part_number, pid,
+    BRANDED_QUALITY, CIRCULATED_ORIGINAL_QUALITY, ORIGINAL_QUALITY, clean_part_number,
 )
 from gearledger.operators.extremes import lowest_per_key
 from gearledger.sources.tables import Tables
 
-Month = tuple[int, int]
-
-
-def _flag(condition: Column) -> Column:
-    return F.when(condition, "1").otherwise("0")
-
-
-def _days(d: Column, n: Column) -> Column:
-    return F.date_add(d, n.cast("int"))
-
 
 def _order_dates(orders: DataFrame) -> DataFrame:
     """Payment, delivery and refund day of every order."""
-    k = F.col("o_orderkey")
-    return orders.withColumn("payment_date", F.to_date("o_orderdate")).withColumns({
-        "deliver_date": F.when(F.col("o_orderstatus") != "P", _days(F.col("payment_date"), k % 7)),
-        "refund_date": F.when(
-            (F.col("o_orderstatus") == "F") & (k % 3 == 0),
-            _days(F.col("payment_date"), F.lit(10) + k % 20),
-        ),
-    })
+    return orders.selectExpr("*", "to_date(o_orderdate) AS payment_date").selectExpr(
+        "*",
+        "CASE WHEN o_orderstatus <> 'P' THEN date_add(payment_date, CAST(o_orderkey % 7 AS INT)) END AS deliver_date",
+        """CASE WHEN o_orderstatus = 'F' AND o_orderkey % 3 = 0
+             THEN date_add(payment_date, CAST(10 + o_orderkey % 20 AS INT)) END AS refund_date""",
+    )
 
 
-def _customer_places(t: Tables) -> DataFrame:
-    nation = t.nation.select("n_nationkey", "n_name", "n_regionkey")
-    return nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey")).select(
-        "n_nationkey", F.col("r_name").alias("province"), F.col("n_name").alias("city"))
+def _places(t: Tables) -> DataFrame:
+    return t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey")).selectExpr(
+        "n_nationkey", "r_name AS province", "n_name AS city")
 
 
-def manager_of() -> Column:
-    return F.col("c_nationkey").cast("long") * 4 + F.col("c_custkey") % 4
+MANAGER_ID = "CAST(c_nationkey AS BIGINT) * 4 + c_custkey % 4"
 
 
 def orders(t: Tables) -> DataFrame:
     """Orders with shop, place, manager, flags, amounts and the three event days."""
-    k = F.col("o_orderkey")
-    segment = F.col("c_mktsegment")
     base = (
         _order_dates(t.orders)
         .join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
-        .join(_customer_places(t), F.col("c_nationkey") == F.col("n_nationkey"))
-        .withColumn("order_amount", F.col("o_totalprice").cast(MONEY))
-        .withColumn("purchase_amount", (F.col("order_amount") * F.lit(0.80).cast("decimal(3,2)")).cast(MONEY))
-        .withColumn("oem_amount", F.when(k % 4 == 0, F.col("order_amount")).otherwise(F.lit(0).cast(MONEY)))
+        .join(_places(t), F.col("c_nationkey") == F.col("n_nationkey"))
+        .selectExpr("*", "CAST(o_totalprice AS DECIMAL(11,2)) AS order_amount")
+        .selectExpr(
+            "*",
+            "CAST(order_amount * 0.80 AS DECIMAL(11,2)) AS purchase_amount",
+            "CAST(CASE WHEN o_orderkey % 4 = 0 THEN order_amount ELSE 0 END AS DECIMAL(11,2)) AS oem_amount")
     )
-    refunded = F.col("refund_date").isNotNull()
-    return base.select(
-        k.alias("id"),
-        k.alias("order_id"),
+    return base.selectExpr(
+        "o_orderkey AS id",
+        "o_orderkey AS order_id",
         "province",
         "city",
-        F.col("o_custkey").alias("repair_id"),
-        F.col("c_name").alias("repair_name"),
-        manager_of().alias("manager_id"),
-        F.concat(F.lit("Manager#"), manager_of().cast("string")).alias("manager_name"),
-        _flag(F.col("o_orderpriority") != "5-LOW").alias("is_b2b"),
-        _flag(segment.isin("AUTOMOBILE", "MACHINERY", "BUILDING")).alias("is_picc"),
-        _flag(k % 2 == 0).alias("is_fbj"),
-        F.when(F.col("o_orderpriority") == "1-URGENT", "05").otherwise("01").alias("payment_type"),
-        F.when(k % 3 == 0, "1").when(k % 3 == 1, "0").otherwise("9").alias("vehicle_type"),
-        F.when(F.col("o_orderstatus") == "F", "700").when(F.col("o_orderstatus") == "O", "500")
-        .otherwise("600").alias("order_status"),
+        "o_custkey AS repair_id",
+        "c_name AS repair_name",
+        f"{MANAGER_ID} AS manager_id",
+        f"concat('Manager#', {MANAGER_ID}) AS manager_name",
+        "if(o_orderpriority <> '5-LOW', '1', '0') AS is_b2b",
+        "if(c_mktsegment IN ('AUTOMOBILE', 'MACHINERY', 'BUILDING'), '1', '0') AS is_picc",
+        "if(o_orderkey % 2 = 0, '1', '0') AS is_fbj",
+        "if(o_orderpriority = '1-URGENT', '05', '01') AS payment_type",
+        "CASE o_orderkey % 3 WHEN 0 THEN '1' WHEN 1 THEN '0' ELSE '9' END AS vehicle_type",
+        "CASE o_orderstatus WHEN 'F' THEN '700' WHEN 'O' THEN '500' ELSE '600' END AS order_status",
         "order_amount",
         "purchase_amount",
         "oem_amount",
-        F.when(refunded, F.col("order_amount")).alias("refund_amount"),
-        F.when(refunded, F.col("purchase_amount")).alias("refund_purchase_amount"),
-        F.when(refunded, F.col("oem_amount")).alias("refund_oem_amount"),
+        "if(refund_date IS NOT NULL, order_amount, NULL) AS refund_amount",
+        "if(refund_date IS NOT NULL, purchase_amount, NULL) AS refund_purchase_amount",
+        "if(refund_date IS NOT NULL, oem_amount, NULL) AS refund_oem_amount",
         "deliver_date",
         "refund_date",
         "payment_date",
@@ -99,328 +83,235 @@ def track(t: Tables, with_city: bool = True) -> DataFrame:
     if with_city:
         rows = rows.join(
             t.customer.select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey")
-        ).join(_customer_places(t), F.col("c_nationkey") == F.col("n_nationkey"))
-    out = [
-        F.col("l_orderkey").alias("iorder_id"),
-        F.col("l_orderkey").alias("order_id"),
-        F.to_date("l_shipdate").alias("operate_date"),
+        ).join(_places(t), F.col("c_nationkey") == F.col("n_nationkey"))
+    columns = [
+        "l_orderkey AS iorder_id",
+        "l_orderkey AS order_id",
+        "to_date(l_shipdate) AS operate_date",
         "deliver_date",
-        F.concat(F.lit("0"), (F.col("l_linenumber") % 5).cast("string")).alias("operate_code"),
-        F.col("l_extendedprice").cast(MONEY).alias("amount"),
+        "concat('0', l_linenumber % 5) AS operate_code",
+        "CAST(l_extendedprice AS DECIMAL(11,2)) AS amount",
     ]
-    return rows.select(*out, "city") if with_city else rows.select(*out)
+    return rows.selectExpr(*columns, "city") if with_city else rows.selectExpr(*columns)
 
 
 def settlement(t: Tables) -> DataFrame:
-    parents = t.orders.select("o_orderkey", F.col("o_orderdate").alias("order_receive_time"))
-    fee = F.col("l_extendedprice").cast(MONEY) * F.lit(0.05).cast("decimal(2,2)")
-    return (
-        t.lineitem.where(F.col("l_returnflag") == "R")
-        .join(parents, F.col("l_orderkey") == F.col("o_orderkey"))
-        .select(
-            F.col("l_orderkey").alias("order_id"),
-            F.col("l_suppkey").alias("supplier_id"),
-            F.col("l_shipdate").alias("service_charge_date"),
-            fee.cast("decimal(13,4)").alias("service_charge_amount"),
-            "order_receive_time",
-        )
+    parents = t.orders.selectExpr("o_orderkey", "o_orderdate AS order_receive_time")
+    returned = t.lineitem.where("l_returnflag = 'R'")
+    return returned.join(parents, F.col("l_orderkey") == F.col("o_orderkey")).selectExpr(
+        "l_orderkey AS order_id",
+        "l_suppkey AS supplier_id",
+        "l_shipdate AS service_charge_date",
+        "CAST(CAST(l_extendedprice AS DECIMAL(11,2)) * 0.05 AS DECIMAL(13,4)) AS service_charge_amount",
+        "order_receive_time",
     )
 
 
 def city_map(t: Tables) -> DataFrame:
-    return t.nation.select(
-        F.col("n_name").alias("city_code"),
-        F.concat(F.lit("NATION_"), (F.col("n_nationkey") % 20).cast("string")).alias("business_city_code"),
-        _flag(F.col("n_nationkey") % 9 != 0).alias("status"),
-    )
+    return t.nation.selectExpr(
+        "n_name AS city_code", "concat('NATION_', n_nationkey % 20) AS business_city_code",
+        "if(n_nationkey % 9 <> 0, '1', '0') AS status")
 
 
 def core_users(t: Tables) -> DataFrame:
-    return (
-        t.customer.where(F.col("c_custkey") % 50 != 0)
-        .join(_customer_places(t), F.col("c_nationkey") == F.col("n_nationkey"))
-        .select(
-            F.col("c_custkey").alias("user_id"),
-            F.col("c_name").alias("company_name"),
-            F.col("province").alias("provinceCode"),
-            F.col("city").alias("cityCode"),
-        )
-    )
+    customers = t.customer.where("c_custkey % 50 <> 0")  # shops without a profile
+    return customers.join(_places(t), F.col("c_nationkey") == F.col("n_nationkey")).selectExpr(
+        "c_custkey AS user_id", "c_name AS company_name", "province AS provinceCode", "city AS cityCode")
 
 
 def shop_managers(t: Tables) -> DataFrame:
-    return t.customer.select(F.col("c_custkey").alias("shop_id"), manager_of().alias("manager_id"))
+    return t.customer.selectExpr("c_custkey AS shop_id", f"{MANAGER_ID} AS manager_id")
 
 
 # --- staff -------------------------------------------------------------------------------
 
-def _position(k: Column) -> Column:
-    return (F.when(k % 5 == 0, "00").when(k % 5 == 1, "01").when(k % 5 == 2, "02")
-            .when(k % 5 == 3, "03").otherwise("05"))
+POSITION = "element_at(array('00', '01', '02', '03', '05'), CAST(s_suppkey % 5 AS INT) + 1)"
 
 
 def _suppliers(t: Tables) -> DataFrame:
-    return t.supplier.join(
-        t.nation.select("n_nationkey", "n_regionkey"), F.col("s_nationkey") == F.col("n_nationkey")
-    ).join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
+    places = t.nation.select("n_nationkey", "n_regionkey")
+    return t.supplier.join(places, F.col("s_nationkey") == F.col("n_nationkey")).join(
+        t.region, F.col("n_regionkey") == F.col("r_regionkey"))
 
 
 def sales_users(t: Tables) -> DataFrame:
-    k = F.col("s_suppkey")
-    return t.supplier.select(
-        k.alias("user_id"),
-        F.lower("s_name").alias("fr_username"),
-        F.col("s_name").alias("name"),
-        _position(k).alias("user_position"),
-        _flag(k % 13 != 0).alias("status"),
-        _flag(k % 5 == 0).alias("is_region_leader"),
-        _flag(k % 17 == 0).alias("is_hq"),
+    return t.supplier.selectExpr(
+        "s_suppkey AS user_id",
+        "lower(s_name) AS fr_username",
+        "s_name AS name",
+        f"{POSITION} AS user_position",
+        "if(s_suppkey % 13 <> 0, '1', '0') AS status",
+        "if(s_suppkey % 5 = 0, '1', '0') AS is_region_leader",
+        "if(s_suppkey % 17 = 0, '1', '0') AS is_hq",
     )
 
 
 def user_areas(t: Tables) -> DataFrame:
-    """Every tenth key is a region head who also runs a province."""
-    k = F.col("s_suppkey")
-    return _suppliers(t).where(k % 19 != 0).select(
-        k.alias("user_id"),
-        F.when(k % 10 == 0, "01").otherwise(_position(k)).alias("position"),
-        F.col("r_name").alias("province"),
-        _flag(k % 11 != 0).alias("status"),
+    """Areas of the staff; some have none, and every tenth key is a region head who also runs a
+    province."""
+    return _suppliers(t).where("s_suppkey % 19 <> 0").selectExpr(
+        "s_suppkey AS user_id",
+        f"if(s_suppkey % 10 = 0, '01', {POSITION}) AS position",
+        "r_name AS province",
+        "if(s_suppkey % 11 <> 0, '1', '0') AS status",
     )
 
 
 def region_users(t: Tables) -> DataFrame:
-    k = F.col("s_suppkey")
-    region = (F.col("r_regionkey") % 2 + 1).cast("long")
-    return _suppliers(t).where(k % 5 == 0).select(
-        k.alias("user_id"),
-        F.col("s_name").alias("name"),
-        region.alias("region_id"),
-        F.concat(F.lit("REGION_"), region.cast("string")).alias("region_name"),
-        _flag(k % 4 != 0).alias("status"),
+    return _suppliers(t).where("s_suppkey % 5 = 0").selectExpr(
+        "s_suppkey AS user_id",
+        "s_name AS name",
+        "CAST(r_regionkey % 2 + 1 AS BIGINT) AS region_id",
+        "concat('REGION_', r_regionkey % 2 + 1) AS region_name",
+        "if(s_suppkey % 4 <> 0, '1', '0') AS status",
     )
 
 
 def region_provinces(t: Tables) -> DataFrame:
-    return t.region.select(
-        (F.col("r_regionkey") % 2 + 1).cast("long").alias("region_id"),
-        F.col("r_name").alias("province"),
-        _flag(F.col("r_regionkey") < 2).alias("is_responsible"),
-    )
+    return t.region.selectExpr(
+        "CAST(r_regionkey % 2 + 1 AS BIGINT) AS region_id", "r_name AS province",
+        "if(r_regionkey < 2, '1', '0') AS is_responsible")
 
 
-def _months(months: list[Month]) -> Column:
-    return F.array(*[F.struct(F.lit(y).alias("year"), F.lit(m).alias("month")) for y, m in months])
-
-
-def targets(t: Tables, months: list[Month]) -> DataFrame:
+def targets(t: Tables, first: Month, last: Month) -> DataFrame:
     """Monthly targets, as a province-level row and a city-level row."""
-    k = F.col("r_regionkey")
-    cities = F.array(F.lit("100000"), F.lit("110100"))
-    return (
-        t.region.withColumn("m", F.explode(_months(months)))
-        .withColumn("city", F.explode(cities))
-        .select(
-            F.col("m.year").alias("year"),
-            F.col("m.month").alias("month"),
-            F.col("r_name").alias("province"),
-            "city",
-            F.when(~((k == 3) & (F.col("m.month") == 6)), k.cast("decimal(11,2)") * F.lit(1_000_000))
-            .cast(MONEY).alias("picc_selfop_trans_target"),
-            F.when(k != 4, F.lit(500_000)).cast(MONEY).alias("picc_marriedDeal_trans_target"),
-        )
-    )
+    rows = in_months(t.region, first, last).withColumn("city", F.expr("explode(array('100000', '110100'))"))
+    return rows.selectExpr(
+        "year", "month", "r_name AS province", "city",
+        """CAST(CASE WHEN r_regionkey = 3 AND month = 6 THEN NULL
+             ELSE r_regionkey * 1000000 END AS DECIMAL(11,2)) AS picc_selfop_trans_target""",
+        "CAST(if(r_regionkey = 4, NULL, 500000) AS DECIMAL(11,2)) AS picc_marriedDeal_trans_target")
 
 
 def manager_stats(t: Tables) -> DataFrame:
     """Daily insured-channel sums per province and manager, on delivery and on payment day."""
-    delivered = F.col("basis") == "delivered"
-    own = F.col("is_fbj") == "1"
-    amount = F.col("order_amount")
-
-    def measure(basis: Column, kind: Column) -> Column:
-        return F.coalesce(F.sum(F.when(basis & kind, amount)), F.lit(0)).cast("decimal(28,2)")
-
-    events = F.array(
-        F.struct(F.lit("delivered").alias("basis"), F.col("deliver_date").alias("dt")),
-        F.struct(F.lit("paid").alias("basis"), F.col("payment_date").alias("dt")),
-    )
-    return (
-        orders(t).where((F.col("is_b2b") == "1") & (F.col("is_picc") == "1"))
-        .withColumn("e", F.explode(events))
-        .select("*", "e.basis", "e.dt").where(F.col("dt").isNotNull())
-        .groupBy("dt", "province", "manager_id")
-        .agg(
-            measure(delivered, own).alias("picc_selfop_order"),
-            measure(delivered, ~own).alias("picc_married_order"),
-            measure(~delivered, own).alias("picc_selfop_actual_order"),
-            measure(~delivered, ~own).alias("picc_married_actual_order"),
-        )
+    events = orders(t).where("is_b2b = '1' AND is_picc = '1'").selectExpr(
+        "province", "manager_id", "is_fbj", "order_amount",
+        "explode(array(struct(true AS delivered, deliver_date AS dt), struct(false AS delivered, payment_date AS dt))) AS e")
+
+    def measure(kind: str, name: str):
+        amount = f"sum(CASE WHEN {kind} THEN order_amount END)"
+        return F.expr(f"CAST(coalesce({amount}, 0) AS DECIMAL(28,2)) AS {name}")
+
+    return events.selectExpr("*", "e.dt", "e.delivered").where("dt IS NOT NULL").groupBy(
+        "dt", "province", "manager_id"
+    ).agg(
+        measure("delivered AND is_fbj = '1'", "picc_selfop_order"),
+        measure("delivered AND is_fbj = '0'", "picc_married_order"),
+        measure("NOT delivered AND is_fbj = '1'", "picc_selfop_actual_order"),
+        measure("NOT delivered AND is_fbj = '0'", "picc_married_actual_order"),
     )
 
 
 # --- parts -------------------------------------------------------------------------------
 
-def part_oe() -> Column:
-    """Raw part number; at most four parts share one."""
-    k = F.col("p_partkey")
-    number = F.concat(
-        F.when(k % 20 == 0, "JY").otherwise("OE"), F.lit("-"),
-        F.floor(k / 4).cast("long").cast("string"), F.lit("."), (F.col("p_size") % 3).cast("string"))
-    return F.when(k % 45 == 1, "").otherwise(number)
+# Raw part number; at most four parts share one.
+PART_OE = """if(p_partkey % 45 = 1, '',
+  concat(if(p_partkey % 20 = 0, 'JY', 'OE'), '-', p_partkey DIV 4, '.', p_size % 3))"""
+BRAND_CODE = "concat('B', lpad(substring(p_brand, 7), 3, '0'))"
+
+
+def part_numbers(t: Tables) -> DataFrame:
+    numbered = t.part.selectExpr("*", f"{PART_OE} AS part_oe", f"{BRAND_CODE} AS brand_code")
+    return numbered.withColumn("temp_oe", clean_part_number(F.col("part_oe")))
 
 
-def _part_rows(t: Tables) -> DataFrame:
-    return t.part.withColumn("part_oe", part_oe())
+def _sold(t: Tables) -> DataFrame:
+    places = t.supplier.selectExpr("s_suppkey", "CAST(s_nationkey AS STRING) AS province")
+    return t.lineitem.join(part_numbers(t), F.col("l_partkey") == F.col("p_partkey")).join(
+        places, F.col("l_suppkey") == F.col("s_suppkey"))
 
 
 def parts(t: Tables) -> DataFrame:
     """Sold parts with cleaned number, price and the supplier's province code."""
-    place = t.supplier.select("s_suppkey", F.col("s_nationkey").cast("string").alias("province"))
-    detail = _part_rows(t).select("p_partkey", "p_brand", "p_name", "p_size", "part_oe")
-    return (
-        t.lineitem.join(detail, F.col("l_partkey") == F.col("p_partkey"))
-        .join(place, F.col("l_suppkey") == F.col("s_suppkey"))
-        .select(
-            (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("orderitem_id"),
-            F.concat(F.lit("VIN"), F.col("l_orderkey").cast("string")).alias("vinno"),
-            F.col("p_brand").alias("car_brand"),
-            "part_oe",
-            clean_part_number(F.col("part_oe")).alias("temp_oe"),
-            F.when(F.col("p_size") % 2 == 0, "1").otherwise("2").alias("quality_type"),
-            F.col("p_name").alias("part_name"),
-            "province",
-            F.floor(F.col("l_extendedprice") / 1000).cast("long").cast(MONEY).alias("sale_price"),
-            F.to_date("l_shipdate").alias("deliver_time"),
-        )
+    return _sold(t).selectExpr(
+        "l_orderkey * 10 + l_linenumber AS orderitem_id",
+        "concat('VIN', l_orderkey) AS vinno",
+        "p_brand AS car_brand",
+        "part_oe",
+        "temp_oe",
+        "if(p_size % 2 = 0, '1', '2') AS quality_type",
+        "p_name AS part_name",
+        "province",
+        "CAST(floor(l_extendedprice / 1000) AS DECIMAL(11,2)) AS sale_price",
+        "to_date(l_shipdate) AS deliver_time",
     )
 
 
 def brand_map(t: Tables) -> DataFrame:
-    number = F.substring("p_brand", 7, 10)
-    return t.part.where(F.col("p_brand") != "Brand#7").select("p_brand").distinct().select(
-        F.col("p_brand").alias("standard_brand_name"),
-        F.concat(F.lit("B"), F.lpad(number, 3, "0")).alias("standard_brand_code"),
-    )
-
-
-def brand_code() -> Column:
-    return F.concat(F.lit("B"), F.lpad(F.substring("p_brand", 7, 10), 3, "0"))
+    return t.part.where("p_brand <> 'Brand#7'").selectExpr(
+        "p_brand AS standard_brand_name", f"{BRAND_CODE} AS standard_brand_code").distinct()
 
 
 def list_prices(t: Tables) -> DataFrame:
-    return (
-        _part_rows(t)
-        .select(brand_code().alias("standard_brand_code"), clean_part_number(F.col("part_oe")).alias("temp_oe"),
-                F.col("p_retailprice").cast(MONEY).alias("price"))
-        .where((F.col("temp_oe") != "") & (F.col("price") < 1_500))
-        .groupBy("standard_brand_code", "temp_oe")
-        .agg(F.min("price").alias("sys_manufacture_price"))
-    )
+    rows = part_numbers(t).selectExpr(
+        "brand_code AS standard_brand_code", "temp_oe", "CAST(p_retailprice AS DECIMAL(11,2)) AS price")
+    return rows.where("temp_oe <> '' AND price < 1500").groupBy("standard_brand_code", "temp_oe").agg(
+        F.min("price").alias("sys_manufacture_price"))
 
 
 def province_map(t: Tables) -> DataFrame:
-    return t.nation.where(F.col("n_nationkey") != 24).select(
-        F.col("n_nationkey").cast("string").alias("province_code"),
-        F.lower("n_name").alias("province"),
-        F.col("n_name").alias("province_chn"),
-    )
+    return t.nation.where("n_nationkey <> 24").selectExpr(
+        "CAST(n_nationkey AS STRING) AS province_code", "lower(n_name) AS province", "n_name AS province_chn")
 
 
 def local_prices(t: Tables) -> DataFrame:
-    return _part_rows(t).select(
-        F.col("p_partkey").alias("id"), brand_code().alias("standard_brand_code"), F.col("part_oe").alias("oe"))
+    return part_numbers(t).selectExpr("p_partkey AS id", "brand_code AS standard_brand_code", "part_oe AS oe")
 
 
 def floor_prices(t: Tables) -> DataFrame:
     """Lowest traded price per brand, part number and quality, with the brand code."""
-    keys = ["car_brand", "temp_oe", "quality_type"]
-    lowest = lowest_per_key(parts(t).where(F.col("temp_oe") != ""), keys, "sale_price")
-    return lowest.join(
-        brand_map(t), F.col("car_brand") == F.col("standard_brand_name"), "left"
-    ).select(
-        pid(*[F.col(k) for k in keys]).alias("pid"),
-        F.col("province").alias("sale_province"),
-        F.col("standard_brand_code").alias("brand_code"),
-        F.col("car_brand").alias("brand"),
-        F.col("part_oe").alias("oe"),
-        "temp_oe",
-        F.col("quality_type").alias("quality"),
-        "sale_price",
-        "deliver_time",
-    )
+    lowest = lowest_per_key(parts(t).where("temp_oe <> ''"), ["car_brand", "temp_oe", "quality_type"], "sale_price")
+    coded = lowest.join(brand_map(t), F.col("car_brand") == F.col("standard_brand_name"), "left")
+    return coded.selectExpr(
+        "concat(car_brand, temp_oe, quality_type) AS pid", "province AS sale_province",
+        "standard_brand_code AS brand_code", "car_brand AS brand", "part_oe AS oe", "temp_oe",
+        "quality_type AS quality", "sale_price", "deliver_time")
 
 
 def goods(t: Tables) -> DataFrame:
-    kind = F.col("p_type")
-    place = t.supplier.select("s_suppkey", F.col("s_nationkey").cast("string").alias("provinceCode"))
-    key = F.col("p_partkey")
-    return (
-        t.lineitem.join(_part_rows(t), F.col("l_partkey") == key)
-        .join(place, F.col("l_suppkey") == F.col("s_suppkey"))
-        .select(
-            F.concat(F.lit("G"), F.col("l_orderkey").cast("string"), F.lit("-"),
-                     F.col("l_linenumber").cast("string")).alias("goodsCode"),
-            F.when(key % 40 != 3, F.col("p_name")).alias("partsName"),
-            F.col("p_name").alias("suppPartsName"),
-            F.col("part_oe").alias("suppPartsOe"),
-            clean_part_number(F.col("part_oe")).alias("partsOe"),
-            kind.alias("vehicleType"),
-            F.col("p_brand").alias("partsBrandName"),
-            F.col("p_brand").alias("carTypeBrandName"),
-            F.col("l_shipdate").alias("updateTime"),
-            _flag(F.col("l_linestatus") == "F").alias("status"),
-            F.concat(F.lit("0"), (F.col("l_linenumber") % 4 + 1).cast("string")).alias("originSource"),
-            F.when(key % 30 == 7, F.lit(0)).otherwise(F.col("p_retailprice")).cast(MONEY).alias("partsPrice"),
-            F.when(kind == "STANDARD", ORIGINAL_QUALITY).when(kind == "PROMO", CIRCULATED_ORIGINAL_QUALITY)
-            .otherwise(BRANDED_QUALITY).alias("qualityType"),
-            "provinceCode",
-        )
+    return _sold(t).selectExpr(
+        "concat('G', l_orderkey, '-', l_linenumber) AS goodsCode",
+        "if(p_partkey % 40 = 3, NULL, p_name) AS partsName",
+        "p_name AS suppPartsName",
+        "part_oe AS suppPartsOe",
+        "temp_oe AS partsOe",
+        "p_type AS vehicleType",
+        "p_brand AS partsBrandName",
+        "p_brand AS carTypeBrandName",
+        "l_shipdate AS updateTime",
+        "if(l_linestatus = 'F', '1', '0') AS status",
+        "concat('0', l_linenumber % 4 + 1) AS originSource",
+        "CAST(if(p_partkey % 30 = 7, 0, p_retailprice) AS DECIMAL(11,2)) AS partsPrice",
+        f"""CASE p_type WHEN 'STANDARD' THEN '{ORIGINAL_QUALITY}' WHEN 'PROMO' THEN '{CIRCULATED_ORIGINAL_QUALITY}'
+              ELSE '{BRANDED_QUALITY}' END AS qualityType""",
+        "province AS provinceCode",
     )
 
 
 def damage(t: Tables) -> DataFrame:
-    k = F.col("o_orderkey")
-    plate = F.when(k % 11 == 0, "测").otherwise("京A")
-    return t.orders.join(
-        t.customer.select("c_custkey", "c_mktsegment"), F.col("o_custkey") == F.col("c_custkey")
-    ).select(
-        k.alias("damage_id"),
-        F.col("c_mktsegment").alias("car_type"),
-        F.concat(plate, k.cast("string")).alias("car_no"),
-        F.col("o_orderdate").alias("creat_time"),
-    )
+    customers = t.customer.select("c_custkey", "c_mktsegment")
+    return t.orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).selectExpr(
+        "o_orderkey AS damage_id", "c_mktsegment AS car_type",
+        "concat(if(o_orderkey % 11 = 0, '测', '京A'), o_orderkey) AS car_no", "o_orderdate AS creat_time")
 
 
 def damage_parts(t: Tables) -> DataFrame:
-    detail = _part_rows(t).select("p_partkey", "p_name", "part_oe")
-    return t.lineitem.join(detail, F.col("l_partkey") == F.col("p_partkey")).select(
-        F.col("l_orderkey").alias("damage_id"),
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("part_id"),
-        F.col("p_name").alias("part_name"),
-        "part_oe",
-    )
+    return t.lineitem.join(part_numbers(t), F.col("l_partkey") == F.col("p_partkey")).selectExpr(
+        "l_orderkey AS damage_id", "l_orderkey * 10 + l_linenumber AS part_id", "p_name AS part_name", "part_oe")
 
 
 def product_info(t: Tables) -> DataFrame:
-    return _part_rows(t).select(
-        clean_part_number(F.col("part_oe")).alias("partsOe"),
-        F.when(F.col("p_partkey") % 40 != 3, F.col("p_name")).alias("partsName"),
-    )
+    return part_numbers(t).selectExpr("temp_oe AS partsOe", "if(p_partkey % 40 = 3, NULL, p_name) AS partsName")
 
 
 def offers(t: Tables) -> DataFrame:
-    return t.events.select(
-        F.col("user_id").alias("damagePartId"),
-        F.when(F.col("event_id") % 7 == 0, "").otherwise(F.concat("event_type", F.lit(","))).alias("remark"),
-        F.col("ts").alias("updateTime"),
-        _flag(F.col("event_id") % 4 != 0).alias("status"),
-    )
+    return t.events.selectExpr(
+        "user_id AS damagePartId", "if(event_id % 7 = 0, '', concat(event_type, ',')) AS remark",
+        "ts AS updateTime", "if(event_id % 4 <> 0, '1', '0') AS status")
 
 
 def base_parts(t: Tables) -> DataFrame:
-    return t.events.select("user_id").distinct().select(
-        (F.col("user_id") * 10 + 1).alias("id"),
-        F.col("user_id").cast("string").alias("part_id"),
-        _flag(F.col("user_id") % 5 != 0).alias("data_source"),
-    )
+    return t.events.select("user_id").distinct().selectExpr(
+        "user_id * 10 + 1 AS id", "CAST(user_id AS STRING) AS part_id",
+        "if(user_id % 5 <> 0, '1', '0') AS data_source")
