@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -18,6 +20,22 @@ def zero_if_null(c: Column | str, dtype: str = TOTAL) -> Column:
     return F.coalesce(c.cast(dtype), F.lit(0).cast(dtype))
 
 
+def cents(c: Column | str) -> Column:
+    """Two-place amount as a whole number of cents. Row-level sums add these: they are as exact
+    as decimals and several times cheaper, and an overflow beyond 9e16 units is an error."""
+    c = F.col(c) if isinstance(c, str) else c
+    return (c * 100).cast("bigint")
+
+
+def from_cents(c: Column) -> Column:
+    return (c.cast("decimal(26,0)") * F.lit(Decimal("0.01"))).cast(TOTAL)
+
+
+def cents_if(condition: Column, c: Column) -> Column:
+    """Money total of a cents column over the rows that meet a condition; zero without any."""
+    return from_cents(F.coalesce(F.sum(F.when(condition, c)), F.lit(0)))
+
+
 def total(c: Column | str) -> Column:
     """Sum that is zero, not null, for a group without values."""
     return zero_if_null(F.sum(c))
@@ -28,9 +46,9 @@ def total_if(condition: Column, c: Column | str) -> Column:
     return total(F.when(condition, c))
 
 
-def count_if(condition: Column, c: Column | str) -> Column:
-    c = F.col(c) if isinstance(c, str) else c
-    return F.count(F.when(condition, c))
+def count_sum(condition: Column, n: str = "n") -> Column:
+    """Sum of pre-aggregated counts."""
+    return F.coalesce(F.sum(F.when(condition, F.col(n))), F.lit(0).cast("long"))
 
 
 def round2(c: Column) -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gearledger.functions import predicates as P
 from gearledger.functions.calendar import DateLike, between_days, day
-from gearledger.functions.money import SERVICE_TAX, ex_tax, total, total_if, zero_if_null
+from gearledger.functions.money import SERVICE_TAX, cents, cents_if, ex_tax, zero_if_null
 from gearledger.operators.netting import event_rows, full_outer_merge, open_key_side
 
 GRAIN = ["province", "city", "manager_id", "manager_name"]
@@ -30,13 +30,14 @@ def on_business_city(rows: DataFrame, city_map: DataFrame, keep_unmapped: bool =
     return joined.withColumn("city", city).drop("city_code", "business_city_code")
 
 
-def _measures(prefix: str, amount: Column) -> list[Column]:
+def _measures(prefix: str, amount_cents: str) -> list[Column]:
+    x = F.col(amount_cents)
     return [
-        total(amount).alias(f"{prefix}_b2b"),
-        total_if(P.picc() & P.selfop(), amount).alias(f"{prefix}_picc_selfop"),
-        total_if(P.picc() & P.brokered(), amount).alias(f"{prefix}_picc_married"),
-        total_if(P.non_picc() & P.selfop(), amount).alias(f"{prefix}_nonpicc_selfop"),
-        total_if(P.non_picc() & P.brokered(), amount).alias(f"{prefix}_nonpicc_married"),
+        cents_if(F.lit(True), x).alias(f"{prefix}_b2b"),
+        cents_if(P.picc() & P.selfop(), x).alias(f"{prefix}_picc_selfop"),
+        cents_if(P.picc() & P.brokered(), x).alias(f"{prefix}_picc_married"),
+        cents_if(P.non_picc() & P.selfop(), x).alias(f"{prefix}_nonpicc_selfop"),
+        cents_if(P.non_picc() & P.brokered(), x).alias(f"{prefix}_nonpicc_married"),
     ]
 
 
@@ -50,8 +51,9 @@ def manager_delivery_net(
     forward = F.col("basis") == "delivered"
     rows = on_business_city(rows.where(forward | P.refund_is_valid(refund_state_start)), city_map)
     amount = F.when(forward, F.col("order_amount")).otherwise(-F.col("refund_amount"))
+    rows = rows.withColumn("cents", cents(amount))
     side = open_key_side(GRAIN, F.col("basis")).alias("side")
-    return rows.groupBy(*KEYS, side).agg(*_measures("delivered", amount)).drop("side")
+    return rows.groupBy(*KEYS, side).agg(*_measures("delivered", "cents")).drop("side")
 
 
 def manager_actual_receipts(
@@ -67,12 +69,12 @@ def manager_actual_receipts(
         track.withColumn("stat_date", P.receipt_date())
         .where(F.col("stat_date").isNotNull() & between_days(F.col("stat_date"), start, end))
         .join(cities, "city", "left_semi")
-        .groupBy("order_id", "stat_date").agg(F.sum("amount").alias("amount"))
+        .groupBy("order_id", "stat_date").agg(F.sum(cents("amount")).alias("cents"))
     )
     rows = orders.where(P.is_b2b()).join(receipts, "order_id")
     if mapped_city:
         rows = on_business_city(rows, city_map)
-    return rows.groupBy(*KEYS).agg(*_measures("actual", F.col("amount")))
+    return rows.groupBy(*KEYS).agg(*_measures("actual", "cents"))
 
 
 def service_charge_by_manager(

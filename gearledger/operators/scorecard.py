@@ -7,12 +7,15 @@ from pyspark.sql import functions as F
 
 from gearledger.functions import predicates as P
 from gearledger.functions.calendar import DateLike, between_days, day, year_start, yyyymmdd
-from gearledger.functions.money import GOODS_TAX, TOTAL, count_if, ex_tax, total, total_if
+from gearledger.functions.money import (
+    GOODS_TAX, TOTAL, cents, count_sum, ex_tax, from_cents, total, total_if, zero_if_null,
+)
 from gearledger.functions.text import pid
 from gearledger.operators.netting import event_rows, full_outer_merge, open_key_side
 
 KEYS = ["stat_date", "province", "city"]
 PLACE = ["province", "city"]
+FLAGS = ["is_picc", "is_fbj", "is_direct"]
 
 DELIVERED = {"delivered": "deliver_date", "refunded": "refund_date"}
 PAID = {"paid": "payment_date"}
@@ -28,87 +31,122 @@ def _channels(prefix: str, amount: Column) -> list[Column]:
     ]
 
 
+def _event_sums(
+    orders: DataFrame, bases: dict[str, str], flags: list[str], sums: dict[str, Column],
+    start: DateLike | None, end: DateLike | None,
+) -> DataFrame:
+    """Order count ``n`` and plain sums per day, place, event kind and flag values.
+
+    This is the only step that touches every order. The many conditional figures of a
+    scorecard are taken afterwards from its few rows per place.
+    """
+    rows = event_rows(orders.where(P.is_b2b()).withColumn("is_direct", P.direct()), bases, start, end)
+    return rows.groupBy(*KEYS, "basis", *flags).agg(
+        F.count("id").alias("n"), *[from_cents(F.sum(cents(c))).alias(name) for name, c in sums.items()])
+
+
+def _signed(forward: str, refunded: str) -> Column:
+    return F.when(F.col("basis") == "refunded", -F.col(refunded)).otherwise(F.col(forward))
+
+
+def _by_place(sums: DataFrame, measures: list[Column]) -> DataFrame:
+    side = open_key_side(PLACE, F.col("basis")).alias("side")
+    return sums.groupBy(*KEYS, side).agg(*measures).drop("side")
+
+
+def _order_sums(
+    orders: DataFrame, bases: dict[str, str], start: DateLike | None, end: DateLike | None
+) -> DataFrame:
+    sums = {
+        "amount": _signed("order_amount", "refund_amount"),
+        "purchase": _signed("purchase_amount", "refund_purchase_amount"),
+    }
+    return _event_sums(orders, bases, FLAGS, sums, start, end)
+
+
 def _delivery_measures() -> list[Column]:
-    forward = F.col("basis") == "delivered"
-    back = F.col("basis") == "refunded"
-    amount = F.when(forward, F.col("order_amount")).when(back, -F.col("refund_amount"))
-    purchase = F.when(forward, F.col("purchase_amount")).when(back, -F.col("refund_purchase_amount"))
-    income = ex_tax(total_if(forward & P.selfop(), "order_amount"), GOODS_TAX)
-    refunded_income = ex_tax(total_if(back & P.selfop(), "refund_amount"), GOODS_TAX)
+    forward, back, paid = (F.col("basis") == b for b in ("delivered", "refunded", "paid"))
+    amount = F.when(~paid, F.col("amount"))
+    income = ex_tax(total_if(forward & P.selfop(), "amount"), GOODS_TAX)
+    returned = ex_tax(-total_if(back & P.selfop(), "amount"), GOODS_TAX)
     return [
-        count_if(forward, "id").alias("no_b2b_order"),
-        count_if(forward & P.picc(), "id").alias("no_picc_order"),
+        count_sum(forward).alias("no_b2b_order"),
+        count_sum(forward & P.picc()).alias("no_picc_order"),
         total(amount).alias("amount_b2b"),
-        total(purchase).alias("amount_purchase"),
+        total_if(~paid, "purchase").alias("amount_purchase"),
         total_if(P.picc(), amount).alias("amount_picc"),
         *_channels("amount", amount),
-        total_if(P.picc() & P.direct(), amount).alias("amount_picc_direct"),
-        (income - refunded_income).cast("decimal(18,2)").alias("amount_income"),
+        total_if(P.picc() & F.col("is_direct"), amount).alias("amount_picc_direct"),
+        (income - returned).cast("decimal(18,2)").alias("amount_income"),
     ]
 
 
 def _paid_measures() -> list[Column]:
     paid = F.col("basis") == "paid"
     return [
-        count_if(paid, "id").alias("no_paid_order"),
-        total_if(paid, "order_amount").alias("amount_paid"),
-        total_if(paid & P.picc(), "order_amount").alias("amount_paid_picc"),
+        count_sum(paid).alias("no_paid_order"),
+        total_if(paid, "amount").alias("amount_paid"),
+        total_if(paid & P.picc(), "amount").alias("amount_paid_picc"),
     ]
 
 
-def _event_totals(
-    orders: DataFrame, bases: dict[str, str], measures: list[Column],
-    start: DateLike | None, end: DateLike | None,
-) -> DataFrame:
-    rows = event_rows(orders.where(P.is_b2b()), bases, start, end)
-    side = open_key_side(PLACE, F.col("basis")).alias("side")
-    return rows.groupBy(*KEYS, side).agg(*measures).drop("side")
-
-
 def daily_delivery_net(
     orders: DataFrame, start: DateLike | None = None, end: DateLike | None = None
 ) -> DataFrame:
     """Delivered minus refunded per day, province and city."""
-    return _event_totals(orders, DELIVERED, _delivery_measures(), start, end)
+    return _by_place(_order_sums(orders, DELIVERED, start, end), _delivery_measures())
 
 
 def daily_paid(orders: DataFrame, start: DateLike | None = None, end: DateLike | None = None) -> DataFrame:
-    return _event_totals(orders, PAID, _paid_measures(), start, end)
+    return _by_place(_order_sums(orders, PAID, start, end), _paid_measures())
 
 
 def daily_actual_receipts(
     track: DataFrame, orders: DataFrame, start: DateLike | None = None, end: DateLike | None = None,
     cutoff: DateLike = P.BROKER_TERM_START,
 ) -> DataFrame:
-    """Cash received per day, province and city.
+    """Cash received per day, province and city; ``order_id`` identifies an order.
 
-    Receipts are summed per order before they meet the orders, so an order with very many
-    receipts is one row in the join.
+    Receipts are folded to one row per order and day before they meet the orders. An order with
+    very many receipts is then one row in the join, and distinct orders are counted as rows.
+    Receipts on credit terms are summed apart until the order's delivery day is known.
     """
-    receipts = (
+    term = P.broker_term()
+    received = (
         track.withColumn("stat_date", P.receipt_date())
         .where(F.col("stat_date").isNotNull() & between_days(F.col("stat_date"), start, end))
-        .groupBy("iorder_id", "stat_date", P.broker_term().alias("term"))
-        .agg(F.count(F.lit(1)).alias("receipts"), F.sum("amount").alias("amount"))
+        .groupBy("iorder_id", "stat_date")
+        .agg(
+            F.count(F.when(~term, 1)).alias("plain_n"), F.count(F.when(term, 1)).alias("term_n"),
+            F.sum(F.when(~term, cents("amount"))).alias("plain_cents"),
+            F.sum(F.when(term, cents("amount"))).alias("term_cents"))
     )
+    term_counts = F.coalesce(P.broker_term_ok(cutoff, F.lit(True)), F.lit(False))
+
+    def counted(name: str) -> Column:
+        plain, on_term = (F.coalesce(f"{kind}_{name}", F.lit(0)) for kind in ("plain", "term"))
+        return plain + F.when(term_counts, on_term).otherwise(0)
+
     rows = (
-        receipts.join(orders.where(P.is_b2b()), F.col("iorder_id") == F.col("order_id"))
-        .where(P.broker_term_ok(cutoff, F.col("term")))
-        .withColumn("purchase", F.col("purchase_amount") * F.col("receipts").cast("decimal(12,0)"))
+        received.join(orders.where(P.is_b2b()), F.col("iorder_id") == F.col("order_id"))
+        .withColumns({"receipts": counted("n"), "amount": counted("cents"), "is_direct": P.direct()})
+        .where(F.col("receipts") > 0)
     )
+    sums = rows.groupBy(*KEYS, *FLAGS, "vehicle_type").agg(
+        F.count("order_id").alias("orders"), F.sum("receipts").alias("n"),
+        from_cents(F.sum("amount")).alias("amount"),
+        from_cents(F.sum(cents("purchase_amount") * F.col("receipts"))).alias("purchase"))
     amount = F.col("amount")
-    passenger = F.col("vehicle_type") == P.PASSENGER
-    commercial = F.col("vehicle_type") == P.COMMERCIAL
-    return rows.groupBy(*KEYS).agg(
-        F.count_distinct("order_id").alias("no_actual_order"),
+    return sums.groupBy(*KEYS).agg(
+        F.sum("orders").alias("no_actual_order"),
         total(amount).alias("actual_b2b"),
         total("purchase").alias("actual_purchase"),
-        F.coalesce(F.sum(F.when(P.picc(), F.col("receipts"))), F.lit(0).cast("long")).alias("no_actual_picc_order"),
+        count_sum(P.picc()).alias("no_actual_picc_order"),
         total_if(P.picc(), amount).alias("actual_picc"),
         *_channels("actual", amount),
-        total_if(passenger, amount).alias("actual_passenger"),
-        total_if(commercial, amount).alias("actual_commercial"),
-        total_if(P.picc() & P.direct(), amount).alias("actual_picc_direct"),
+        total_if(F.col("vehicle_type") == P.PASSENGER, amount).alias("actual_passenger"),
+        total_if(F.col("vehicle_type") == P.COMMERCIAL, amount).alias("actual_commercial"),
+        total_if(P.picc() & F.col("is_direct"), amount).alias("actual_picc_direct"),
         ex_tax(total_if(P.selfop(), amount), GOODS_TAX).alias("actual_income"),
     )
 
@@ -127,7 +165,8 @@ def daily_scorecard(
 ) -> DataFrame:
     """Delivered, received and paid figures side by side; the order table is read once for the
     delivered and paid bases together."""
-    dated = _event_totals(orders, {**DELIVERED, **PAID}, [*_delivery_measures(), *_paid_measures()], start, end)
+    sums = _order_sums(orders, {**DELIVERED, **PAID}, start, end)
+    dated = _by_place(sums, [*_delivery_measures(), *_paid_measures()])
     received = daily_actual_receipts(track, orders, start, end, cutoff)
     return with_report_keys(full_outer_merge([dated, received], KEYS))
 
@@ -136,27 +175,26 @@ def vehicle_part_mix_net(
     orders: DataFrame, start: DateLike | None = None, end: DateLike | None = None
 ) -> DataFrame:
     """Original and aftermarket parts by vehicle kind, net of refunds."""
+    amount, oem = _signed("order_amount", "refund_amount"), _signed("oem_amount", "refund_oem_amount")
+    sums = _event_sums(
+        orders, DELIVERED, ["vehicle_type"], {"amount": amount, "oem": oem, "afm": amount - oem}, start, end)
     forward = F.col("basis") == "delivered"
-    amount = F.when(forward, F.col("order_amount")).otherwise(-F.col("refund_amount"))
-    oem = F.when(forward, F.col("oem_amount")).otherwise(-F.col("refund_oem_amount"))
     kind = F.col("vehicle_type")
 
-    def aftermarket_total(side: Column) -> Column:
-        gap = F.sum(F.when(side, amount)) - F.sum(F.when(side, oem))
-        return F.coalesce(gap.cast(TOTAL), F.lit(0).cast(TOTAL))
-
-    measures = [
-        total(oem).alias("amount_oem"),
-        (aftermarket_total(forward) + aftermarket_total(~forward)).cast(TOTAL).alias("amount_afm"),
-        total_if(kind == P.PASSENGER, amount).alias("amount_passenger"),
-        total_if(kind == P.COMMERCIAL, amount).alias("amount_commercial"),
-        total_if(kind == P.OTHER_VEHICLE, amount).alias("amount_other"),
-        total_if(kind == P.PASSENGER, oem).alias("amount_passenger_oem"),
-        total_if(kind == P.COMMERCIAL, oem).alias("amount_commercial_oem"),
-        total_if(kind == P.PASSENGER, amount - oem).alias("amount_passenger_afm"),
-        total_if(kind == P.COMMERCIAL, amount - oem).alias("amount_commercial_afm"),
-    ]
-    return _event_totals(orders, DELIVERED, measures, start, end)
+    def gap(side: Column) -> Column:
+        return zero_if_null(F.sum(F.when(side, F.col("amount"))) - F.sum(F.when(side, F.col("oem"))))
+
+    return _by_place(sums, [
+        total("oem").alias("amount_oem"),
+        (gap(forward) + gap(~forward)).cast(TOTAL).alias("amount_afm"),
+        total_if(kind == P.PASSENGER, "amount").alias("amount_passenger"),
+        total_if(kind == P.COMMERCIAL, "amount").alias("amount_commercial"),
+        total_if(kind == P.OTHER_VEHICLE, "amount").alias("amount_other"),
+        total_if(kind == P.PASSENGER, "oem").alias("amount_passenger_oem"),
+        total_if(kind == P.COMMERCIAL, "oem").alias("amount_commercial_oem"),
+        total_if(kind == P.PASSENGER, "afm").alias("amount_passenger_afm"),
+        total_if(kind == P.COMMERCIAL, "afm").alias("amount_commercial_afm"),
+    ])
 
 
 def paid_not_delivered(
@@ -172,11 +210,12 @@ def paid_not_delivered(
         in_window = in_window & (F.col("payment_date") >= year_start(day(start)))
     in_window = in_window & between_days(F.col("payment_date"), None, end)
     open_orders = orders.where(P.is_b2b() & F.col("order_status").isin(*P.OPEN_STATES) & in_window)
-    amount = F.col("order_amount")
+    sums = open_orders.groupBy("payment_date", *PLACE, "is_picc", "is_fbj").agg(
+        from_cents(F.sum(cents("order_amount"))).alias("amount"))
+    amount = F.col("amount")
     names = ["paid_not_delivered", *[c + "_not_delivered" for c in (
         "picc_selfop", "picc_married", "nonpicc_selfop", "nonpicc_married")]]
-    daily = open_orders.groupBy("payment_date", *PLACE).agg(
-        total(amount).alias("open"), *_channels("open", amount))
+    daily = sums.groupBy("payment_date", *PLACE).agg(total(amount).alias("open"), *_channels("open", amount))
     parts = ["open", "open_picc_selfop", "open_picc_married", "open_nonpicc_selfop", "open_nonpicc_married"]
     ordered = Window.partitionBy(F.year("payment_date"), *PLACE).orderBy("payment_date")
     to_date = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -14,6 +14,8 @@ PLAN_SETTINGS = {
     # A join on a hot key is split even when the next aggregation reuses its partitioning;
     # the extra exchange then carries partial aggregates only.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # A shuffled join skips its sorts where every partition of one side is measured as small.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "32m",
     "spark.sql.session.timeZone": "UTC",
 }
 
@@ -25,17 +27,18 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(cores: int | str = "*", name: str = "gearledger") -> SparkSession:
+def local_session(cores: int | str = "*", settings: dict[str, str] | None = None) -> SparkSession:
     """Single-machine session for tests and benchmarks, without the web page."""
-    shuffle = str(cores) if str(cores).isdigit() else "8"
-    spark = (
-        SparkSession.builder.master(f"local[{cores}]")
-        .appName(name)
-        .config("spark.ui.enabled", "false")
-        .config("spark.driver.memory", "8g")
-        .config("spark.sql.shuffle.partitions", shuffle)
-        .getOrCreate()
-    )
+    options = {
+        "spark.ui.enabled": "false",
+        "spark.driver.memory": "8g",
+        "spark.sql.shuffle.partitions": str(cores) if str(cores).isdigit() else "8",
+        **(settings or {}),
+    }
+    builder = SparkSession.builder.master(f"local[{cores}]").appName("gearledger")
+    for key, value in options.items():
+        builder = builder.config(key, value)
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return tune(spark)
 

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gearledger.functions.calendar import Month, in_months
+from gearledger.functions.money import cents_if
 from gearledger.functions.text import (
     BRANDED_QUALITY, CIRCULATED_ORIGINAL_QUALITY, ORIGINAL_QUALITY, clean_part_number,
 )
@@ -186,20 +187,17 @@ def targets(t: Tables, first: Month, last: Month) -> DataFrame:
 def manager_stats(t: Tables) -> DataFrame:
     """Daily insured-channel sums per province and manager, on delivery and on payment day."""
     events = orders(t).where("is_b2b = '1' AND is_picc = '1'").selectExpr(
-        "province", "manager_id", "is_fbj", "order_amount",
-        "explode(array(struct(true AS delivered, deliver_date AS dt), struct(false AS delivered, payment_date AS dt))) AS e")
-
-    def measure(kind: str, name: str):
-        amount = f"sum(CASE WHEN {kind} THEN order_amount END)"
-        return F.expr(f"CAST(coalesce({amount}, 0) AS DECIMAL(28,2)) AS {name}")
-
+        "province", "manager_id", "is_fbj = '1' AS own", "CAST(order_amount * 100 AS BIGINT) AS cents",
+        """explode(array(
+             struct(true AS delivered, deliver_date AS dt), struct(false AS delivered, payment_date AS dt))) AS e""")
+    delivered, own, x = F.col("delivered"), F.col("own"), F.col("cents")
     return events.selectExpr("*", "e.dt", "e.delivered").where("dt IS NOT NULL").groupBy(
         "dt", "province", "manager_id"
     ).agg(
-        measure("delivered AND is_fbj = '1'", "picc_selfop_order"),
-        measure("delivered AND is_fbj = '0'", "picc_married_order"),
-        measure("NOT delivered AND is_fbj = '1'", "picc_selfop_actual_order"),
-        measure("NOT delivered AND is_fbj = '0'", "picc_married_actual_order"),
+        cents_if(delivered & own, x).alias("picc_selfop_order"),
+        cents_if(delivered & ~own, x).alias("picc_married_order"),
+        cents_if(~delivered & own, x).alias("picc_selfop_actual_order"),
+        cents_if(~delivered & ~own, x).alias("picc_married_actual_order"),
     )
 
 
