@@ -533,7 +533,8 @@ ORACLES: dict[str, str] = {
     "brand_code_list": "SELECT DISTINCT code AS standard_brand_code FROM v_brand_map",
     "province_name_lookup": """
 SELECT s_suppkey, CAST(s_nationkey AS VARCHAR) AS code, CASE WHEN s_nationkey <> 24 THEN n_name ELSE '' END AS province_name,
-  CASE WHEN s_nationkey <> 24 THEN lower(n_name) ELSE '' END AS province_pinyin
+  CASE WHEN s_nationkey <> 24 THEN lower(n_name) ELSE '' END AS province_pinyin,
+  CASE WHEN s_nationkey <> 24 THEN n_name ELSE '' END AS name_by_pinyin
 FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey""",
     "brand_code_lookup": """
 SELECT p_partkey, p_brand, COALESCE(code, '') AS brand_code FROM part LEFT JOIN v_brand_map ON p_brand = name""",

@@ -71,7 +71,8 @@ def brand_code_list(t: Tables) -> DataFrame:
 def province_name_lookup(t: Tables) -> DataFrame:
     rows = t.supplier.select("s_suppkey", F.col("s_nationkey").cast("string").alias("code"))
     named = lookup(rows, V.province_map(t), "code", "province_code", "province_chn", "province_name")
-    return lookup(named, V.province_map(t), "code", "province_code", "province", "province_pinyin")
+    named = lookup(named, V.province_map(t), "code", "province_code", "province", "province_pinyin")
+    return lookup(named, V.province_map(t), "province_pinyin", "province", "province_chn", "name_by_pinyin")
 
 
 @query
@@ -501,10 +502,10 @@ def manager_repeat_rate(t: Tables) -> DataFrame:
 def bonus_table(t: Tables) -> DataFrame:
     stats = materialise(V.manager_stats(t))
     years = materialise(_shop_years(t))
-    province_totals = bonus.province_channel_totals(stats)
-    selfop = bonus.province_selfop_totals(stats)
+    roster = materialise(_roster(t))
+    province_totals = materialise(bonus.province_channel_totals(stats))
+    selfop = materialise(bonus.province_selfop_totals(stats))
     active = materialise(shops.active_shops(years))
-    roster = _roster(t)
     table = bonus.apply_class_updates(
         bonus.with_bonus_columns(roster),
         bonus.bonus_regular_staff(roster, province_totals),
