@@ -14,6 +14,7 @@ from gearledger.functions import predicates as P
 from gearledger.functions import ratings as R
 from gearledger.functions.calendar import DateLike, Month, between_days, in_months
 from gearledger.functions.money import quotient, round2, total, zero_if_null
+from gearledger.operators.lookups import join_folded
 from gearledger.operators.merge import update_columns
 
 MONTH_KEYS = ["year", "month"]
@@ -80,7 +81,7 @@ def bonus_regular_staff(roster: DataFrame, province_totals: DataFrame) -> DataFr
     """Amounts of all provinces of a staff member, their class, ratio and class name."""
     staff = roster.where(F.col("position").isin(*R.REGULAR_POSITIONS))
     amounts = (
-        staff.join(province_totals, ["province", *MONTH_KEYS], "left")
+        join_folded(staff, province_totals, ["province", *MONTH_KEYS])
         .groupBy("user_id", "name", "position", *MONTH_KEYS)
         .agg(total("amount_picc").alias("amount_picc"), total("amount_actual_picc").alias("amount_actual_picc"))
     )

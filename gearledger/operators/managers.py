@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from gearledger.functions import predicates as P
 from gearledger.functions.calendar import DateLike, between_days, day
 from gearledger.functions.money import SERVICE_TAX, cents, cents_if, ex_tax, zero_if_null
+from gearledger.operators.lookups import join_folded
 from gearledger.operators.netting import event_rows, full_outer_merge, open_key_side
 
 GRAIN = ["province", "city", "manager_id", "manager_name"]
@@ -18,16 +19,15 @@ def valid_cities(city_map: DataFrame) -> DataFrame:
     """Active city mappings, one per city."""
     return (
         city_map.where(F.col("status") == P.YES)
-        .groupBy("city_code").agg(F.min("business_city_code").alias("business_city_code"))
+        .groupBy(F.col("city_code").alias("city")).agg(F.min("business_city_code").alias("business_city_code"))
     )
 
 
 def on_business_city(rows: DataFrame, city_map: DataFrame, keep_unmapped: bool = False) -> DataFrame:
     """Replace the city by the reporting city it is mapped to."""
-    mapping = valid_cities(city_map)
-    joined = rows.join(mapping, F.col("city") == F.col("city_code"), "left" if keep_unmapped else "inner")
+    joined = join_folded(rows, valid_cities(city_map), ["city"], "left" if keep_unmapped else "inner")
     city = F.coalesce("business_city_code", "city") if keep_unmapped else F.col("business_city_code")
-    return joined.withColumn("city", city).drop("city_code", "business_city_code")
+    return joined.withColumn("city", city).drop("business_city_code")
 
 
 def _measures(prefix: str, amount_cents: str) -> list[Column]:
@@ -64,11 +64,10 @@ def manager_actual_receipts(
 
     ``mapped_city=False`` reports the order's own city instead of its reporting city.
     """
-    cities = valid_cities(city_map).select(F.col("city_code").alias("city"))
+    received = track.withColumn("stat_date", P.receipt_date()).where(
+        F.col("stat_date").isNotNull() & between_days(F.col("stat_date"), start, end))
     receipts = (
-        track.withColumn("stat_date", P.receipt_date())
-        .where(F.col("stat_date").isNotNull() & between_days(F.col("stat_date"), start, end))
-        .join(cities, "city", "left_semi")
+        join_folded(received, valid_cities(city_map), ["city"], "left_semi")
         .groupBy("order_id", "stat_date").agg(F.sum(cents("amount")).alias("cents"))
     )
     rows = orders.where(P.is_b2b()).join(receipts, "order_id")

@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gearledger.operators.lookups import join_folded
+
 
 def one_per_key(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row per key, the smallest by its other columns, so that reruns agree. Duplicates
@@ -76,7 +78,7 @@ def update_columns(
     if where is not None:
         hit = hit & F.coalesce(where, F.lit(False))
     types = dict(target.dtypes)
-    joined = target.join(new, list(keys), "left")
+    joined = join_folded(target, new, keys)
     return joined.select(*[
         F.when(hit, F.col(f"new_{c}").cast(types[c])).otherwise(F.col(c)).alias(c) if c in columns else F.col(c)
         for c in target.columns

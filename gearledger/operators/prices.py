@@ -10,7 +10,7 @@ from gearledger.functions.calendar import days_before, same_day_last_year
 from gearledger.functions.money import round2
 from gearledger.functions.text import clean_part_number, pid
 from gearledger.operators.extremes import extreme_row, highest_per_key, lowest_per_key
-from gearledger.operators.lookups import lookup
+from gearledger.operators.lookups import join_folded, lookup
 
 KEYS = ["car_brand", "temp_oe", "quality_type"]
 # Fixed value: days after which a stored lowest or highest price expires.
@@ -109,7 +109,7 @@ def order_item_enriched(rows: DataFrame, brand_map: DataFrame, list_prices: Data
     coded = lookup(
         rows, brand_map, "car_brand", "standard_brand_name", "standard_brand_code",
         "standard_brand_code", default=None)
-    return coded.join(list_prices, ["standard_brand_code", "temp_oe"], "left")
+    return join_folded(coded, list_prices, ["standard_brand_code", "temp_oe"])
 
 
 def local_price_match(local: DataFrame, prices: DataFrame, provinces: DataFrame) -> DataFrame:
@@ -133,8 +133,8 @@ def local_price_match(local: DataFrame, prices: DataFrame, provinces: DataFrame)
             F.col("afm.sale_province").alias("afm_province"))
         .where((F.col("oem_sale_price") != 0) | (F.col("afm_sale_price") != 0))
     )
-    matched = local.withColumn("temp_oe", clean_part_number(F.col("oe"))).join(
-        folded, ["standard_brand_code", "temp_oe"])
+    cleaned = local.withColumn("temp_oe", clean_part_number(F.col("oe")))
+    matched = join_folded(cleaned, folded, ["standard_brand_code", "temp_oe"], "inner")
     for side in ("oem", "afm"):
         matched = lookup(
             matched, provinces, f"{side}_province", "province_code", "province_chn", f"{side}_sale_province_name")
