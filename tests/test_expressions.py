@@ -1,4 +1,5 @@
 import datetime as dt
+import re
 from decimal import Decimal
 
 import pytest
@@ -72,6 +73,14 @@ def test_part_number_cleaning(spark):
         "abcdefghi", "xyz[s*]", "", None, "plain", "a\\b"]
 
 
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.text(alphabet="\\\\s*+,-./~# ab[]", max_size=12), min_size=1, max_size=40))
+def test_part_number_cleaning_equals_the_pattern(spark, texts):
+    rows = [(t,) for t in texts]
+    assert values(spark, rows, "t string", clean_part_number(F.col("t"))) == [
+        re.sub(r"([+-/~.# ]|\\[s*])", "", t) for t in texts]
+
+
 def test_text_helpers(spark):
     assert values(spark, [("ab,",), (",",), ("",)], "t string", drop_last_char(F.col("t"))) == ["ab", "", ""]
     assert values(spark, [("a", "b"), ("ab", "")], "x string, y string", pid(F.col("x"), F.col("y"))) == ["ab", "ab"]
