@@ -51,9 +51,10 @@ def _band(amount: Column, bands: list[tuple[int, str]], top: str) -> Column:
 
 
 def _table(key: Column, values: dict[str, float], default: float) -> Column:
-    out = F
-    for k, v in values.items():
-        out = out.when(key == k, F.lit(v))
+    pairs = list(values.items())
+    out = F.when(key == pairs[0][0], F.lit(pairs[0][1]))
+    for label, ratio in pairs[1:]:
+        out = out.when(key == label, F.lit(ratio))
     return out.otherwise(F.lit(default))
 
 
@@ -95,8 +96,9 @@ def manager_brokered_ratio(cls: Column) -> Column:
 
 
 def repeat_shop_factor(rate: Column) -> Column:
-    out = F
-    for bound, factor in REPEAT_SHOP_FACTORS:
+    best, *rest = REPEAT_SHOP_FACTORS
+    out = F.when(rate >= best[0], F.lit(best[1]))
+    for bound, factor in rest:
         out = out.when(rate >= bound, F.lit(factor))
     return out.otherwise(F.lit(REPEAT_SHOP_FACTOR_ELSE))
 
