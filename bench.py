@@ -1,4 +1,4 @@
-"""Time the headline queries: one warm-up and the median of three runs each, as one JSON line."""
+"""Time the headline queries: one warm-up and BENCH_REPEATS timed runs (median) each, as one JSON line."""
 
 from __future__ import annotations
 
@@ -27,7 +27,7 @@ def seconds(run) -> float:
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cores = os.environ.get("BENCH_CPUS", "8")
-    repeats = int(os.environ.get("BENCH_REPEATS", "3"))
+    repeats = int(os.environ.get("BENCH_REPEATS", "1"))
     spark = local_session(cores)
     spark.sparkContext.setLogLevel("OFF")
     known = queries()
