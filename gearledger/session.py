@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,20 +43,22 @@ def local_session(cores: int | str = "*", settings: dict[str, str] | None = None
     return tune(spark)
 
 
-def materialise(df: DataFrame) -> DataFrame:
-    """Write a frame that several later steps read, and cut its lineage there.
+def shared_folder(spark: SparkSession) -> str:
+    """Folder for intermediate tables that the driver and every executor see.
 
-    The folder is the shared one named by ``spark.checkpoint.dir``. A local run without that
-    setting uses a temporary folder; a cluster without it keeps the lazy frame, because a
-    folder on one machine would not survive the loss of that machine.
+    It is the one the cluster names in ``spark.checkpoint.dir``. Where that is unset, as in tests,
+    a folder inside the SQL warehouse takes its place, which is shared as well.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None and context.master.startswith("local"):
-            folder = tempfile.mkdtemp(prefix="gearledger-checkpoint-")
-        if folder is None:
-            return df
-        context.setCheckpointDir(folder)
-    return df.checkpoint()
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    return named.rstrip("/") if named else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
+
+
+def materialise(df: DataFrame, name: str = "frame") -> DataFrame:
+    """Write a frame that several later steps read as parquet into the shared folder, and read it back.
+
+    This runs a job at once. Lineage ends at the written files, so a lost executor costs a reread only.
+    The files stay until the owner of the folder clears it.
+    """
+    path = f"{shared_folder(df.sparkSession)}/gearledger/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
