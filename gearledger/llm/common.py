@@ -80,14 +80,25 @@ def mix(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(32))
 
 
-def gram_hashes(hashes: np.ndarray, width: int, seed: int = 0) -> np.ndarray:
-    """A hash for every run of ``width`` word hashes, by order; empty if there are fewer."""
-    n = len(hashes) - width + 1
-    if n <= 0:
-        return np.empty(0, dtype=np.uint64)
+def gram_hashes_at(hashes: np.ndarray, width: int, places: np.ndarray | int, seed: int = 0) -> np.ndarray:
+    """A hash of the run of ``width`` word hashes, by order, at each of the places (or at the first so many)."""
+    n = places if isinstance(places, int) else len(places)
     total = np.full(n, np.uint64(seed * 2 + 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF), dtype=np.uint64)
     for i in range(width):
-        total ^= hashes[i : i + n]
+        total ^= hashes[i : i + n] if isinstance(places, int) else hashes[places + i]
         total *= np.uint64(0x9FB21C651E98DF25)
         total ^= total >> np.uint64(29)
     return mix(total)
+
+
+def gram_hashes(hashes: np.ndarray, width: int, seed: int = 0) -> np.ndarray:
+    """A hash for every run of ``width`` word hashes, by order; empty if there are fewer."""
+    return gram_hashes_at(hashes, width, max(0, len(hashes) - width + 1), seed)
+
+
+def list_numbers(lists: pa.ListArray, field: str) -> tuple[np.ndarray, np.ndarray]:
+    """Offsets of the lists and all values of one field of their entries, without a Python object per entry."""
+    inner = lists.flatten()
+    sizes = pc.list_value_length(lists).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    values = pc.struct_field(inner, field).to_numpy(zero_copy_only=False)
+    return np.concatenate([[0], np.cumsum(sizes)]), values

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gearledger.llm.common import chunked, gram_hashes, mix, word_hashes
+from gearledger.llm.common import chunked, gram_hashes, gram_hashes_at, list_numbers, mix, word_hashes
 from gearledger.session import materialise
 
 #: Least length of a repeat, in words.
@@ -41,14 +41,13 @@ def stretches(hashes: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, ...
         none = np.empty(0, np.int64)
         return none, none, none, none
     grams = gram_hashes(hashes, ANCHOR, 1)
-    windows = gram_hashes(hashes, length, 2)
     at = winnow(grams, length - ANCHOR + 1)
     cuts = np.flatnonzero(np.diff(at)) + 1
     first = np.concatenate([[0], cuts])
     last = np.concatenate([cuts, [len(at)]]) - 1
     # First and last window overlap, so together they hold every word of the stretch.
     inner = (last - first).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    whole = mix(mix(windows[first] + inner) ^ windows[last])
+    whole = mix(mix(gram_hashes_at(hashes, length, first, 2) + inner) ^ gram_hashes_at(hashes, length, last, 2))
     return grams[at[first]].view(np.int64), whole.view(np.int64), first, last
 
 
@@ -79,17 +78,19 @@ def _windows(length: int):
         cache: dict[bytes, int] = {}
         for batch in chunked(batches):
             owners, starts, left, right = [], [], [], []
-            for i, (text, spans) in enumerate(zip(batch.column("text").to_pylist(),
-                                                  batch.column("spans").to_pylist())):
-                picked = [np.arange(s["first"], s["last"] + 1) for s in spans if s["extend"]]
-                if not picked:
+            spans = batch.column("spans")
+            cuts, first = list_numbers(spans, "first")
+            last, extend = list_numbers(spans, "last")[1], list_numbers(spans, "extend")[1]
+            for i, text in enumerate(batch.column("text").to_pylist()):
+                mine = np.flatnonzero(extend[cuts[i] : cuts[i + 1]]) + cuts[i]
+                if not len(mine):
                     continue
                 hashes = word_hashes(text.encode("utf-8", "surrogatepass").split(), cache)
-                at = np.concatenate(picked)
+                at = np.unique(np.concatenate([np.arange(first[x], last[x] + 1) for x in mine]))
                 owners.append(np.full(len(at), i))
                 starts.append(at)
-                left.append(gram_hashes(hashes, length, 2)[at])
-                right.append(gram_hashes(hashes, length, 3)[at])
+                left.append(gram_hashes_at(hashes, length, at, 2))
+                right.append(gram_hashes_at(hashes, length, at, 3))
             if not owners:
                 continue
             owner = pa.array(np.concatenate(owners))
@@ -114,11 +115,16 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         "doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key"), "text")
     places = keyed.mapInArrow(
         _anchors(length), f"doc_id {kind}, text_key long, anchor long, stretch long, first int, last int")
-    counted = places.groupBy("anchor", "stretch").agg(F.count(F.lit(1)).alias("copies"))
+    places = places.withColumn("place", F.xxhash64("doc_id", "text_key", "first"))
+    counted = places.groupBy("anchor", "stretch").agg(
+        F.count(F.lit(1)).alias("copies"), F.min("place").alias("one"))
     anchors = counted.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds"), F.sum("copies").alias("all"))
-    seeds = materialise(counted.join(anchors.where("all > 1").drop("all"), "anchor").select(
-        "anchor", "stretch", (F.col("copies") > 1).alias("whole"), (F.col("kinds") > 1).alias("extend")), "seeds")
-    matched = places.join(seeds, ["anchor", "stretch"]).groupBy("doc_id", "text_key").agg(
+    # Copies of a stretch repeat as a whole; one of them stands for all where other stretches of the anchor differ.
+    seeds = counted.join(anchors.where("all > 1").drop("all"), "anchor").select(
+        "anchor", "stretch", (F.col("copies") > 1).alias("whole"), F.when(F.col("kinds") > 1, F.col("one")).alias("one"))
+    matched = places.join(seeds, ["anchor", "stretch"]).select(
+        "doc_id", "text_key", "first", "last", "whole", F.coalesce(F.col("place") == F.col("one"), F.lit(False)).alias("extend"))
+    matched = matched.where("whole OR extend").groupBy("doc_id", "text_key").agg(
         F.collect_list(F.struct("first", "last", "whole", "extend")).alias("spans"))
     matched = materialise(matched, "matched")
 
@@ -142,13 +148,15 @@ def _remove(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunked(batches):
             counts, removed, texts = [], [], []
-            for text, ranges in zip(batch.column("text").to_pylist(), batch.column("ranges").to_pylist()):
+            cuts, first = list_numbers(batch.column("ranges"), "first")
+            last = list_numbers(batch.column("ranges"), "last")[1]
+            for i, text in enumerate(batch.column("text").to_pylist()):
                 words = (text or "").encode("utf-8", "surrogatepass").split()
                 counts.append(len(words))
-                if ranges:
+                if cuts[i] < cuts[i + 1]:
                     edge = np.zeros(len(words) + 1, np.int64)
-                    np.add.at(edge, [r["first"] for r in ranges], 1)
-                    np.add.at(edge, [r["last"] + length for r in ranges], -1)
+                    np.add.at(edge, first[cuts[i] : cuts[i + 1]], 1)
+                    np.add.at(edge, last[cuts[i] : cuts[i + 1]] + length, -1)
                     stay = np.cumsum(edge[:-1]) == 0
                     words = [w for w, s in zip(words, stay.tolist()) if s]
                 removed.append(counts[-1] - len(words))
