@@ -25,7 +25,10 @@ BANDS = 36
 BAND_PERMUTATIONS = 4
 #: Buckets up to this size propose all their pairs; larger ones go through their most central member.
 SMALL_BUCKET = 8
+#: Shingles of one tile of a cluster.
+TILE_SHINGLES = 1_000_000
 _ROWS = 4096
+_BLOCK = 256
 _RANDOM = np.random.default_rng(20_240)
 _FACTORS = _RANDOM.integers(0, 2**63, BANDS * BAND_PERMUTATIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BAND_SEEDS = _RANDOM.integers(0, 2**63, BANDS, dtype=np.uint64)
@@ -103,7 +106,7 @@ def confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough."""
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("left"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("right"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right").mapInArrow(
+    return pairs.join(left.hint("merge"), "a").join(right.hint("merge"), "b").select("a", "b", "left", "right").mapInArrow(
         _confirm, "a long, b long")
 
 
@@ -121,9 +124,9 @@ def links_of(nodes: DataFrame, docs: DataFrame) -> DataFrame:
     """Confirmed links (a, b) that connect what all links among the band buckets' members connect.
 
     Buckets of two give their pair straight from the count, buckets of up to SMALL_BUCKET all pairs. In a larger
-    bucket every member meets the member with the fewest shingles of its own, and then only members of different
-    components meet, unless the shingles that they share with anyone are too few for a link. So nothing is left
-    out, and a hot group of near copies costs rows in proportion to its size, not to its square.
+    bucket every member meets the member with the fewest shingles of its own. Members whose shingles shared with
+    anyone are too few for any link leave. What is then in buckets with several components meets in ``across``. So
+    nothing is left out, and a hot group of near copies costs rows in proportion to its size, not to its square.
     """
     entries = nodes.select("node", F.explode("bands").alias("band"))
     buckets = entries.groupBy("band").agg(
@@ -138,7 +141,7 @@ def links_of(nodes: DataFrame, docs: DataFrame) -> DataFrame:
     pairs = materialise(buckets.where("members = 2").select("a", "b").union(few).distinct(), "pairs")
     hot = crowded.where(F.col("members") > SMALL_BUCKET).select("band", "node")
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(hot.select("node")).distinct()
-    texts = docs.select(F.col("doc_id").alias("node"), "text").join(wanted, "node", "left_semi")
+    texts = docs.select(F.col("doc_id").alias("node"), "text").join(wanted.hint("merge"), "node", "left_semi")
     sets = materialise(texts.mapInArrow(_sets, "node long, n long, shingles binary"), "sets")
 
     hot_nodes = hot.select("node").distinct()
@@ -161,13 +164,63 @@ def links_of(nodes: DataFrame, docs: DataFrame) -> DataFrame:
         return found
     labelled = members.join(components(found), "node", "left").withColumn(
         "component", F.coalesce("component", "node"))
-    mixed = labelled.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
-    rest = materialise(labelled.join(mixed.select("band"), "band"), "rest")
-    across = rest.alias("x").join(rest.alias("y"), F.expr(
-        "x.band = y.band AND x.node < y.node AND x.component <> y.component")
-        & _may_link("x.n", "y.n", "x.s", "y.s")).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-    left = across.distinct().join(tested, ["a", "b"], "left_anti")
-    return found.union(materialise(confirm(left, sets), "confirmed"))
+    mixed = labelled.groupBy("band").agg(
+        F.min("component").alias("lo"), F.max("component").alias("hi"), F.min("node").alias("a")).where("lo < hi")
+    rest = materialise(labelled.join(mixed.select("band", "a"), "band").select("node", "a", "component", "n"), "rest")
+    clusters = components(rest.select("a", F.col("node").alias("b"))).withColumnRenamed("component", "cluster")
+    return found.union(across(rest.select("node", "component", "n").distinct().join(clusters, "node"), sets))
+
+
+def _block_links(nodes: np.ndarray, labels: np.ndarray, sets: list[np.ndarray]) -> list[tuple[int, int]]:
+    """Links between members of different components, by matrix products of blocks of similar set sizes."""
+    sizes = np.array([len(s) for s in sets])
+    order = np.argsort(sizes, kind="stable")
+    blocks = [order[i : i + _BLOCK] for i in range(0, len(order), _BLOCK)]
+    found: list[tuple[int, int]] = []
+    for x, left in enumerate(blocks):
+        for right in blocks[x:]:
+            if 100 * sizes[left[-1]] < PERCENT * sizes[right[0]]:
+                break
+            both = np.concatenate([left, right])
+            row = np.repeat(np.arange(len(both)), sizes[both])
+            values, at, times = np.unique(
+                np.concatenate([sets[i] for i in both]), return_inverse=True, return_counts=True)
+            common = np.cumsum(times > 1) - 1
+            use = times[at] > 1
+            shared = np.zeros((len(left), len(right)))
+            for start in range(0, int((times > 1).sum()), _ROWS):
+                here = use & (common[at] >= start) & (common[at] < start + _ROWS)
+                cells = np.zeros((len(both), _ROWS), np.float32)
+                cells[row[here], common[at[here]] - start] = 1
+                shared += cells[: len(left)] @ cells[len(left) :].T
+            union = sizes[left][:, None] + sizes[right][None, :] - shared
+            linked = (100 * shared >= PERCENT * union) & (labels[left][:, None] != labels[right][None, :])
+            found += [(int(nodes[left[i]]), int(nodes[right[j]])) for i, j in zip(*np.nonzero(linked))]
+    return found
+
+
+def across(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """Confirmed links between different components of a cluster (columns node, component, n, cluster).
+
+    A cluster is cut into tiles by the amount of its shingles, every pair of tiles is one group, and the pairs of
+    documents are compared by matrix products inside it; only links leave it.
+    """
+    total = members.groupBy("cluster").agg(F.sum("n").alias("total"))
+    dealt = members.join(total, "cluster").withColumn(
+        "tiles", F.ceil(F.col("total") / TILE_SHINGLES).cast("long")).withColumn(
+        "tile", F.pmod(F.xxhash64("node"), F.col("tiles")))
+    spread = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1))).select(
+        "cluster", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"), "node", "component")
+    grouped = spread.join(sets.select("node", "shingles").hint("merge"), "node").groupBy("cluster", "i", "j")
+
+    def run(group: pa.Table) -> pa.Table:
+        nodes = group.column("node").to_numpy()
+        sets = [np.frombuffer(x, np.uint64) for x in group.column("shingles").to_pylist()]
+        links = _block_links(nodes, group.column("component").to_numpy(), sets)
+        pairs = np.array(links, np.int64).reshape(-1, 2)
+        return pa.table({"a": pairs.min(axis=1), "b": pairs.max(axis=1)})
+
+    return materialise(grouped.applyInArrow(run, "a long, b long").distinct(), "confirmed")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
