@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gearledger.llm.common import chunked
+from gearledger.llm.common import chunked, gram_hashes, mix
 
 BUCKETS = 1 << 16
 DIM = 16
@@ -40,13 +40,25 @@ def fold(doc_id: str | Column) -> Column:
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % FOLDS
 
 
-def word_buckets(word: bytes) -> list[int]:
-    """Buckets of a word and of the byte n-grams of the word between two marks."""
-    marked = b"<" + word + b">"
-    out = [crc32(marked)]
+def word_buckets(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Per word its hash; then the buckets of all words, each word and the byte n-grams of the word between two
+    marks, word after word, and the number of buckets of each."""
+    marked = [b"<" + w + b">" for w in words]
+    marks = np.fromiter(map(crc32, marked), np.uint64, len(marked))
+    lengths = np.fromiter(map(len, marked), np.int64, len(marked))
+    data = np.frombuffer(b"".join(marked), np.uint8).astype(np.uint64)
+    owner = np.repeat(np.arange(len(marked)), lengths)
+    room = np.repeat(np.cumsum(lengths), lengths) - np.arange(len(data))
+    owners, hashes = [np.arange(len(marked))], [mix(marks)]
     for n in GRAMS:
-        out += [crc32(marked[i : i + n], n) for i in range(len(marked) - n + 1)]
-    return [1 + x % (BUCKETS - 1) for x in out]
+        grams = gram_hashes(data, n, n)
+        whole = room[: len(grams)] >= n
+        owners.append(owner[: len(grams)][whole])
+        hashes.append(grams[whole])
+    every = np.concatenate(owners)
+    order = np.argsort(every, kind="stable")
+    buckets = 1 + (np.concatenate(hashes) >> np.uint64(33)) % np.uint64(BUCKETS - 1)
+    return marks, buckets[order].astype(np.int64), np.bincount(every, minlength=len(marked))
 
 
 def pair_buckets(marks: np.ndarray) -> np.ndarray:
@@ -61,10 +73,14 @@ def pair_buckets(marks: np.ndarray) -> np.ndarray:
 def text_features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     """Distinct buckets of a text and their shares of all its features."""
     words = (text or "").encode("utf-8", "surrogatepass").split()
-    known = {w: word_buckets(w) for w in set(words)}
-    ids = [b for w in words for b in known[w]]
-    marks = np.fromiter((known[w][0] for w in words), np.uint64, len(words))
-    every = np.concatenate([np.array(ids, np.int64), pair_buckets(marks)])
+    if not words:
+        return np.empty(0, np.int64), np.empty(0)
+    distinct = list(dict.fromkeys(words))
+    place = {w: i for i, w in enumerate(distinct)}
+    at = np.fromiter(map(place.__getitem__, words), np.int64, len(words))
+    marks, flat, sizes = word_buckets(distinct)
+    times = np.repeat(np.bincount(at, minlength=len(distinct)), sizes)
+    every = np.concatenate([np.repeat(flat, times), pair_buckets(marks[at])])
     buckets, counts = np.unique(every, return_counts=True)
     return buckets, counts / max(1, len(every))
 
@@ -121,42 +137,39 @@ class Scorer:
         self.marks = np.zeros(1024, np.uint64)
         self.sizes = np.zeros(1024, np.int64)
 
-    def learn(self, words: list[bytes]) -> None:
-        fresh = [w for w in set(words) if w not in self.rows]
+    def learn(self, words: set[bytes]) -> None:
+        fresh = [w for w in words if w not in self.rows]
         if len(self.rows) + len(fresh) > CACHE_WORDS and self.rows:
             self.rows.clear()
-            fresh = list(set(words))
+            fresh = list(words)
         if not fresh:
             return
         start = len(self.rows)
-        lists = [word_buckets(w) for w in fresh]
         end = start + len(fresh)
         while end > len(self.sums):
             self.sums = np.vstack([self.sums, np.zeros_like(self.sums)])
             self.marks = np.concatenate([self.marks, np.zeros_like(self.marks)])
             self.sizes = np.concatenate([self.sizes, np.zeros_like(self.sizes)])
-        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-        flat = np.fromiter((b for x in lists for b in x), np.int64, int(sizes.sum()))
-        cuts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+        marks, flat, sizes = word_buckets(fresh)
+        cuts = np.cumsum(sizes) - sizes
         self.sums[start:end] = np.add.reduceat(self.model.vectors[flat], cuts)
-        self.marks[start:end] = [x[0] for x in lists]
-        self.sizes[start:end] = sizes
-        for i, w in enumerate(fresh):
-            self.rows[w] = start + i
-
-    def score(self, text: str | None) -> float:
-        words = (text or "").encode("utf-8", "surrogatepass").split()
-        if not words:
-            return self.model.probability(np.zeros(DIM))
-        self.learn(words)
-        at = np.fromiter(map(self.rows.__getitem__, words), np.int64, len(words))
-        pairs = pair_buckets(self.marks[at])
-        rows, counts = np.unique(at, return_counts=True)
-        total = counts @ self.sums[rows]
-        if len(pairs):
-            ids, pair_counts = np.unique(pairs, return_counts=True)
-            total = total + pair_counts @ self.model.vectors[ids]
-        return self.model.probability(total / (counts @ self.sizes[rows] + len(pairs)))
+        self.marks[start:end], self.sizes[start:end] = marks, sizes
+        self.rows.update(zip(fresh, range(start, end)))
+
+    def scores(self, texts: list[str | None]) -> list[float]:
+        """Scores of a bounded amount of text; the words that are new are learnt together."""
+        lists = [(t or "").encode("utf-8", "surrogatepass").split() for t in texts]
+        self.learn(set().union(*lists))
+        out = []
+        for words in lists:
+            average = np.zeros(DIM)
+            if words:
+                at = np.fromiter(map(self.rows.__getitem__, words), np.int64, len(words))
+                pairs = pair_buckets(self.marks[at])
+                total = self.sums[at].sum(axis=0) + self.model.vectors[pairs].sum(axis=0)
+                average = total / (int(self.sizes[at].sum()) + len(pairs))
+            out.append(self.model.probability(average))
+        return out
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, limit: int = TRAIN_DOCS) -> list:
@@ -188,7 +201,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRES
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(shared.value)
         for batch in chunked(batches):
-            scores = [scorer.score(t) for t in batch.column("text").to_pylist()]
+            scores = scorer.scores(batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("held_out"), pa.array(scores, pa.float64()),
                  pa.array([int(s >= threshold) for s in scores], pa.int32())],
@@ -209,7 +222,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(shared.value)
         for batch in chunked(batches):
-            good = [scorer.score(t) >= threshold for t in batch.column("text").to_pylist()]
+            good = [x >= threshold for x in scorer.scores(batch.column("text").to_pylist())]
             yield batch.filter(pa.array(good, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
