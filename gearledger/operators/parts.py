@@ -28,8 +28,8 @@ def inquiry_alias_parts(
     ).select("damage_id", "car_type")
     asked = damage_parts.where(
         ~F.col("part_oe").like(P.UNLISTED_PART_PREFIX + "%") & (F.col("part_oe") != "")
-    ).withColumn("temp_oe", clean_part_number(F.col("part_oe")))
-    names = products.where(F.col("partsName").isNotNull()).select(
+    ).withColumn("temp_oe", clean_part_number(F.col("part_oe"))).where("temp_oe <> ''")  # nothing left to match by
+    names = products.where("partsName IS NOT NULL AND partsOe <> ''").select(
         F.col("partsOe").alias("temp_oe"), F.col("partsName").alias("standard_part_name")).distinct()
     return (
         asked.join(cases, "damage_id").join(names, "temp_oe")

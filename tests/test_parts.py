@@ -8,8 +8,9 @@ def test_inquiry_alias(table):
         (3, "T3", None, "2020-03-01 10:00:00"), (4, "T4", "A4", None), (5, "T5", "A5", "2020-03-02 00:00:00")])
     asked = table("damage_id long, part_id long, part_name string, part_oe string", [
         (1, 10, "n", "a-1"), (1, 11, "n", "JY1"), (1, 12, "n", ""), (1, 13, "n", None), (1, 14, "n", "zz"),
+        (1, 15, "n", "-"),
         (2, 20, "n", "a1"), (3, 30, "n", "a1"), (4, 40, "n", "a1"), (5, 50, "n", "a.1")])
-    products = table("partsOe string, partsName string", [("a1", "Door"), ("a1", "Door"), ("a1", "Left door"), ("a1", None)])
+    products = table("partsOe string, partsName string", [("a1", "Door"), ("a1", "Door"), ("a1", "Left door"), ("a1", None), ("", "None"), ("", "Nothing")])
     got = parts.inquiry_alias_parts(damage, asked, products, "2020-03-01", "2020-03-01")
     assert rows_of(got) == [(10, "Door", "n", "a-1", "T1"), (10, "Left door", "n", "a-1", "T1")]
     assert parts.inquiry_alias_parts(damage, asked, products).count() == 4
