@@ -1,7 +1,8 @@
 """The five batch jobs over a source of domain tables.
 
 ``source`` gives a DataFrame per domain table name, from parquet or JDBC; every job takes the
-day it runs for and returns its finished tables by name. Nothing runs until a table is written.
+day it runs for and returns its finished tables by name. Frames that several tables share are written
+to the shared folder while the job is built; the rest runs when a table is written.
 """
 
 from __future__ import annotations
