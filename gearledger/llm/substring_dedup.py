@@ -9,6 +9,7 @@ and only where stretches of one anchor differ (the ends of a maximal repeat) sin
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import compress, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -35,69 +36,80 @@ def winnow(grams: np.ndarray, width: int) -> np.ndarray:
     return at
 
 
-def stretches(hashes: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, ...]:
-    """anchor hash, stretch hash, first and last window start of every stretch of windows with one anchor."""
-    if len(hashes) < length:
+def batch_words(texts: list[str | None]) -> tuple[list[bytes], np.ndarray]:
+    """All words of the texts in a row, and where each text starts among them (with the end of the last)."""
+    words, starts = [], [0]
+    for text in texts:
+        if text:
+            words += text.encode("utf-8", "surrogatepass").split()
+        starts.append(len(words))
+    return words, np.array(starts)
+
+
+def stretches(hashes: np.ndarray, starts: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, ...]:
+    """anchor hash, stretch hash, text number, first and last window start of every stretch of windows with one
+    anchor. The hashes are those of many texts in a row; windows that would cross into the next text do not count.
+    """
+    sizes = np.diff(starts)
+    owner = np.repeat(np.arange(len(sizes)), np.maximum(sizes - length + 1, 0))
+    if not len(owner):
         none = np.empty(0, np.int64)
-        return none, none, none, none
+        return none, none, none, none, none
+    within = np.arange(len(hashes)) + length <= np.repeat(starts[1:], sizes)
+    windows = np.flatnonzero(within)
     grams = gram_hashes(hashes, ANCHOR, 1)
-    at = winnow(grams, length - ANCHOR + 1)
+    at = winnow(grams, length - ANCHOR + 1)[windows]
+    # Anchors of different texts stand at different places, so a stretch never runs on into the next text.
     cuts = np.flatnonzero(np.diff(at)) + 1
-    first = np.concatenate([[0], cuts])
-    last = np.concatenate([cuts, [len(at)]]) - 1
+    heads = np.concatenate([[0], cuts])
+    first, last = windows[heads], windows[np.concatenate([cuts, [len(at)]]) - 1]
     # First and last window overlap, so together they hold every word of the stretch.
     inner = (last - first).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     whole = mix(mix(gram_hashes_at(hashes, length, first, 2) + inner) ^ gram_hashes_at(hashes, length, last, 2))
-    return grams[at[first]].view(np.int64), whole.view(np.int64), first, last
+    owner = owner[heads]
+    return grams[at[heads]].view(np.int64), whole.view(np.int64), owner, first - starts[owner], last - starts[owner]
 
 
 def _anchors(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache: dict[bytes, int] = {}
         for batch in chunked(batches):
-            found, counts = [], []
-            for text in batch.column("text").to_pylist():
-                words = (text or "").encode("utf-8", "surrogatepass").split()
-                got = stretches(word_hashes(words, cache), length) if len(words) >= length else None
-                counts.append(len(got[0]) if got else 0)
-                if got:
-                    found.append(got)
-            columns = [np.concatenate(x) for x in zip(*found)] if found else [np.empty(0, np.int64)] * 4
-            owner = pa.array(np.repeat(np.arange(batch.num_rows), counts))
+            words, starts = batch_words(batch.column("text").to_pylist())
+            anchor, whole, owner, first, last = stretches(word_hashes(words, cache), starts, length)
+            owner = pa.array(owner)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").take(owner), batch.column("text_key").take(owner),
-                 pa.array(columns[0]), pa.array(columns[1]), pa.array(columns[2].astype(np.int32)),
-                 pa.array(columns[3].astype(np.int32))],
+                 pa.array(anchor), pa.array(whole), pa.array(first.astype(np.int32)),
+                 pa.array(last.astype(np.int32))],
                 names=["doc_id", "text_key", "anchor", "stretch", "first", "last"])
 
     return run
 
 
+def covered(first: np.ndarray, last: np.ndarray, size: int) -> np.ndarray:
+    """Which of ``size`` places lie in one of the ranges, ends included."""
+    edges = np.bincount(first, minlength=size + 1) - np.bincount(last + 1, minlength=size + 1)
+    return np.cumsum(edges[:size]) > 0
+
+
 def _windows(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache: dict[bytes, int] = {}
         for batch in chunked(batches):
-            owners, starts, left, right = [], [], [], []
+            words, starts = batch_words(batch.column("text").to_pylist())
+            hashes = word_hashes(words, cache)
             spans = batch.column("spans")
             cuts, first = list_numbers(spans, "first")
-            last, extend = list_numbers(spans, "last")[1], list_numbers(spans, "extend")[1]
-            for i, text in enumerate(batch.column("text").to_pylist()):
-                mine = np.flatnonzero(extend[cuts[i] : cuts[i + 1]]) + cuts[i]
-                if not len(mine):
-                    continue
-                hashes = word_hashes(text.encode("utf-8", "surrogatepass").split(), cache)
-                at = np.unique(np.concatenate([np.arange(first[x], last[x] + 1) for x in mine]))
-                owners.append(np.full(len(at), i))
-                starts.append(at)
-                left.append(gram_hashes_at(hashes, length, at, 2))
-                right.append(gram_hashes_at(hashes, length, at, 3))
-            if not owners:
-                continue
-            owner = pa.array(np.concatenate(owners))
+            last, extend = list_numbers(spans, "last")[1], list_numbers(spans, "extend")[1].astype(bool)
+            base = np.repeat(starts[:-1], np.diff(cuts))[extend]
+            at = np.flatnonzero(covered(first[extend] + base, last[extend] + base, len(words)))
+            doc = np.searchsorted(starts, at, side="right") - 1
+            owner = pa.array(doc)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").take(owner), batch.column("text_key").take(owner),
-                 pa.array(np.concatenate(starts).astype(np.int32)),
-                 pa.array(np.concatenate(left).view(np.int64)), pa.array(np.concatenate(right).view(np.int64))],
+                 pa.array((at - starts[doc]).astype(np.int32)),
+                 pa.array(gram_hashes_at(hashes, length, at, 2).view(np.int64)),
+                 pa.array(gram_hashes_at(hashes, length, at, 3).view(np.int64))],
                 names=["doc_id", "text_key", "start", "w1", "w2"])
 
     return run
@@ -116,8 +128,9 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     places = keyed.mapInArrow(
         _anchors(length), f"doc_id {kind}, text_key long, anchor long, stretch long, first int, last int")
     places = places.withColumn("place", F.xxhash64("doc_id", "text_key", "first"))
-    counted = places.groupBy("anchor", "stretch").agg(
-        F.count(F.lit(1)).alias("copies"), F.min("place").alias("one"))
+    # Written, because two uses of one aggregation with different columns would hash all texts twice.
+    counted = materialise(places.groupBy("anchor", "stretch").agg(
+        F.count(F.lit(1)).alias("copies"), F.min("place").alias("one")), "counted")
     anchors = counted.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds"), F.sum("copies").alias("all"))
     # Copies of a stretch repeat as a whole; one of them stands for all where other stretches of the anchor differ.
     seeds = counted.join(anchors.where("all > 1").drop("all"), "anchor").select(
@@ -147,23 +160,17 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 def _remove(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunked(batches):
-            counts, removed, texts = [], [], []
+            words, starts = batch_words(batch.column("text").to_pylist())
             cuts, first = list_numbers(batch.column("ranges"), "first")
             last = list_numbers(batch.column("ranges"), "last")[1]
-            for i, text in enumerate(batch.column("text").to_pylist()):
-                words = (text or "").encode("utf-8", "surrogatepass").split()
-                counts.append(len(words))
-                if cuts[i] < cuts[i + 1]:
-                    edge = np.zeros(len(words) + 1, np.int64)
-                    np.add.at(edge, first[cuts[i] : cuts[i + 1]], 1)
-                    np.add.at(edge, last[cuts[i] : cuts[i + 1]] + length, -1)
-                    stay = np.cumsum(edge[:-1]) == 0
-                    words = [w for w, s in zip(words, stay.tolist()) if s]
-                removed.append(counts[-1] - len(words))
-                texts.append(b" ".join(words))
+            base = np.repeat(starts[:-1], np.diff(cuts))
+            gone = covered(first + base, last + base + length - 1, len(words))
+            removed = np.diff(np.concatenate([[0], np.cumsum(gone)])[starts])
+            stay = (~gone).tolist()
+            texts = [b" ".join(compress(words[a:b], stay[a:b])) for a, b in pairwise(starts.tolist())]
             kept = pa.array(texts, pa.binary()).cast(pa.string())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), kept],
+                [batch.column("doc_id"), pa.array(np.diff(starts), pa.int64()), pa.array(removed, pa.int64()), kept],
                 names=["doc_id", "n_words", "n_removed", "kept_text"])
 
     return run
