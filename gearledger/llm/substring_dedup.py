@@ -115,6 +115,10 @@ def _windows(length: int):
     return run
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    return docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key"), "text")
+
+
 def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """doc_id, text_key and starts: the window starts of each document whose window also starts elsewhere, as
     ranges (first, last), one row per document with any.
@@ -123,8 +127,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     the words, never with the pairs of a group.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
-    keyed = docs.where(F.col("text").isNotNull()).select(
-        "doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key"), "text")
+    keyed = _keyed(docs)
     places = keyed.mapInArrow(
         _anchors(length), f"doc_id {kind}, text_key long, anchor long, stretch long, first int, last int")
     places = places.withColumn("place", F.xxhash64("doc_id", "text_key", "first"))
@@ -142,10 +145,11 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     matched = materialise(matched, "matched")
 
     open_ends = matched.where(F.exists("spans", lambda s: s["extend"]))
+    # The texts meet their open ends and later their ranges by the same keys, so one exchange of the texts serves
+    # both; the windows are hashed twice instead of being written.
     texts = keyed.alias("d").join(open_ends.alias("m"), F.expr(
         "d.doc_id <=> m.doc_id AND d.text_key = m.text_key")).select("d.*", "spans")
-    compared = materialise(texts.mapInArrow(
-        _windows(length), f"doc_id {kind}, text_key long, start int, w1 long, w2 long"), "windows")
+    compared = texts.mapInArrow(_windows(length), f"doc_id {kind}, text_key long, start int, w1 long, w2 long")
     again = compared.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")
     ends = compared.join(again.select("w1", "w2"), ["w1", "w2"]).groupBy("doc_id", "text_key").agg(
         F.collect_set("start").alias("starts"))
@@ -184,8 +188,7 @@ def dedup_substrings(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     like any other; a repeated row repeats all its words, so both lose them. An empty table gives an empty result.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
-    found = repeated_spans(docs.select("doc_id", "text"), length)
-    keyed = docs.select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key"))
-    joined = keyed.alias("d").join(found.alias("f"), F.expr(
+    found = repeated_spans(docs, length)
+    joined = _keyed(docs).alias("d").join(found.alias("f"), F.expr(
         "d.doc_id <=> f.doc_id AND d.text_key = f.text_key"), "left").select("d.doc_id", "text", "ranges")
     return joined.mapInArrow(_remove(length), f"doc_id {kind}, n_words long, n_removed long, kept_text string")
