@@ -63,6 +63,15 @@ def insert_if_absent(
     return target.unionByName(added.select(*target.columns))
 
 
+def replace_groups(target: DataFrame, updates: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The updates take the place of the target rows of their groups, such as their days; other groups stay.
+
+    Rerunning with the same updates changes nothing, also where keys inside a group are null.
+    """
+    held = updates.select(*columns).distinct()
+    return target.join(held, list(columns), "left_anti").unionByName(updates)
+
+
 def update_columns(
     target: DataFrame, updates: DataFrame, keys: Sequence[str], columns: Sequence[str],
     where: Column | None = None, unique: bool = False,

@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from gearledger.functions import predicates as P
 from gearledger.functions.calendar import DateLike, between_days
 from gearledger.functions.text import clean_part_number, drop_last_char, quality_group
+from gearledger.operators.merge import insert_if_absent, update_columns
 from gearledger.operators.skew import salted_count
 
+BASE_PART_KEYS = ["data_source", "part_id", "standard_part_name"]
 PRODUCT_KEYS = ["provinceCode", "originSource", "carTypeBrandName", "qualityType"]
 
 
@@ -76,6 +78,32 @@ def goods_daily_upload(
     ).select("goodsCode", "partsName", "suppPartsName", "suppPartsOe", "vehicleType", "partsBrandName")
 
 
+def base_part_table(
+    inquired: DataFrame, uploaded: DataFrame, offered: DataFrame, table: DataFrame | None = None
+) -> DataFrame:
+    """Standing table of base parts: inquired parts (source 1) and uploaded goods (source 2) are added where absent,
+    then inquired parts take the brands that were offered for them last.
+
+    ``inquired``, ``uploaded`` and ``offered`` are the results of ``inquiry_alias_parts``, ``goods_daily_upload``
+    and ``offer_brands``; ``table`` is the snapshot so far, none at the start.
+    """
+    inquiries = inquired.select(
+        F.col("part_id").cast("string").alias("part_id"), "standard_part_name", "part_name",
+        F.col("part_oe").alias("oe"), F.col("car_type").alias("vehicle_type"),
+        F.lit(None).cast("string").alias("part_brand"), F.lit("1").alias("data_source"))
+    uploads = uploaded.select(
+        F.col("goodsCode").alias("part_id"), F.col("partsName").alias("standard_part_name"),
+        F.col("suppPartsName").alias("part_name"), F.col("suppPartsOe").alias("oe"),
+        F.col("vehicleType").alias("vehicle_type"), F.col("partsBrandName").alias("part_brand"),
+        F.lit("2").alias("data_source"))
+    start = inquiries.limit(0) if table is None else table
+    grown = insert_if_absent(start, inquiries.unionByName(uploads), BASE_PART_KEYS)
+    latest = offered.groupBy(F.col("damagePartId").cast("string").alias("part_id")).agg(
+        F.max_by("part_brand", "stat_date").alias("part_brand"))
+    return update_columns(
+        grown, latest, ["part_id"], ["part_brand"], F.col("data_source") == "1", unique=True)
+
+
 def product_count_salted(goods: DataFrame, salt_by: str = "goodsCode") -> DataFrame:
     """Products per province, source, brand and quality, counted in two salted phases."""
     return salted_count(P.valid_products(goods), PRODUCT_KEYS, [salt_by], "no_products")

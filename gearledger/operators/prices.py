@@ -11,6 +11,7 @@ from gearledger.functions.money import round2
 from gearledger.functions.text import clean_part_number, pid
 from gearledger.operators.extremes import extreme_row, highest_per_key, lowest_per_key
 from gearledger.operators.lookups import join_folded, lookup
+from gearledger.operators.merge import update_columns
 
 KEYS = ["car_brand", "temp_oe", "quality_type"]
 # Fixed value: days after which a stored lowest or highest price expires.
@@ -140,3 +141,19 @@ def local_price_match(local: DataFrame, prices: DataFrame, provinces: DataFrame)
             matched, provinces, f"{side}_province", "province_code", "province_chn", f"{side}_sale_province_name")
     return matched.select(
         "id", "oem_sale_price", "oem_sale_province_name", "afm_sale_price", "afm_sale_province_name")
+
+
+def local_price_update(local: DataFrame, matched: DataFrame) -> DataFrame:
+    """The local list with the matched prices and provinces written to its ``min_*`` columns.
+
+    Those are added empty where the list lacks them; rows without a match keep what they hold.
+    """
+    sides = [f"{s}_{k}" for s in ("oem", "afm") for k in ("price", "province")]
+    for side in sides:
+        if f"min_{side}" not in local.columns:
+            kind = "decimal(11,2)" if side.endswith("price") else "string"
+            local = local.withColumn(f"min_{side}", F.lit(None).cast(kind))
+    changes = matched.select(
+        "id", F.col("oem_sale_price").alias("min_oem_price"), F.col("oem_sale_province_name").alias("min_oem_province"),
+        F.col("afm_sale_price").alias("min_afm_price"), F.col("afm_sale_province_name").alias("min_afm_province"))
+    return update_columns(local, changes, ["id"], [f"min_{side}" for side in sides])

@@ -239,3 +239,20 @@ def vehicle_scorecard(
     mix = vehicle_part_mix_net(orders, start, end)
     open_amounts = paid_not_delivered(orders, start, end)
     return with_report_keys(full_outer_merge([mix, open_amounts], KEYS))
+
+
+def complementary_scorecard(
+    orders: DataFrame, shop_counts: DataFrame, start: DateLike | None = None, end: DateLike | None = None
+) -> DataFrame:
+    """The vehicle scorecard with the shop counts of its places in further columns of the same key.
+
+    ``shop_counts`` are those of ``shops.city_shop_counts``. A month's counts stand at ``end`` if that lies in the
+    month, which is the day of a daily run, and at the last day of the month otherwise.
+    """
+    closing = F.last_day(F.make_date("year", "month", F.lit(1)))
+    if end is not None:
+        closing = F.when(closing == F.last_day(day(end)), day(end)).otherwise(closing)
+    counts = shop_counts.withColumn("stat_date", closing).where(between_days(F.col("stat_date"), start, end))
+    counts = counts.select(*KEYS, "repeat_purchase_shop_previous", "repeat_purchase_shop")
+    return with_report_keys(full_outer_merge(
+        [vehicle_part_mix_net(orders, start, end), paid_not_delivered(orders, start, end), counts], KEYS))

@@ -93,6 +93,13 @@ def active_shops(years: DataFrame, until: DateLike | None = None) -> DataFrame:
     return full_outer_merge([previous, current], [*MONTH_KEYS, "province"])
 
 
+def city_shop_counts(years: DataFrame, until: DateLike | None = None) -> DataFrame:
+    """Base and repeat counts per month, province and city, one row per place and month."""
+    previous = shops_by_city(base_shops(years, until)).withColumnRenamed("no_shop", "repeat_purchase_shop_previous")
+    current = shops_by_city(repeat_shops(years, until)).withColumnRenamed("no_shop", "repeat_purchase_shop")
+    return full_outer_merge([previous, current], [*MONTH_KEYS, "province", "city"])
+
+
 def shop_detail(years: DataFrame, until: DateLike | None = None) -> DataFrame:
     """Base (type 2) and repeat (type 1) shop rows in one table."""
     base = base_shops(years, until).withColumn("type", F.lit(BASE_TYPE))

@@ -28,7 +28,7 @@ def business_job(source: Source, date: dt.date) -> dict[str, DataFrame]:
     month = f"year = {date.year} AND month = {date.month}"
     return {
         "daily_scorecard": scorecard.daily_scorecard(orders, track, date, date),
-        "vehicle_scorecard": scorecard.vehicle_scorecard(orders, date, date),
+        "vehicle_scorecard": scorecard.complementary_scorecard(orders, shops.city_shop_counts(years, date), date, date),
         "shop_detail": shops.shop_detail(years, date).where(month),
         "active_shops": shops.active_shops(years, date).where(month),
         "manager_scorecard": managers.manager_scorecard(
@@ -91,30 +91,42 @@ def price_job(source: Source, date: dt.date) -> dict[str, DataFrame]:
 
 
 def alias_job(source: Source, date: dt.date) -> dict[str, DataFrame]:
-    """Alias parts, uploaded goods and offered brands of one day."""
+    """Alias parts, uploaded goods and offered brands of one day, and the standing base parts after it."""
+    aliases = parts.inquiry_alias_parts(source("damage"), source("damage_parts"), source("product_info"), date, date)
+    goods = parts.goods_daily_upload(source("goods"), date, date)
     return {
-        "alias_parts": parts.inquiry_alias_parts(
-            source("damage"), source("damage_parts"), source("product_info"), date, date),
-        "goods_parts": parts.goods_daily_upload(source("goods"), date, date),
+        "alias_parts": aliases,
+        "goods_parts": goods,
         "offer_brands": parts.offer_brand_list(source("offers"), source("base_parts"), date, date),
+        "base_part_table": parts.base_part_table(
+            aliases, goods, parts.offer_brands(source("offers"), date, date), source("base_part_table")),
     }
 
 
 def catalogue_job(source: Source) -> dict[str, DataFrame]:
     """Product counts, price census and the local price list."""
-    goods = source("goods")
+    goods, local = source("goods"), source("local_prices")
+    matched = prices.local_price_match(local, source("floor_prices"), source("province_map"))
     return {
         "product_counts": parts.product_count_salted(goods),
         "price_census": parts.price_by_quality_group(goods),
-        "local_prices": prices.local_price_match(
-            source("local_prices"), source("floor_prices"), source("province_map")),
+        "local_prices": prices.local_price_update(local, matched),
     }
 
 
+#: Standing tables that a day or a month is added to, with the columns that its rows replace as a whole.
+STANDING = {
+    "daily_scorecard": ["stat_date"], "vehicle_scorecard": ["stat_date"], "manager_scorecard": ["stat_date"],
+    "shop_detail": ["year", "month"], "active_shops": ["year", "month"], "bonus_table": ["year", "month"],
+}
+
+
 def publish_all(tables: Mapping[str, DataFrame], folder: str) -> None:
-    """Write the finished tables of a job, each replacing its published snapshot.
+    """Write the finished tables of a job.
 
-    A new snapshot may be computed from the old one, so it goes to a folder of its own run.
+    Rows of a standing table replace those of their day or month and leave the others, so days accumulate and a
+    rerun changes nothing. Other tables replace their snapshot; such a one may be computed from the old one, so it
+    goes to a folder of its own run.
     """
     for name, table in tables.items():
-        publish(table, f"{folder}/{name}")
+        publish(table, f"{folder}/{name}", STANDING.get(name))

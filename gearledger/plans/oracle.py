@@ -745,6 +745,39 @@ SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY car_brand, temp_oe, qua
   ORDER BY sale_price, deliver_time DESC, province, part_oe) AS rn FROM v_parts WHERE temp_oe <> '') r WHERE rn = 1"""
 
 
+ORACLES["manager_stats_two_days"] = ORACLES["manager_scorecard"]
+
+ORACLES["complementary_scorecard"] = "SELECT *" + _REPORT + " FROM (" + _outer(
+    _outer("SELECT * FROM v_mix", "SELECT * FROM v_open", _DAY, _fill("a", _MIX) + _fill("b", list(_OPEN))),
+    """SELECT last_day(make_date(year, month, 1)) AS stat_date, province, city,
+  CAST(SUM(base) AS BIGINT) AS repeat_purchase_shop_previous, CAST(SUM(again) AS BIGINT) AS repeat_purchase_shop
+FROM (SELECT year, month, province, city, 1 AS base, 0 AS again FROM v_base_shops
+  UNION ALL SELECT year, month, province, city, 0, 1 FROM v_repeat_shops) s GROUP BY 1, 2, 3""",
+    _DAY, _fill("a", [*_MIX, *_OPEN]) + _fill("b", ["repeat_purchase_shop_previous", "repeat_purchase_shop"])) + ") z"
+
+ORACLES["local_price_update"] = f"""
+SELECT l.p_partkey AS id, l.code AS standard_brand_code, l.part_oe AS oe, m.oem_sale_price AS min_oem_price,
+  m.oem_sale_province_name AS min_oem_province, m.afm_sale_price AS min_afm_price,
+  m.afm_sale_province_name AS min_afm_province
+FROM v_part l LEFT JOIN ({ORACLES["local_price_match"]}) m ON m.id = l.p_partkey"""
+
+ORACLES["base_part_table"] = f"""
+SELECT CAST(i.part_id AS VARCHAR) AS part_id, i.standard_part_name, i.part_name, i.part_oe AS oe,
+  i.car_type AS vehicle_type, o.part_brand, '1' AS data_source
+FROM (SELECT * FROM ({ORACLES["inquiry_alias_parts"]}) a
+  QUALIFY row_number() OVER (PARTITION BY part_id, standard_part_name ORDER BY part_name, part_oe, car_type) = 1) i
+LEFT JOIN (
+  SELECT user_id, arg_max(part_brand, stat_date) AS part_brand FROM (
+    SELECT stat_date, user_id, string_agg(event_type, ',' ORDER BY event_type) AS part_brand
+    FROM (SELECT DISTINCT CAST(ts AS DATE) AS stat_date, user_id, event_type FROM events
+      WHERE event_id % 7 <> 0 AND event_id % 4 <> 0) d GROUP BY 1, 2) x GROUP BY 1) o ON o.user_id = i.part_id
+UNION ALL
+SELECT goodsCode, partsName, suppPartsName, suppPartsOe, vehicleType, partsBrandName, '2'
+FROM ({ORACLES["goods_daily_upload"]}) g
+QUALIFY row_number() OVER (
+  PARTITION BY goodsCode, partsName ORDER BY suppPartsName, suppPartsOe, vehicleType, partsBrandName) = 1"""
+
+
 def _views_of(sql: str) -> list[str]:
     """Domain tables a statement needs, each after the ones it uses itself."""
     ordered: list[str] = []

@@ -16,7 +16,7 @@ from gearledger.operators import bonus, managers, parts, prices, scorecard, shop
 from gearledger.operators.columns import add_price_columns
 from gearledger.operators.extremes import rows_at_extreme
 from gearledger.operators.lookups import distinct_codes, id_bounds, join_inner_dim, join_left_dim, lookup
-from gearledger.operators.merge import insert_if_absent, update_columns, upsert
+from gearledger.operators.merge import insert_if_absent, replace_groups, update_columns, upsert
 from gearledger.operators.netting import net_full_outer
 from gearledger.session import materialise, tune
 from gearledger.sources import views as V
@@ -28,7 +28,7 @@ BROKER_TERM_START = "1998-01-01"
 REFUND_STATE_START = "1998-08-01"
 SERVICE_BONUS_START = "1998-07-01"
 EXCLUDED_SUPPLIER = 50
-PRICE_BATCH_START = "2001-06-01"
+PRICE_BATCH_START, LAST_DAY_BEFORE_BATCH = "2001-06-01", "2001-05-31"
 ITEM_TARGET_END = "1999-12-31"
 ITEM_UPDATE_START = "1999-01-01"
 FIRST_MONTH, LAST_MONTH = (1995, 1), (2001, 12)
@@ -131,6 +131,18 @@ def manager_scorecard(t: Tables) -> DataFrame:
         excluded_supplier=EXCLUDED_SUPPLIER, bonus_start=SERVICE_BONUS_START)
 
 
+@query
+def manager_stats_two_days(t: Tables) -> DataFrame:
+    """Days up to the cut, then those from the cut on, these twice: equal to one run over all days."""
+    def run(start: str | None, end: str | None) -> DataFrame:
+        return managers.manager_scorecard(
+            V.orders(t), V.track(t), V.settlement(t), V.city_map(t), start, end, refund_state_start=REFUND_STATE_START,
+            excluded_supplier=EXCLUDED_SUPPLIER, bonus_start=SERVICE_BONUS_START)
+    later = materialise(run(PRICE_BATCH_START, None))
+    table = replace_groups(run(None, LAST_DAY_BEFORE_BATCH), later, ["stat_date"])
+    return replace_groups(table, later, ["stat_date"])
+
+
 # --- filters -----------------------------------------------------------------------------
 
 @query
@@ -361,6 +373,11 @@ def vehicle_scorecard(t: Tables) -> DataFrame:
     return scorecard.vehicle_scorecard(V.orders(t))
 
 
+@query
+def complementary_scorecard(t: Tables) -> DataFrame:
+    return scorecard.complementary_scorecard(V.orders(t), shops.city_shop_counts(_shop_years(t)))
+
+
 # --- shops -------------------------------------------------------------------------------
 
 def _shop_years(t: Tables) -> DataFrame:
@@ -556,6 +573,12 @@ def local_price_match(t: Tables) -> DataFrame:
     return prices.local_price_match(V.local_prices(t), V.floor_prices(t), V.province_map(t))
 
 
+@query
+def local_price_update(t: Tables) -> DataFrame:
+    matched = prices.local_price_match(V.local_prices(t), V.floor_prices(t), V.province_map(t))
+    return prices.local_price_update(V.local_prices(t), matched)
+
+
 @query
 def add_price_columns_(t: Tables) -> DataFrame:
     return add_price_columns(V.local_prices(t), PRICE_PROVINCES)
@@ -573,6 +596,13 @@ def offer_brand_list(t: Tables) -> DataFrame:
     return parts.offer_brand_list(V.offers(t), V.base_parts(t))
 
 
+@query
+def base_part_table(t: Tables) -> DataFrame:
+    return parts.base_part_table(
+        parts.inquiry_alias_parts(V.damage(t), V.damage_parts(t), V.product_info(t)),
+        parts.goods_daily_upload(V.goods(t)), parts.offer_brands(V.offers(t)))
+
+
 @query
 def goods_daily_upload(t: Tables) -> DataFrame:
     return parts.goods_daily_upload(V.goods(t))

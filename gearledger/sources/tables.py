@@ -39,8 +39,8 @@ class Tables:
 
 
 def publish(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    """Replace a published table by a finished result."""
+    """Replace a published table by a finished result, or only the partitions that the result holds."""
     writer = df.write.mode("overwrite")
     if partition_by:
-        writer = writer.partitionBy(*partition_by)
+        writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
     writer.parquet(path)

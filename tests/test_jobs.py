@@ -1,10 +1,11 @@
 """The jobs chained over the smallest data folder, through written tables."""
 
 import datetime as dt
+from collections import Counter
 
 import pytest
 
-from gearledger.operators import prices
+from gearledger.operators import managers, parts, prices
 from gearledger.plans import jobs
 from gearledger.sources import views as V
 from gearledger.sources.tables import Tables, publish
@@ -31,6 +32,9 @@ def run(spark, tmp_path_factory):
         "floor_history": lambda t: prices.lowest_per_key(
             V.parts(t).where("deliver_time < '1998-03-31'"), prices.KEYS, "sale_price").selectExpr(
             *prices.KEYS, "part_oe AS oe", "sale_price", "province AS sale_province", "deliver_time"),
+        "base_part_table": lambda t: parts.base_part_table(
+            parts.inquiry_alias_parts(V.damage(t), V.damage_parts(t), V.product_info(t)).limit(0),
+            parts.goods_daily_upload(V.goods(t)).limit(0), parts.offer_brands(V.offers(t)).limit(0)),
         "order_items_priced": lambda t: prices.order_item_enriched(V.parts(t), V.brand_map(t), V.list_prices(t)).limit(0),
     }
 
@@ -44,8 +48,15 @@ def run(spark, tmp_path_factory):
 
 def test_daily_tables_feed_the_bonus_table(run):
     source, folder, spark = run
-    jobs.publish_all(jobs.business_job(source, DATE), folder)
-    assert spark.read.parquet(f"{folder}/daily_scorecard").select("stat_date").distinct().count() == 1
+    day_before = DATE - dt.timedelta(days=1)
+    for date in (day_before, DATE, DATE):
+        jobs.publish_all(jobs.business_job(source, date), folder)
+    scores = spark.read.parquet(f"{folder}/manager_scorecard")
+    assert {r[0] for r in scores.select("stat_date").distinct().collect()} == {day_before, DATE}
+    both_days = managers.manager_scorecard(
+        source("orders"), source("track"), source("settlement"), source("city_map"), day_before, DATE)
+    assert Counter(map(tuple, scores.select(both_days.columns).collect())) == Counter(map(tuple, both_days.collect()))
+    assert spark.read.parquet(f"{folder}/daily_scorecard").select("stat_date").distinct().count() == 2
     jobs.publish_all(jobs.bonus_job(source, DATE), folder)
     table = spark.read.parquet(f"{folder}/bonus_table")
     assert table.count() == 13 and table.where("position = '00' AND level_name = 'M0'").count() > 0
@@ -69,7 +80,8 @@ def test_price_job_updates_the_snapshot(run):
 def test_alias_and_catalogue_jobs(run):
     source, _, _ = run
     alias = jobs.alias_job(source, dt.date(1998, 3, 16))
-    assert alias["alias_parts"].count() >= 0 and alias["goods_parts"].count() > 0
+    assert alias["alias_parts"].count() > 0 and alias["goods_parts"].count() > 0
+    assert alias["base_part_table"].select("data_source").distinct().count() == 2
     assert jobs.alias_job(source, dt.date(2024, 1, 5))["offer_brands"].count() > 0
     catalogue = jobs.catalogue_job(source)
     assert all(df.count() > 0 for df in catalogue.values())
