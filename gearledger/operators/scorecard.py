@@ -221,10 +221,10 @@ def paid_not_delivered(
     to_date = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     year_end = F.date_sub(F.add_months(year_start(F.col("payment_date")), 12), 1)
     last = F.coalesce(F.date_sub(F.lead("payment_date").over(ordered), 1), year_end)
-    if end is not None:
-        last = F.least(last, day(end))
+    # Without an end, the last day is that of the last payment: nothing is known of later ones.
+    known = daily.agg(F.max("payment_date")).scalar() if end is None else day(end)
     running = daily.select(
-        "payment_date", *PLACE, last.alias("last_day"),
+        "payment_date", *PLACE, F.least(last, known).alias("last_day"),
         *[F.sum(p).over(to_date).cast(TOTAL).alias(n) for p, n in zip(parts, names)])
     return (
         running.withColumn("stat_date", F.explode(F.sequence("payment_date", "last_day")))

@@ -361,7 +361,7 @@ VIEWS["v_open"] = """
 SELECT CAST(d.stat_date AS DATE) AS stat_date, province, city, """ + ", ".join(
     f"CAST(SUM({n}) AS DECIMAL(28,2)) AS {n}" for n in _OPEN) + """
 FROM (SELECT unnest(generate_series((SELECT date_trunc('year', MIN(payment_date)) FROM v_open_daily),
-    (SELECT date_trunc('year', MAX(payment_date)) + INTERVAL 1 YEAR - INTERVAL 1 DAY FROM v_open_daily), INTERVAL 1 DAY)) AS stat_date) d
+    (SELECT CAST(MAX(payment_date) AS TIMESTAMP) FROM v_open_daily), INTERVAL 1 DAY)) AS stat_date) d
 JOIN v_open_daily o ON o.payment_date >= date_trunc('year', d.stat_date) AND o.payment_date <= d.stat_date
 GROUP BY 1, 2, 3"""
 
