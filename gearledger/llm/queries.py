@@ -39,9 +39,14 @@ def _listed(spans: str) -> Column:
         ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
+def _equals(value: str) -> Callable[[Column], Column]:
+    return lambda x: x == value
+
+
 def op3_private_data(spark: SparkSession, folder: str) -> DataFrame:
     found = pii.find_private(table(spark, folder, "documents"))
-    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in pii.KINDS]
+    kinds = F.transform("base", lambda s: s["kind"])
+    counts = [F.size(F.filter(kinds, _equals(k))).cast("long").alias(f"n_{k}") for k in pii.KINDS]
     return found.select("doc_id", *counts, F.sha2(_listed("base"), 256).alias("base_sha256"),
                         _listed("spans").alias("spans"))
 

@@ -1,12 +1,16 @@
 """The registered queries against their SQL, and the pipeline, on the smallest data folder."""
 
+import hashlib
+
 import duckdb
 import pytest
 
 import __spark_entry__ as entry
 import corpus_pipeline
+from gearledger.llm import pii
 from gearledger.llm import queries as llm
 from tests.conftest import SMALL
+from tests.llm.test_operators import plain_spans
 
 TABLES = ["documents", "embeddings", "pages", "labels"]
 
@@ -47,6 +51,23 @@ def test_query_covers_its_table(spark, name):
     assert {r[0] for r in llm.queries()[name](spark, SMALL).select(key).collect()} == wanted
 
 
+def test_private_data_digests(spark):
+    """Every column of the query against the plain patterns, on documents that hold all kinds."""
+    texts = dict(tuple(r) for r in spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect())
+    rows = llm.queries()["op3_private_data"](spark, SMALL).collect()
+    assert len(rows) == len(texts)
+    seen = set()
+    for row in rows:
+        base = plain_spans(texts[row["doc_id"]] or "")
+        listed = [f"{k}:{s}:{e}" for k, s, e in base]
+        seen |= {k for k, _, _ in base}
+        for kind in pii.KINDS:
+            assert row[f"n_{kind}"] == sum(k == kind for k, _, _ in base)
+        assert row["base_sha256"] == hashlib.sha256(",".join(listed).encode()).hexdigest()
+        assert set(listed) <= set(row["spans"].split(","))
+    assert seen == set(pii.KINDS)
+
+
 def test_native_plan(spark):
     plan = llm.queries()["op7_line_rules"](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
     for word in ("Python", "Arrow", "Pandas", "Exchange"):
