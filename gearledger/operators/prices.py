@@ -22,6 +22,12 @@ def price_pid() -> Column:
     return pid(*[F.col(k) for k in KEYS]).alias("pid")
 
 
+def with_brand_code(rows: DataFrame, brand_map: DataFrame) -> DataFrame:
+    """Rows with the standard code of their brand as ``brand_code``; null for a brand the map lacks."""
+    return lookup(
+        rows, brand_map, "car_brand", "standard_brand_name", "standard_brand_code", "brand_code", default=None)
+
+
 def with_history(batch: DataFrame, history: DataFrame) -> DataFrame:
     """Batch rows with the stored row of their key beside them, in columns named ``old_*``."""
     old = history.select(*KEYS, *[F.col(c).alias(f"old_{c}") for c in history.columns if c not in KEYS])
@@ -116,14 +122,14 @@ def order_item_enriched(rows: DataFrame, brand_map: DataFrame, list_prices: Data
 def local_price_match(local: DataFrame, prices: DataFrame, provinces: DataFrame) -> DataFrame:
     """Local list with the lowest traded original and aftermarket price and where it was paid.
 
-    Prices are first folded to one row per brand code and part number, so the list is joined
-    once. Rows without either price are left out.
+    ``prices`` is the stored floor history with its brand codes. It is first folded to one row per
+    brand code and part number, so the list is joined once. Rows without either price are left out.
     """
     def lowest(quality: str) -> Column:
-        return F.min(F.when(F.col("quality") == quality, F.struct("sale_price", "sale_province")))
+        return F.min(F.when(F.col("quality_type") == quality, F.struct("sale_price", "sale_province")))
 
     folded = (
-        prices.where(F.col("quality").isin(P.OEM_QUALITY, P.AFTERMARKET_QUALITY))
+        prices.where(F.col("quality_type").isin(P.OEM_QUALITY, P.AFTERMARKET_QUALITY))
         .groupBy(F.col("brand_code").alias("standard_brand_code"), "temp_oe")
         .agg(lowest(P.OEM_QUALITY).alias("oem"), lowest(P.AFTERMARKET_QUALITY).alias("afm"))
         .select(

@@ -78,15 +78,17 @@ def price_job(source: Source, date: dt.date) -> dict[str, DataFrame]:
     changes = merges["min"].drop("pid")
     for kind in ("max", "avg"):
         changes = changes.join(merges[kind].select(*prices.KEYS, *changed[kind]), prices.KEYS)
-    columns = [c for names in changed.values() for c in names]
-    items = prices.order_item_enriched(batch, source("brand_map"), source("list_prices"))
+    brand_map = source("brand_map")
+    changes = prices.with_brand_code(changes, brand_map)
+    columns = ["brand_code", *[c for names in changed.values() for c in names]]
+    items = prices.order_item_enriched(batch, brand_map, source("list_prices"))
     floor = prices.price_floor_merge(source("floor_history"), P.clean_price_rows(source("sold_parts"), date, date))
     return {
         "price_history": upsert(history, changes, prices.KEYS, columns, unique=True),
         "order_items_priced": insert_if_absent(source("order_items_priced"), items, ["orderitem_id"]),
         "floor_history": upsert(
-            source("floor_history"), floor.drop("pid"), prices.KEYS,
-            ["sale_price", "sale_province", "deliver_time"], unique=True),
+            source("floor_history"), prices.with_brand_code(floor.drop("pid"), brand_map), prices.KEYS,
+            ["brand_code", "sale_price", "sale_province", "deliver_time"], unique=True),
     }
 
 
@@ -104,9 +106,9 @@ def alias_job(source: Source, date: dt.date) -> dict[str, DataFrame]:
 
 
 def catalogue_job(source: Source) -> dict[str, DataFrame]:
-    """Product counts, price census and the local price list."""
+    """Product counts, price census, and the local list with prices from the floor history of the price job."""
     goods, local = source("goods"), source("local_prices")
-    matched = prices.local_price_match(local, source("floor_prices"), source("province_map"))
+    matched = prices.local_price_match(local, source("floor_history"), source("province_map"))
     return {
         "product_counts": parts.product_count_salted(goods),
         "price_census": parts.price_by_quality_group(goods),

@@ -540,7 +540,7 @@ FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey""",
 SELECT p_partkey, p_brand, COALESCE(code, '') AS brand_code FROM part LEFT JOIN v_brand_map ON p_brand = name""",
     "upsert_price_history": """
 SELECT COALESCE(h.car_brand, m.car_brand) AS car_brand, COALESCE(h.temp_oe, m.temp_oe) AS temp_oe,
-  COALESCE(h.quality_type, m.quality_type) AS quality_type, COALESCE(h.part_oe, m.oe) AS oe,
+  COALESCE(h.quality_type, m.quality_type) AS quality_type, g.code AS brand_code, COALESCE(h.part_oe, m.oe) AS oe,
   COALESCE(m.min_sale_price, h.sale_price) AS min_sale_price,
   COALESCE(m.min_sale_province, h.province) AS min_sale_province,
   COALESCE(m.min_sale_deliver_time, h.deliver_time) AS min_sale_deliver_time,
@@ -549,7 +549,8 @@ SELECT COALESCE(h.car_brand, m.car_brand) AS car_brand, COALESCE(h.temp_oe, m.te
 FROM v_before_low h FULL JOIN v_min_merge m
   ON h.car_brand = m.car_brand AND h.temp_oe = m.temp_oe AND h.quality_type = m.quality_type
 LEFT JOIN v_before_high x ON x.car_brand = h.car_brand AND x.temp_oe = h.temp_oe AND x.quality_type = h.quality_type
-LEFT JOIN v_before_avg a ON a.car_brand = h.car_brand AND a.temp_oe = h.temp_oe AND a.quality_type = h.quality_type""",
+LEFT JOIN v_before_avg a ON a.car_brand = h.car_brand AND a.temp_oe = h.temp_oe AND a.quality_type = h.quality_type
+LEFT JOIN v_brand_map g ON g.name = COALESCE(h.car_brand, m.car_brand)""",
     "insert_if_absent": f"""
 WITH tgt AS (SELECT * FROM v_clean WHERE deliver_time <= DATE '{Q.ITEM_TARGET_END}'),
 upd AS (SELECT *, row_number() OVER (PARTITION BY orderitem_id
@@ -745,6 +746,9 @@ SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY car_brand, temp_oe, qua
   ORDER BY sale_price, deliver_time DESC, province, part_oe) AS rn FROM v_parts WHERE temp_oe <> '') r WHERE rn = 1"""
 
 
+for _name in ("price_floor_merge", "price_min_merge", "price_max_merge", "price_avg_merge"):
+    ORACLES[_name] = f"SELECT p.*, g.code AS brand_code FROM ({ORACLES[_name]}) p LEFT JOIN v_brand_map g ON g.name = p.car_brand"
+
 ORACLES["manager_stats_two_days"] = ORACLES["manager_scorecard"]
 
 ORACLES["complementary_scorecard"] = "SELECT *" + _REPORT + " FROM (" + _outer(

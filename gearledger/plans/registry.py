@@ -96,11 +96,11 @@ def _price_history_and_batch(t: Tables) -> tuple[DataFrame, DataFrame]:
 @query
 def upsert_price_history(t: Tables) -> DataFrame:
     before, batch = _price_history_and_batch(t)
-    target = prices.price_history(before)
-    merged = prices.price_min_merge(target, batch)
+    target = prices.with_brand_code(prices.price_history(before), V.brand_map(t))
+    merged = prices.with_brand_code(prices.price_min_merge(target, batch), V.brand_map(t))
     return upsert(
         target, merged.drop("pid"), prices.KEYS,
-        ["min_sale_price", "min_sale_province", "min_sale_deliver_time"], unique=True)
+        ["brand_code", "min_sale_price", "min_sale_province", "min_sale_deliver_time"], unique=True)
 
 
 @query
@@ -542,25 +542,28 @@ def price_floor_merge(t: Tables) -> DataFrame:
     before, batch = _price_history_and_batch(t)
     stored = prices.lowest_per_key(before, prices.KEYS, "sale_price").select(
         *prices.KEYS, "sale_price", F.col("province").alias("sale_province"), "deliver_time")
-    return prices.price_floor_merge(stored, batch)
+    return prices.with_brand_code(prices.price_floor_merge(stored, batch), V.brand_map(t))
 
 
 @query
 def price_min_merge(t: Tables) -> DataFrame:
     before, batch = _price_history_and_batch(t)
-    return prices.price_min_merge(prices.price_history(before), batch)
+    merged = prices.price_min_merge(prices.price_history(before), batch)
+    return prices.with_brand_code(merged, V.brand_map(t))
 
 
 @query
 def price_max_merge(t: Tables) -> DataFrame:
     before, batch = _price_history_and_batch(t)
-    return prices.price_max_merge(prices.price_history(before), batch)
+    merged = prices.price_max_merge(prices.price_history(before), batch)
+    return prices.with_brand_code(merged, V.brand_map(t))
 
 
 @query
 def price_avg_merge(t: Tables) -> DataFrame:
     before, batch = _price_history_and_batch(t)
-    return prices.price_avg_merge(prices.price_history(before), batch)
+    merged = prices.price_avg_merge(prices.price_history(before), batch)
+    return prices.with_brand_code(merged, V.brand_map(t))
 
 
 @query

@@ -262,7 +262,7 @@ def floor_prices(t: Tables) -> DataFrame:
     return coded.selectExpr(
         "concat(car_brand, temp_oe, quality_type) AS pid", "province AS sale_province",
         "standard_brand_code AS brand_code", "car_brand AS brand", "part_oe AS oe", "temp_oe",
-        "quality_type AS quality", "sale_price", "deliver_time")
+        "quality_type", "sale_price", "deliver_time")
 
 
 def goods(t: Tables) -> DataFrame:

@@ -27,11 +27,12 @@ def run(spark, tmp_path_factory):
         "order_items": V.parts, "sold_parts": V.parts, "brand_map": V.brand_map, "list_prices": V.list_prices,
         "damage": V.damage, "damage_parts": V.damage_parts, "product_info": V.product_info, "goods": V.goods,
         "offers": V.offers, "base_parts": V.base_parts, "local_prices": V.local_prices,
-        "floor_prices": V.floor_prices, "province_map": V.province_map,
-        "price_history": lambda t: prices.price_history(V.parts(t).where("deliver_time < '1998-03-31'")),
-        "floor_history": lambda t: prices.lowest_per_key(
+        "province_map": V.province_map,
+        "price_history": lambda t: prices.with_brand_code(
+            prices.price_history(V.parts(t).where("deliver_time < '1998-03-31'")), V.brand_map(t)),
+        "floor_history": lambda t: prices.with_brand_code(prices.lowest_per_key(
             V.parts(t).where("deliver_time < '1998-03-31'"), prices.KEYS, "sale_price").selectExpr(
-            *prices.KEYS, "part_oe AS oe", "sale_price", "province AS sale_province", "deliver_time"),
+            *prices.KEYS, "part_oe AS oe", "sale_price", "province AS sale_province", "deliver_time"), V.brand_map(t)),
         "base_part_table": lambda t: parts.base_part_table(
             parts.inquiry_alias_parts(V.damage(t), V.damage_parts(t), V.product_info(t)).limit(0),
             parts.goods_daily_upload(V.goods(t)).limit(0), parts.offer_brands(V.offers(t)).limit(0)),
@@ -74,7 +75,14 @@ def test_price_job_updates_the_snapshot(run):
     batch_rows = V.parts(Tables(spark, SMALL)).where(
         "deliver_time = '1998-03-31' AND temp_oe <> '' AND temp_oe NOT LIKE 'JY%' AND sale_price > 5").count()
     assert after.agg({"sale_times": "sum"}).first()[0] == old_sales + batch_rows
-    assert out["floor_history"].count() >= source("floor_history").count()
+    assert after.where("brand_code IS NULL").count() == 0
+    publish(out["floor_history"], f"{folder}/new_floor")
+    floor = spark.read.parquet(f"{folder}/new_floor")
+    assert floor.count() >= source("floor_history").count()
+    matched = prices.local_price_match(source("local_prices"), floor, source("province_map"))
+    sold_parts = floor.where("quality_type IN ('1', '2') AND sale_price <> 0").select("brand_code", "temp_oe").distinct()
+    listed = matched.join(source("local_prices"), "id").select("standard_brand_code", "oe").distinct()
+    assert 0 < listed.count() and matched.count() >= sold_parts.count()
 
 
 def test_alias_and_catalogue_jobs(run):

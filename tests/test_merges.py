@@ -171,7 +171,7 @@ def test_price_columns_replace_existing_ones(table):
 def test_local_prices(table):
     local = table("id long, standard_brand_code string, oe string", [
         (1, "B1", "a-1"), (2, "B1", "a2"), (3, "B9", "a1"), (4, "B1", "a.1"), (5, "B1", "a3")])
-    traded = table("brand_code string, temp_oe string, quality string, sale_price decimal(11,2), sale_province string", [
+    traded = table("brand_code string, temp_oe string, quality_type string, sale_price decimal(11,2), sale_province string", [
         ("B1", "a1", "1", 10, "44"), ("B1", "a1", "2", 8, "99"), ("B1", "a2", "2", 6, "11"), ("B1", "a2", "3", 1, "11"),
         (None, "a1", "1", 1, "11"), ("B1", "a3", "1", 0, "11")])
     provinces = table("province_code string, province_chn string", [("44", "广东省"), ("11", "北京市")])
