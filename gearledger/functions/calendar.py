@@ -61,10 +61,17 @@ def yyyymmdd(d: Column) -> Column:
     return F.date_format(d, "yyyyMMdd")
 
 
-def in_months(rows: DataFrame, first: Month, last: Month) -> DataFrame:
-    """Every row once per month from first to last, with ``year`` and ``month``."""
-    start, end = (y * 12 + m - 1 for y, m in (first, last))
-    months = rows.withColumn("month_index", F.explode(F.sequence(F.lit(start), F.lit(end))))
+def month_index(year: int | Column, month: int | Column) -> int | Column:
+    return year * 12 + month - 1
+
+
+def in_months(rows: DataFrame, first: Month | Column, last: Month | Column) -> DataFrame:
+    """Every row once per month from first to last, with ``year`` and ``month``.
+
+    A bound is a year and month, or a column with a ``month_index``, such as one taken from a table.
+    """
+    start, end = (m if isinstance(m, Column) else F.lit(month_index(*m)) for m in (first, last))
+    months = rows.withColumn("month_index", F.explode(F.sequence(start, end)))
     return months.withColumns({
         "year": F.expr("CAST(month_index DIV 12 AS INT)"), "month": F.expr("month_index % 12 + 1"),
     }).drop("month_index")

@@ -24,7 +24,7 @@ MONTH_KEYS = ["year", "month"]
 
 def bonus_roster(
     users: DataFrame, areas: DataFrame, region_users: DataFrame, region_provinces: DataFrame,
-    first: Month, last: Month,
+    first: Month | Column, last: Month | Column,
 ) -> DataFrame:
     """Field staff with their areas, and region heads with every province of their region."""
     staff = users.where(
@@ -206,7 +206,7 @@ def region_weighted_completion(
 def region_bonus_factors(
     region_users: DataFrame, users: DataFrame, region_provinces: DataFrame, targets: DataFrame,
     active_shops: DataFrame, selfop_totals: DataFrame, weighted: DataFrame,
-    first: Month, last: Month,
+    first: Month | Column, last: Month | Column,
 ) -> DataFrame:
     """Factors of region heads per province: own figures where they are responsible for the
     province, the weighted figures of the region elsewhere."""

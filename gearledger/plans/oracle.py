@@ -77,7 +77,9 @@ SELECT c_custkey AS user_id, c_name AS shop_name, province, city
 FROM customer JOIN v_place ON c_nationkey = n_nationkey"""
 
 VIEWS["v_months"] = """
-SELECT CAST(m // 12 AS INTEGER) AS year, CAST(m % 12 + 1 AS INTEGER) AS month FROM range(1995 * 12, 2002 * 12) t(m)"""
+SELECT CAST(m // 12 AS INTEGER) AS year, CAST(m % 12 + 1 AS INTEGER) AS month FROM (
+  SELECT unnest(range(lo * 12, (hi + 1) * 12)) AS m FROM (
+    SELECT year(MIN(payment_date)) AS lo, year(GREATEST(MAX(payment_date), MAX(deliver_date))) AS hi FROM v_order_dates) y) t"""
 
 VIEWS["v_supplier"] = """
 SELECT s_suppkey, s_name, r_name, r_regionkey,
@@ -681,11 +683,13 @@ SELECT r.user_id, r.fr_username, r.name, r.position, r.province, r.year, r.month
   COALESCE(f.married_factor, p.married_factor) AS married_profit_factor
 FROM v_roster r
 LEFT JOIN v_regular g ON g.user_id = r.user_id AND g.position = r.position AND g.year = r.year AND g.month = r.month
-LEFT JOIN v_parttime h ON r.position = '00' AND h.user_id = r.user_id AND h.province = r.province AND h.year = r.year AND h.month = r.month
-LEFT JOIN v_customer_manager c ON r.position = '03' AND c.user_id = r.user_id AND c.year = r.year AND c.month = r.month
-LEFT JOIN v_province_factors p ON r.position IN ('01','02','03','05') AND p.province = r.province AND p.year = r.year AND p.month = r.month
+LEFT JOIN (SELECT *, '00' AS at_position FROM v_parttime) h ON h.at_position = r.position AND h.user_id = r.user_id AND h.province = r.province AND h.year = r.year AND h.month = r.month
+LEFT JOIN (SELECT *, '03' AS at_position FROM v_customer_manager) c
+  ON c.at_position = r.position AND c.user_id = r.user_id AND c.year = r.year AND c.month = r.month
+LEFT JOIN v_province_factors p
+  ON p.province = CASE WHEN r.position IN ('01','02','03','05') THEN r.province END AND p.year = r.year AND p.month = r.month
 LEFT JOIN v_region_factors f ON f.user_id = r.user_id AND f.province = r.province AND f.year = r.year AND f.month = r.month
-LEFT JOIN v_manager_repeat q ON r.position = '03' AND q.manager_id = r.user_id AND q.year = r.year AND q.month = r.month""",
+LEFT JOIN (SELECT *, '03' AS at_position FROM v_manager_repeat) q ON q.at_position = r.position AND q.manager_id = r.user_id AND q.year = r.year AND q.month = r.month""",
     "price_floor_merge": _price_merge(
         "low", ("sale_price", "sale_province", "deliver_time"),
         _KEEP.format("<=", "CAST(b.deliver_time - INTERVAL 1 YEAR AS DATE)")),

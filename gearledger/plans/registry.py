@@ -31,7 +31,6 @@ EXCLUDED_SUPPLIER = 50
 PRICE_BATCH_START, LAST_DAY_BEFORE_BATCH = "2001-06-01", "2001-05-31"
 ITEM_TARGET_END = "1999-12-31"
 ITEM_UPDATE_START = "1999-01-01"
-FIRST_MONTH, LAST_MONTH = (1995, 1), (2001, 12)
 PRICE_PROVINCES = ["nation_1", "nation_2"]
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -436,12 +435,11 @@ def service_charge_by_manager(t: Tables) -> DataFrame:
 
 def _roster(t: Tables) -> DataFrame:
     return bonus.bonus_roster(
-        V.sales_users(t), V.user_areas(t), V.region_users(t), V.region_provinces(t),
-        FIRST_MONTH, LAST_MONTH)
+        V.sales_users(t), V.user_areas(t), V.region_users(t), V.region_provinces(t), *V.order_months(t))
 
 
 def _targets(t: Tables) -> DataFrame:
-    return V.targets(t, FIRST_MONTH, LAST_MONTH)
+    return V.targets(t, *V.order_months(t))
 
 
 @query
@@ -494,7 +492,7 @@ def _region_weighted(t: Tables, selfop: DataFrame, active: DataFrame) -> DataFra
 def _region_factors(t: Tables, selfop: DataFrame, active: DataFrame) -> DataFrame:
     return bonus.region_bonus_factors(
         V.region_users(t), V.sales_users(t), V.region_provinces(t), _targets(t), active, selfop,
-        _region_weighted(t, selfop, active), FIRST_MONTH, LAST_MONTH)
+        _region_weighted(t, selfop, active), *V.order_months(t))
 
 
 @query

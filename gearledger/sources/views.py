@@ -7,10 +7,10 @@ shuffles it otherwise.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gearledger.functions.calendar import Month, in_months
+from gearledger.functions.calendar import Month, in_months, month_index
 from gearledger.functions.money import cents_if
 from gearledger.functions.text import (
     BRANDED_QUALITY, CIRCULATED_ORIGINAL_QUALITY, ORIGINAL_QUALITY, clean_part_number,
@@ -172,7 +172,15 @@ def region_provinces(t: Tables) -> DataFrame:
         "if(r_regionkey < 2, '1', '0') AS is_responsible")
 
 
-def targets(t: Tables, first: Month, last: Month) -> DataFrame:
+def order_months(t: Tables) -> tuple[Column, Column]:
+    """First and last month of the whole years that hold a payment or delivery, read inside the plan."""
+    days = _order_dates(t.orders)
+    first = days.agg(F.year(F.min(F.least("payment_date", "deliver_date"))).alias("year"))
+    last = days.agg(F.year(F.max(F.greatest("payment_date", "deliver_date"))).alias("year"))
+    return month_index(first.scalar(), 1), month_index(last.scalar(), 12)
+
+
+def targets(t: Tables, first: Month | Column, last: Month | Column) -> DataFrame:
     """Monthly targets, as a province-level row and a city-level row."""
     rows = in_months(t.region, first, last).withColumn("city", F.expr("explode(array('100000', '110100'))"))
     return rows.selectExpr(
