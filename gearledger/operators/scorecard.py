@@ -105,11 +105,11 @@ def daily_actual_receipts(
     track: DataFrame, orders: DataFrame, start: DateLike | None = None, end: DateLike | None = None,
     cutoff: DateLike = P.BROKER_TERM_START,
 ) -> DataFrame:
-    """Cash received per day, province and city; ``order_id`` identifies an order.
+    """Cash received per day, province and city; order rows may share an ``order_id``.
 
-    Receipts are folded to one row per order and day before they meet the orders. An order with
-    very many receipts is then one row in the join, and distinct orders are counted as rows.
-    Receipts on credit terms are summed apart until the order's delivery day is known.
+    Receipts are folded to one row per order and day before they meet the orders, so an order with
+    very many receipts is one row in the join. The sums per order and the distinct count of orders keep
+    the partitioning of that join. Receipts on credit terms are summed apart until the order's delivery day is known.
     """
     term = P.broker_term()
     received = (
@@ -132,13 +132,13 @@ def daily_actual_receipts(
         .withColumns({"receipts": counted("n"), "amount": counted("cents"), "is_direct": P.direct()})
         .where(F.col("receipts") > 0)
     )
-    sums = rows.groupBy(*KEYS, *FLAGS, "vehicle_type").agg(
-        F.count("order_id").alias("orders"), F.sum("receipts").alias("n"),
+    sums = rows.groupBy("iorder_id", *KEYS, *FLAGS, "vehicle_type").agg(
+        F.sum("receipts").alias("n"),
         from_cents(F.sum("amount")).alias("amount"),
         from_cents(F.sum(cents("purchase_amount") * F.col("receipts"))).alias("purchase"))
     amount = F.col("amount")
     return sums.groupBy(*KEYS).agg(
-        F.sum("orders").alias("no_actual_order"),
+        F.count_distinct("iorder_id").alias("no_actual_order"),
         total(amount).alias("actual_b2b"),
         total("purchase").alias("actual_purchase"),
         count_sum(P.picc()).alias("no_actual_picc_order"),

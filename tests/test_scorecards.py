@@ -72,6 +72,17 @@ def test_receipts_count_orders_once(orders, table):
         (day("2020-03-01"), 2, 36.0, 320.0, 4, 16.0, 20.0), (day("2020-03-05"), 1, 7.0, 80.0, 1, 7.0, 0.0)]
 
 
+def test_order_rows_sharing_an_order_id_count_once(orders, table):
+    df = orders(dict(order_id=1, is_picc="1"), dict(order_id=1, is_picc="0"), dict(order_id=1, is_picc="0"),
+                dict(order_id=1, city="other"), dict(order_id=2))
+    track = table(TRACK, [(1, 1, "C", "01", "2020-03-01", "2020-03-01", 10), (1, 1, "C", "01", "2020-03-02", "2020-03-01", 4),
+                          (2, 2, "C", "01", "2020-03-01", "2020-03-01", 5)])
+    got = scorecard.daily_actual_receipts(track, df)
+    assert sorted(rows_of(got, "stat_date", "city", "no_actual_order", "actual_b2b")) == [
+        (day("2020-03-01"), "C", 2, 35.0), (day("2020-03-01"), "other", 1, 10.0),
+        (day("2020-03-02"), "C", 1, 12.0), (day("2020-03-02"), "other", 1, 4.0)]
+
+
 def test_scorecard_has_one_row_per_key(orders, table):
     df = orders(
         dict(city="a", deliver_date="2020-03-02", payment_date="2020-03-01"),
