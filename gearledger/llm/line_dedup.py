@@ -1,5 +1,6 @@
 """Line dedup by pairwise alignment: documents meet through shared line hashes, rarest first, and patience diff
-finds the common blocks, which the later document loses."""
+finds the common blocks, which the later document loses. Where the alignment leaves lines that both have, the runs
+of both are compared exactly, so repeated and crossed passages go as well."""
 
 from __future__ import annotations
 
@@ -7,11 +8,12 @@ from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gearledger.llm.common import with_text_key, words_of
+from gearledger.llm.common import mix, with_text_key, words_of
 from gearledger.session import materialise
 
 #: A line finds partners only if it has at least so many words.
@@ -20,13 +22,16 @@ ANCHOR_WORDS = 4
 BLOCK_WORDS = 10
 
 _LINES = "line_hash array<bigint>, line_words array<int>"
+_FACTOR = 0x9FB21C651E98DF25
+_INVERSE = pow(_FACTOR, -1, 2**64)
 
 
 def patience(left: list, right: list) -> list[tuple[int, int]]:
     """Pairs of positions of equal items, rising in both lists.
 
     Common heads and tails are matched first; between them the items that occur once on both sides are put into
-    their longest rising order, and the gaps are treated the same way. Explicit stack, so length is no limit.
+    their longest rising order, and the gaps are treated the same way; a gap without such items gives no pairs and is
+    left to ``shared_lines``. Explicit stack, so length is no limit.
     """
     found: list[tuple[int, int]] = []
     todo = [(0, len(left), 0, len(right))]
@@ -85,12 +90,51 @@ def common_blocks(later: list, earlier: list, words: list[int], least: int = BLO
     return out
 
 
+def runs(lines: list, words: list[int], least: int = BLOCK_WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and key of the shortest runs of at least so many words that start or end at each line.
+
+    Equal runs have equal keys wherever they stand. Every line of a longer run lies in one of these inside it.
+    """
+    n, least = len(lines), max(1, least)
+    total = np.concatenate([[0], np.cumsum(np.asarray(words, np.int64))])
+    ends = np.searchsorted(total, total[:-1] + least)
+    starts = np.searchsorted(total, total[1:] - least, "right") - 1
+    forward, backward = np.flatnonzero(ends <= n), np.flatnonzero(starts >= 0)
+    start = np.concatenate([forward, starts[backward]])
+    end = np.concatenate([ends[forward], backward + 1])
+    power, undo = (np.append(np.ones(1, np.uint64), np.full(n, x, np.uint64)).cumprod() for x in (_FACTOR, _INVERSE))
+    values = mix(np.asarray(lines, np.int64).view(np.uint64) ^ np.uint64(_INVERSE)) * power[:n]
+    sums = np.append(np.zeros(1, np.uint64), values.cumsum())
+    return start, end, mix((sums[end] - sums[start]) * undo[start])
+
+
+def shared_lines(later: list, earlier: list, words: list[int], least: int = BLOCK_WORDS) -> list[int]:
+    """Lines of the later document in any run of at least so many words that the earlier one has, anywhere and however
+    often; linear in the lines. A line that only the earlier document has ends a run, whatever its words."""
+    known = dict(zip(later, words))
+    start, end, key = runs(later, words, least)
+    there = runs(earlier, [known.get(x, least) for x in earlier], least)[2]
+    hit = np.isin(key, there)
+    edges = np.zeros(len(later) + 1, np.int64)
+    np.add.at(edges, start[hit], 1)
+    np.add.at(edges, end[hit], -1)
+    return np.flatnonzero(np.cumsum(edges[:-1])).tolist()
+
+
+def common_lines(later: list, earlier: list, words: list[int], least: int = BLOCK_WORDS) -> list[int]:
+    """Lines of the later document that go: the aligned blocks, and the shared runs where common lines are left."""
+    gone = {i for a, b in common_blocks(later, earlier, words, least) for i in range(a, b)}
+    held = set(earlier)
+    if any(x in held and i not in gone for i, x in enumerate(later)):
+        gone.update(shared_lines(later, earlier, words, least))
+    return sorted(gone)
+
+
 def _align(least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = batch.select(["line_hash", "line_words", "earlier_hash"]).to_pylist()
-            blocks = [common_blocks(r["line_hash"], r["earlier_hash"], r["line_words"], least) for r in rows]
-            removed = [sorted({i for a, b in x for i in range(a, b)}) for x in blocks]
+            removed = [common_lines(r["line_hash"], r["earlier_hash"], r["line_words"], least) for r in rows]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("text_key"), pa.array(removed, pa.list_(pa.int32()))],
                 names=["doc_id", "text_key", "removed"])

@@ -162,6 +162,33 @@ def test_line_dedup(spark, none):
     assert line_dedup.dedup_lines(none).count() == 0
 
 
+def brute_lines(later, earlier, words, least):
+    """Lines of the later document in a common run of at least so many words, by trying all runs."""
+    there = {tuple(earlier[i:j]) for i in range(len(earlier)) for j in range(i + 1, len(earlier) + 1)}
+    return sorted({k for i in range(len(later)) for j in range(i + 1, len(later) + 1)
+                   if sum(words[i:j]) >= least and tuple(later[i:j]) in there for k in range(i, j)})
+
+
+def test_common_lines_against_brute_force():
+    r = random.Random(3)
+    for _ in range(400):
+        words = [r.choice([0, 1, 3, 5, 12]) for _ in range(6)]
+        later, earlier = ([r.randrange(6) for _ in range(r.randrange(12))] for _ in range(2))
+        sizes = [words[x] for x in later]
+        assert line_dedup.common_lines(later, earlier, sizes) == brute_lines(later, earlier, sizes, 10)
+
+
+def test_line_dedup_of_passages_that_repeat(spark):
+    """A passage twice in the holder, or twice in the later document, between other lines goes every time."""
+    passage = "\n".join(prose(n, 40 + n) for n in (4, 5, 4, 5, 4))
+    other = [prose(12, 60 + i) for i in range(8)]
+    rows = [(1, "\n".join([other[0], passage, other[1], passage, other[2]])),
+            (2, "\n".join([other[3], passage, other[4]])),
+            (3, "\n".join([other[5], passage, other[6], passage, other[7]]))]
+    out = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r["doc_id"]: r["n_lines_removed"] for r in out.collect()} == {1: 0, 2: 5, 3: 10}
+
+
 def test_line_dedup_removes_only_lines_of_earlier_documents(spark):
     r = random.Random(9)
     pool = [prose(11, 100 + i) for i in range(12)]
