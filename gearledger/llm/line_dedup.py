@@ -1,5 +1,5 @@
-"""Line dedup by pairwise alignment: documents meet through shared line hashes, rarest first, and patience diff
-finds the common blocks, which the later document loses. Where the alignment leaves lines that both have, the runs
+"""Line dedup by pairwise alignment: documents meet through shared runs of lines, and patience diff finds the common
+blocks, which the later document loses. Where the alignment leaves lines that both have, the runs
 of both are compared exactly, so repeated and crossed passages go as well."""
 
 from __future__ import annotations
@@ -16,12 +16,9 @@ from pyspark.sql import functions as F
 from gearledger.llm.common import mix, with_text_key, words_of
 from gearledger.session import materialise
 
-#: A line finds partners only if it has at least so many words.
-ANCHOR_WORDS = 4
 #: An aligned block goes only if it has at least so many words.
 BLOCK_WORDS = 10
 
-_LINES = "line_hash array<bigint>, line_words array<int>"
 _FACTOR = 0x9FB21C651E98DF25
 _INVERSE = pow(_FACTOR, -1, 2**64)
 
@@ -142,30 +139,43 @@ def _align(least: int):
     return run
 
 
+def _anchors(least: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = batch.select(["line_hash", "line_words"]).to_pylist()
+            keys = [np.unique(runs(r["line_hash"], r["line_words"], least)[2]) for r in rows]
+            owners = pa.array(np.repeat(np.arange(len(keys)), [len(k) for k in keys]))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id").take(owners), batch.column("text_key").take(owners),
+                 pa.array(np.concatenate([np.empty(0, np.uint64), *keys]).view(np.int64))],
+                names=["doc_id", "text_key", "anchor"])
+
+    return run
+
+
 def duplicate_lines(docs: DataFrame, least: int = BLOCK_WORDS) -> DataFrame:
     """doc_id, text_key and the positions of the lines that go, one row per document that loses lines.
 
-    The earlier document is the one with the smaller doc_id. A shared line leads a document to the first document
-    that has the line, so a line in a third of all documents costs one pair per document; of several lines that
-    lead to the same first holder the pair is aligned once. Lines are judged on the input. A line that goes stands
-    in an earlier document, and the first holder of a line never loses it, so no line vanishes everywhere.
+    The earlier document is the one with the smaller doc_id. A shortest run of ``least`` words leads a document to the
+    first document that has the run, whatever the length of its lines, so a line goes if and only if a run around it
+    stands in any earlier document. A run in a third of all documents costs one pair per document; of several runs
+    that lead to the same first holder the pair is aligned once. Lines are judged on the input. A line that goes
+    stands in an earlier document, and the first holder of a line never loses it, so no line vanishes everywhere.
     """
     keyed = with_text_key(docs, F.split(F.coalesce("text", F.lit("")), "\n").alias("lines")).where("doc_id IS NOT NULL")
     counted = keyed.select(
         "doc_id", "text_key", F.transform("lines", lambda x: F.xxhash64(x, F.char_length(x))).alias("line_hash"),
         F.transform("lines", lambda x: F.size(words_of(x))).alias("line_words"))
     sequences = materialise(counted.dropDuplicates(["doc_id", "text_key"]), "line-sequences")
-    lines = sequences.select("doc_id", "text_key", F.explode(F.arrays_zip("line_hash", "line_words")).alias("x"))
-    lines = lines.where(F.col("x.line_words") >= ANCHOR_WORDS).select(
-        "doc_id", "text_key", F.col("x.line_hash").alias("anchor"))
-    shared = lines.groupBy("anchor").agg(F.min("doc_id").alias("earlier"), F.max("doc_id").alias("latest")).where(
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    anchors = sequences.mapInArrow(_anchors(least), f"doc_id {kind}, text_key long, anchor long")
+    shared = anchors.groupBy("anchor").agg(F.min("doc_id").alias("earlier"), F.max("doc_id").alias("latest")).where(
         "earlier < latest").drop("latest")
-    pairs = lines.join(shared, "anchor").where("doc_id > earlier").select("doc_id", "text_key", "earlier").distinct()
+    pairs = anchors.join(shared, "anchor").where("doc_id > earlier").select("doc_id", "text_key", "earlier").distinct()
     held = sequences.groupBy("doc_id").agg(F.first("line_hash").alias("earlier_hash"))
     meeting = pairs.join(held.withColumnRenamed("doc_id", "earlier"), "earlier").alias("p").join(
         sequences.alias("s"), F.expr("p.doc_id = s.doc_id AND p.text_key = s.text_key")).select(
         "s.doc_id", "s.text_key", "line_hash", "line_words", "earlier_hash")
-    kind = docs.schema["doc_id"].dataType.simpleString()
     aligned = meeting.mapInArrow(_align(least), f"doc_id {kind}, text_key long, removed array<int>")
     return aligned.where(F.size("removed") > 0).groupBy("doc_id", "text_key").agg(
         F.array_distinct(F.flatten(F.collect_list("removed"))).alias("removed"))

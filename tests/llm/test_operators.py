@@ -189,6 +189,24 @@ def test_line_dedup_of_passages_that_repeat(spark):
     assert {r["doc_id"]: r["n_lines_removed"] for r in out.collect()} == {1: 0, 2: 5, 3: 10}
 
 
+def test_line_dedup_finds_every_earlier_holder(spark):
+    """Blocks of short lines whose lines first stood apart, passages in crossed order, and random documents."""
+    a, b, c = (prose(6, 70 + i) for i in range(3))
+    x, y = ("\n".join(prose(11, 80 + 5 * k + i) for i in range(3)) for k in range(2))
+    fixed = [(1, a), (2, b), (3, f"{a}\n{b}"), (4, f"{c}\n{a}\n{b}"), (5, f"{x}\n{y}"), (6, f"{y}\n{c}\n{x}")]
+    r = random.Random(4)
+    pool = [prose(n, 200 + i) for i, n in enumerate([0, 1, 2, 3, 3, 4, 5, 6, 9, 10, 14])]
+    rows = fixed + [(10 + i, "\n".join(r.choices(pool, k=r.randrange(1, 9)))) for i in range(60)]
+    known = {i: t.split("\n") for i, t in rows}
+    expected = {i: {k for j in known if j < i for k in brute_lines(t, known[j], [len(words(x)) for x in t], 10)}
+                for i, t in known.items()}
+    out = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    got = {o["doc_id"]: (o["n_lines_removed"], o["text"]) for o in out}
+    assert [got[i][0] for i in (4, 6)] == [2, 6]
+    assert got == {i: (len(gone), "\n".join(t for k, t in enumerate(known[i]) if k not in gone))
+                   for i, gone in expected.items()}
+
+
 def test_line_dedup_removes_only_lines_of_earlier_documents(spark):
     r = random.Random(9)
     pool = [prose(11, 100 + i) for i in range(12)]
