@@ -10,7 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gearledger.llm.common import mix, with_text_key, words_of
@@ -19,6 +19,9 @@ from gearledger.session import materialise
 #: An aligned block goes only if it has at least so many words.
 BLOCK_WORDS = 10
 
+#: Scripts written without blanks (Thai, Lao, Burmese, Khmer, Kana, Han): up to two of their characters are a word.
+UNSPACED = r"[\u0E00-\u0EFF\u1000-\u109F\u1780-\u17FF\u3040-\u30FF\u3400-\u4DBF\u4E00-\u9FFF\uF900-\uFAFF\x{20000}-\x{3FFFF}]{1,2}"
+
 _FACTOR = 0x9FB21C651E98DF25
 _INVERSE = pow(_FACTOR, -1, 2**64)
 
@@ -153,6 +156,12 @@ def _anchors(least: int):
     return run
 
 
+def line_words(line: Column) -> Column:
+    """Number of words of a line; only lines with characters of several bytes are searched for unspaced scripts."""
+    wide = F.octet_length(line) >= F.char_length(line) + 2
+    return F.size(words_of(F.when(wide, F.regexp_replace(line, UNSPACED, " x ")).otherwise(line)))
+
+
 def duplicate_lines(docs: DataFrame, least: int = BLOCK_WORDS) -> DataFrame:
     """doc_id, text_key and the positions of the lines that go, one row per document that loses lines.
 
@@ -165,7 +174,7 @@ def duplicate_lines(docs: DataFrame, least: int = BLOCK_WORDS) -> DataFrame:
     keyed = with_text_key(docs, F.split(F.coalesce("text", F.lit("")), "\n").alias("lines")).where("doc_id IS NOT NULL")
     counted = keyed.select(
         "doc_id", "text_key", F.transform("lines", lambda x: F.xxhash64(x, F.char_length(x))).alias("line_hash"),
-        F.transform("lines", lambda x: F.size(words_of(x))).alias("line_words"))
+        F.transform("lines", line_words).alias("line_words"))
     sequences = materialise(counted.dropDuplicates(["doc_id", "text_key"]), "line-sequences")
     kind = docs.schema["doc_id"].dataType.simpleString()
     anchors = sequences.mapInArrow(_anchors(least), f"doc_id {kind}, text_key long, anchor long")

@@ -207,6 +207,15 @@ def test_line_dedup_finds_every_earlier_holder(spark):
                    for i, gone in expected.items()}
 
 
+def test_line_dedup_of_short_lines_and_unspaced_scripts(spark):
+    verse = "\n".join(prose(2, 90 + i) for i in range(6))
+    chinese = "".join(chr(0x4E00 + i) for i in range(24))
+    rows = [(1, verse), (2, f"{prose(12, 97)}\n{verse}"), (3, chinese), (4, f"new\n{chinese}"), (5, chinese[:18]),
+            (6, chinese[:18]), (7, "é" * 40), (8, "é" * 40)]
+    out = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["n_lines_removed"] for r in out} == {1: 0, 2: 6, 3: 0, 4: 1, 5: 0, 6: 0, 7: 0, 8: 0}
+
+
 def test_line_dedup_removes_only_lines_of_earlier_documents(spark):
     r = random.Random(9)
     pool = [prose(11, 100 + i) for i in range(12)]
