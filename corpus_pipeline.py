@@ -17,6 +17,10 @@ from gearledger.llm.packing import pack
 from gearledger.llm.quality import keep_good
 from gearledger.session import materialise
 
+#: Near copies share at least so many percent of their five-word shingles; a pair at 80 % misses all bands with 1e-5.
+NEAR_PERCENT = 80
+NEAR_BANDS = 64
+
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents that the quality classifier rejects; it learns from the labels of the corpus."""
@@ -30,7 +34,7 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group of near copies."""
-    return drop_near_duplicates(docs).select(docs.columns)
+    return drop_near_duplicates(docs, NEAR_PERCENT, NEAR_BANDS).select(docs.columns)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -6,7 +6,8 @@ costs n hash evaluations per shingle. Bands of the signature propose pairs, whic
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -18,9 +19,9 @@ from gearledger.llm.components import components
 from gearledger.session import materialise
 
 SHINGLE = 5
-#: Links need 100 * intersection >= PERCENT * union.
+#: Links need 100 * intersection >= percent * union. Each band holds minimum and maximum of four permutations; a pair
+#: at 0.85 misses all of 36 bands, and a pair at 0.80 all of 64 bands, with probability 1e-5.
 PERCENT = 85
-#: Each band holds minimum and maximum of four permutations. A pair at 0.85 misses every band with probability 1e-5.
 BANDS = 36
 BAND_PERMUTATIONS = 4
 #: Buckets up to this size propose all their pairs; larger ones go through their most central member.
@@ -29,9 +30,14 @@ SMALL_BUCKET = 8
 TILE_SHINGLES = 1_000_000
 _ROWS = 4096
 _BLOCK = 256
-_RANDOM = np.random.default_rng(20_240)
-_FACTORS = _RANDOM.integers(0, 2**63, BANDS * BAND_PERMUTATIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_BAND_SEEDS = _RANDOM.integers(0, 2**63, BANDS, dtype=np.uint64)
+
+
+@lru_cache(maxsize=4)
+def _hashing(bands: int) -> tuple[np.ndarray, np.ndarray]:
+    """Factors of the permutations and seeds of the bands."""
+    random = np.random.default_rng(20_240)
+    factors = random.integers(0, 2**63, bands * BAND_PERMUTATIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    return factors, random.integers(0, 2**63, bands, dtype=np.uint64)
 
 
 def shingle_set(text: str | None, cache: dict[bytes, int]) -> np.ndarray:
@@ -42,37 +48,41 @@ def shingle_set(text: str | None, cache: dict[bytes, int]) -> np.ndarray:
                      if words else hashes)
 
 
-def band_keys(shingles: np.ndarray) -> np.ndarray:
+def band_keys(shingles: np.ndarray, bands: int = BANDS) -> np.ndarray:
     """One key per band from the minima and maxima of its permutations; none for an empty set."""
     if not len(shingles):
         return np.empty(0, np.uint64)
-    low = np.full(len(_FACTORS), np.iinfo(np.uint64).max, np.uint64)
-    high = np.zeros(len(_FACTORS), np.uint64)
+    factors, seeds = _hashing(bands)
+    low = np.full(len(factors), np.iinfo(np.uint64).max, np.uint64)
+    high = np.zeros(len(factors), np.uint64)
     for start in range(0, len(shingles), _ROWS):
-        values = shingles[start : start + _ROWS, None] * _FACTORS
+        values = shingles[start : start + _ROWS, None] * factors
         np.minimum(low, values.min(axis=0), out=low)
         np.maximum(high, values.max(axis=0), out=high)
-    both = np.concatenate([low.reshape(BANDS, -1), high.reshape(BANDS, -1)], axis=1)
-    keys = _BAND_SEEDS.copy()
+    both = np.concatenate([low.reshape(bands, -1), high.reshape(bands, -1)], axis=1)
+    keys = seeds.copy()
     for column in both.T:
         keys = mix(keys ^ column)
     return keys
 
 
-def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    cache: dict[bytes, int] = {}
-    for batch in chunked(batches):
-        sets = [shingle_set(t, cache) for t in batch.column("text").to_pylist()]
-        first = np.array([int(mix(s).sum(dtype=np.uint64)) if len(s) else 0 for s in sets], np.uint64)
-        second = np.array([int(mix(s ^ np.uint64(0xA5A5A5A5)).sum(dtype=np.uint64)) if len(s) else 0 for s in sets],
-                          np.uint64)
-        bands = [band_keys(s) for s in sets]
-        ends = np.concatenate([[0], np.cumsum([len(b) for b in bands])]).astype(np.int32)
-        flat = np.concatenate([np.empty(0, np.uint64), *bands]).view(np.int64)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(first.view(np.int64)),
-             pa.array(second.view(np.int64)), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))],
-            names=["doc_id", "n_shingles", "mark1", "mark2", "bands"])
+def _signatures(bands: int) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cache: dict[bytes, int] = {}
+        for batch in chunked(batches):
+            sets = [shingle_set(t, cache) for t in batch.column("text").to_pylist()]
+            first = np.array([int(mix(s).sum(dtype=np.uint64)) if len(s) else 0 for s in sets], np.uint64)
+            second = np.array([int(mix(s ^ np.uint64(0xA5A5A5A5)).sum(dtype=np.uint64)) if len(s) else 0 for s in sets],
+                              np.uint64)
+            keys = [band_keys(s, bands) for s in sets]
+            ends = np.concatenate([[0], np.cumsum([len(k) for k in keys])]).astype(np.int32)
+            flat = np.concatenate([np.empty(0, np.uint64), *keys]).view(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(first.view(np.int64)),
+                 pa.array(second.view(np.int64)), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))],
+                names=["doc_id", "n_shingles", "mark1", "mark2", "bands"])
+
+    return run
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -92,35 +102,38 @@ def _explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 [pa.array(np.full(len(values), node.as_py(), np.int64)), pa.array(values)], names=["node", "shingle"])
 
 
-def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        linked = []
-        for left, right in zip(batch.column("left").to_pylist(), batch.column("right").to_pylist()):
-            x, y = np.frombuffer(left, np.uint64), np.frombuffer(right, np.uint64)
-            shared = len(np.intersect1d(x, y, assume_unique=True))
-            linked.append(100 * shared >= PERCENT * (len(x) + len(y) - shared))
-        yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
+def _confirm(percent: int) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            linked = []
+            for left, right in zip(batch.column("left").to_pylist(), batch.column("right").to_pylist()):
+                x, y = np.frombuffer(left, np.uint64), np.frombuffer(right, np.uint64)
+                shared = len(np.intersect1d(x, y, assume_unique=True))
+                linked.append(100 * shared >= percent * (len(x) + len(y) - shared))
+            yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
+
+    return run
 
 
-def confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def confirm(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough."""
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("left"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("right"))
     return pairs.join(left.hint("merge"), "a").join(right.hint("merge"), "b").select("a", "b", "left", "right").mapInArrow(
-        _confirm, "a long, b long")
+        _confirm(percent), "a long, b long")
 
 
-def _may_link(n_a: str, n_b: str, s_a: str, s_b: str) -> Column:
+def _may_link(n_a: str, n_b: str, s_a: str, s_b: str, percent: int) -> Column:
     """False only for pairs that cannot be linked: at most the smaller number of shared shingles is common."""
     most = f"least({s_a}, {s_b})"
-    return F.expr(f"100 * {most} >= {PERCENT} * ({n_a} + {n_b} - {most})")
+    return F.expr(f"100 * {most} >= {percent} * ({n_a} + {n_b} - {most})")
 
 
 def _ordered(left: str, right: str) -> list[Column]:
     return [F.least(left, right).alias("a"), F.greatest(left, right).alias("b")]
 
 
-def links_of(nodes: DataFrame, docs: DataFrame) -> DataFrame:
+def links_of(nodes: DataFrame, docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Confirmed links (a, b) that connect what all links among the band buckets' members connect.
 
     Buckets of two give their pair straight from the count, buckets of up to SMALL_BUCKET all pairs. In a larger
@@ -149,16 +162,16 @@ def links_of(nodes: DataFrame, docs: DataFrame) -> DataFrame:
     common = own.groupBy("shingle").agg(F.count(F.lit(1)).alias("holders")).where("holders > 1").select("shingle")
     shared = own.join(common, "shingle").groupBy("node").agg(F.count(F.lit(1)).alias("s"))
     central = sets.select("node", "n").join(shared, "node").groupBy("node").agg(
-        F.max("n").alias("n"), F.max("s").alias("s")).where(f"100 * s >= {PERCENT} * n")
+        F.max("n").alias("n"), F.max("s").alias("s")).where(f"100 * s >= {percent} * n")
     members = materialise(hot.join(central, "node"), "hot")
     pivots = members.groupBy("band").agg(F.max(F.struct(
         (F.col("s") / F.col("n")).alias("share"), (-F.col("node")).alias("order"), "n", "s")).alias("p"))
     pivots = pivots.select("band", (-F.col("p.order")).alias("p_node"), F.col("p.n").alias("p_n"),
                            F.col("p.s").alias("p_s"))
-    star = members.join(pivots, "band").where("node <> p_node").where(_may_link("n", "p_n", "s", "p_s"))
+    star = members.join(pivots, "band").where("node <> p_node").where(_may_link("n", "p_n", "s", "p_s", percent))
     star = star.select(*_ordered("node", "p_node")).distinct().join(pairs, ["a", "b"], "left_anti")
     tested = materialise(pairs.union(star), "pairs")
-    found = materialise(confirm(tested, sets), "confirmed")
+    found = materialise(confirm(tested, sets, percent), "confirmed")
 
     if members.isEmpty():
         return found
@@ -168,10 +181,10 @@ def links_of(nodes: DataFrame, docs: DataFrame) -> DataFrame:
         F.min("component").alias("lo"), F.max("component").alias("hi"), F.min("node").alias("a")).where("lo < hi")
     rest = materialise(labelled.join(mixed.select("band", "a"), "band").select("node", "a", "component", "n"), "rest")
     clusters = components(rest.select("a", F.col("node").alias("b"))).withColumnRenamed("component", "cluster")
-    return found.union(across(rest.select("node", "component", "n").distinct().join(clusters, "node"), sets))
+    return found.union(across(rest.select("node", "component", "n").distinct().join(clusters, "node"), sets, percent))
 
 
-def _block_links(nodes: np.ndarray, labels: np.ndarray, sets: list[np.ndarray]) -> list[tuple[int, int]]:
+def _block_links(nodes: np.ndarray, labels: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     """Links between members of different components, by matrix products of blocks of similar set sizes."""
     sizes = np.array([len(s) for s in sets])
     order = np.argsort(sizes, kind="stable")
@@ -179,7 +192,7 @@ def _block_links(nodes: np.ndarray, labels: np.ndarray, sets: list[np.ndarray])
     found: list[tuple[int, int]] = []
     for x, left in enumerate(blocks):
         for right in blocks[x:]:
-            if 100 * sizes[left[-1]] < PERCENT * sizes[right[0]]:
+            if 100 * sizes[left[-1]] < percent * sizes[right[0]]:
                 break
             both = np.concatenate([left, right])
             row = np.repeat(np.arange(len(both)), sizes[both])
@@ -194,12 +207,12 @@ def _block_links(nodes: np.ndarray, labels: np.ndarray, sets: list[np.ndarray])
                 cells[row[here], common[at[here]] - start] = 1
                 shared += cells[: len(left)] @ cells[len(left) :].T
             union = sizes[left][:, None] + sizes[right][None, :] - shared
-            linked = (100 * shared >= PERCENT * union) & (labels[left][:, None] != labels[right][None, :])
+            linked = (100 * shared >= percent * union) & (labels[left][:, None] != labels[right][None, :])
             found += [(int(nodes[left[i]]), int(nodes[right[j]])) for i, j in zip(*np.nonzero(linked))]
     return found
 
 
-def across(members: DataFrame, sets: DataFrame) -> DataFrame:
+def across(members: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Confirmed links between different components of a cluster (columns node, component, n, cluster).
 
     A cluster is cut into tiles by the amount of its shingles, every pair of tiles is one group, and the pairs of
@@ -216,15 +229,15 @@ def across(members: DataFrame, sets: DataFrame) -> DataFrame:
     def run(group: pa.Table) -> pa.Table:
         nodes = group.column("node").to_numpy()
         sets = [np.frombuffer(x, np.uint64) for x in group.column("shingles").to_pylist()]
-        links = _block_links(nodes, group.column("component").to_numpy(), sets)
+        links = _block_links(nodes, group.column("component").to_numpy(), sets, percent)
         pairs = np.array(links, np.int64).reshape(-1, 2)
         return pa.table({"a": pairs.min(axis=1), "b": pairs.max(axis=1)})
 
     return materialise(grouped.applyInArrow(run, "a long, b long").distinct(), "confirmed")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept of every document.
+def near_duplicates(docs: DataFrame, percent: int = PERCENT, bands: int = BANDS) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept of every document; links are pairs of at least so many percent.
 
     Texts with equal sets are one class, which meets others once however many copies it has. Documents without
     words, null texts and rows without a doc_id are linked with nothing (a null id has a null component and is
@@ -233,13 +246,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """
     read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     marks = materialise(read.mapInArrow(
-        _signatures, "doc_id long, n_shingles long, mark1 long, mark2 long, bands array<long>"), "signatures")
+        _signatures(bands), "doc_id long, n_shingles long, mark1 long, mark2 long, bands array<long>"), "signatures")
     named = marks.where("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = named.groupBy("n_shingles", "mark1", "mark2").agg(
         F.min("doc_id").alias("node"), F.first("bands").alias("bands"))
     nodes = materialise(classes, "classes")
     twins = named.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("doc_id")
-    links = links_of(nodes, read)
+    links = links_of(nodes, read, percent)
     # A doc_id on several texts ties their classes together.
     ties = named.join(twins, "doc_id").join(nodes.drop("bands"), ["n_shingles", "mark1", "mark2"]).select(
         F.col("doc_id").alias("a"), F.col("node").alias("b"))
@@ -252,9 +265,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
                       F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
 
 
-def drop_near_duplicates(docs: DataFrame) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, percent: int = PERCENT, bands: int = BANDS) -> DataFrame:
     """The documents that stay, one of each group of near copies, with all their columns."""
-    gone = near_duplicates(docs).where("NOT kept").select("doc_id").distinct()
+    gone = near_duplicates(docs, percent, bands).where("NOT kept").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti")
 
 

@@ -8,6 +8,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from gearledger.llm import (
     line_dedup,
     line_rules,
@@ -119,6 +120,17 @@ def test_near_dedup_of_a_hot_group(spark):
     assert {r["doc_id"]: r["component_id"] for r in got} == {i: find(i) for i in sets}
 
 
+def test_near_stage_links_at_eighty_percent(spark):
+    """Two words changed in a text of 120: similar by more than 0.80 and less than 0.85."""
+    changed = [w if i not in (30, 60) else f"new{i}" for i, w in enumerate(BASE.split())]
+    rows = [(1, BASE), (2, " ".join(changed)), (3, prose(90, 31))]
+    x, y = shingles(rows[0][1]), shingles(rows[1][1])
+    assert 80 * len(x | y) <= 100 * len(x & y) < 85 * len(x | y)
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r["doc_id"] for r in corpus_pipeline.near_stage(spark, frame, "").collect()} == {1, 3}
+    assert near_dedup.near_duplicates(frame).where("NOT kept").count() == 0
+
+
 def test_components_of_a_chain(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 101), (7, 7)]
     got = dict(components(spark.createDataFrame(edges, "a long, b long")).collect())
