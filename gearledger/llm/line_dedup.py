@@ -167,9 +167,10 @@ def duplicate_lines(docs: DataFrame, least: int = BLOCK_WORDS) -> DataFrame:
 
     The earlier document is the one with the smaller doc_id. A shortest run of ``least`` words leads a document to the
     first document that has the run, whatever the length of its lines, so a line goes if and only if a run around it
-    stands in any earlier document. A run in a third of all documents costs one pair per document; of several runs
-    that lead to the same first holder the pair is aligned once. Lines are judged on the input. A line that goes
-    stands in an earlier document, and the first holder of a line never loses it, so no line vanishes everywhere.
+    stands in any earlier document. Where an id has several texts, the pair names the one with the run. A run in a
+    third of all documents costs one pair per document; of several runs that lead to the same first holder the pair is
+    aligned once. Lines are judged on the input. A line that goes stands in an earlier document, and the first holder
+    of a line never loses it, so no line vanishes everywhere.
     """
     keyed = with_text_key(docs, F.split(F.coalesce("text", F.lit("")), "\n").alias("lines")).where("doc_id IS NOT NULL")
     counted = keyed.select(
@@ -178,11 +179,14 @@ def duplicate_lines(docs: DataFrame, least: int = BLOCK_WORDS) -> DataFrame:
     sequences = materialise(counted.dropDuplicates(["doc_id", "text_key"]), "line-sequences")
     kind = docs.schema["doc_id"].dataType.simpleString()
     anchors = sequences.mapInArrow(_anchors(least), f"doc_id {kind}, text_key long, anchor long")
-    shared = anchors.groupBy("anchor").agg(F.min("doc_id").alias("earlier"), F.max("doc_id").alias("latest")).where(
-        "earlier < latest").drop("latest")
-    pairs = anchors.join(shared, "anchor").where("doc_id > earlier").select("doc_id", "text_key", "earlier").distinct()
-    held = sequences.groupBy("doc_id").agg(F.first("line_hash").alias("earlier_hash"))
-    meeting = pairs.join(held.withColumnRenamed("doc_id", "earlier"), "earlier").alias("p").join(
+    first = F.min(F.struct("doc_id", "text_key")).alias("first")
+    shared = anchors.groupBy("anchor").agg(first, F.max("doc_id").alias("latest")).where("first.doc_id < latest").select(
+        "anchor", F.col("first.doc_id").alias("earlier"), F.col("first.text_key").alias("earlier_key"))
+    pairs = anchors.join(shared, "anchor").where("doc_id > earlier").select(
+        "doc_id", "text_key", "earlier", "earlier_key").distinct()
+    held = sequences.select(F.col("doc_id").alias("earlier"), F.col("text_key").alias("earlier_key"),
+                            F.col("line_hash").alias("earlier_hash"))
+    meeting = pairs.join(held, ["earlier", "earlier_key"]).alias("p").join(
         sequences.alias("s"), F.expr("p.doc_id = s.doc_id AND p.text_key = s.text_key")).select(
         "s.doc_id", "s.text_key", "line_hash", "line_words", "earlier_hash")
     aligned = meeting.mapInArrow(_align(least), f"doc_id {kind}, text_key long, removed array<int>")

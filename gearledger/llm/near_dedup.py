@@ -266,8 +266,16 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, bands: int = BANDS)
 
 
 def drop_near_duplicates(docs: DataFrame, percent: int = PERCENT, bands: int = BANDS) -> DataFrame:
-    """The documents that stay, one of each group of near copies, with all their columns."""
-    gone = near_duplicates(docs, percent, bands).where("NOT kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti")
-
+    """The documents that stay, one of each group of near copies, with all their columns.
 
+    A row without a doc_id is a document named by its text, and gives way to copies with an id. Of rows equal in id
+    and text one stays.
+    """
+    key = F.xxhash64(F.coalesce("text", F.lit("")))
+    number = key.bitwiseAND(F.lit(2**62 - 1)).bitwiseOR(F.lit(2**62))
+    named = docs.withColumn("near_dedup_id", F.coalesce(F.col("doc_id").cast("long"), number)).withColumn(
+        "near_dedup_key", key)
+    found = near_duplicates(named.select(F.col("near_dedup_id").alias("doc_id"), "text"), percent, bands)
+    gone = found.where("NOT kept").select(F.col("doc_id").alias("near_dedup_id")).distinct()
+    left = named.join(gone, "near_dedup_id", "left_anti").dropDuplicates(["near_dedup_id", "near_dedup_key"])
+    return left.drop("near_dedup_id", "near_dedup_key")

@@ -131,6 +131,20 @@ def test_near_stage_links_at_eighty_percent(spark):
     assert near_dedup.near_duplicates(frame).where("NOT kept").count() == 0
 
 
+def test_repeated_rows_and_rows_without_id_leave(spark):
+    rows = [(1, BASE), (1, BASE), (None, BASE), (None, prose(50, 6)), (None, prose(50, 6)), (2, "one"), (2, "two")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    left = sorted(map(tuple, near_dedup.drop_near_duplicates(frame).collect()), key=repr)
+    assert left == sorted([(1, BASE), (None, prose(50, 6)), (2, "one"), (2, "two")], key=repr)
+
+
+def test_line_dedup_where_an_id_has_several_texts(spark):
+    texts = ["\n".join(prose(11, 300 + 5 * k + i) for i in range(3)) for k in range(4)]
+    rows = [(1, t) for t in texts] + [(2 + i, t) for i, t in enumerate(texts)]
+    out = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["n_lines_removed"]) for r in out) == [(1, 0)] * 4 + [(i, 3) for i in range(2, 6)]
+
+
 def test_components_of_a_chain(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 101), (7, 7)]
     got = dict(components(spark.createDataFrame(edges, "a long, b long")).collect())
