@@ -8,13 +8,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gearledger.llm import (
+    kmeans_tree,
     line_dedup,
     line_rules,
     mixing,
     near_dedup,
     packing,
+    periodic_runs,
     pii,
     quality,
+    spelling,
     substring_dedup,
     topk,
     url_rules,
@@ -23,6 +26,10 @@ from gearledger.llm.common import table
 
 QUERY_STEP = 100
 TOP = 10
+NEAR_STEP = 50
+NEAR_TOP = 5
+#: One in so many (document, run) pairs loses a letter in op11.
+NOISE_EVERY = 97
 
 
 def op1_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
@@ -81,9 +88,33 @@ def op10_url_rules(spark: SparkSession, folder: str) -> DataFrame:
     return url_rules.judge_urls(table(spark, folder, "pages"))
 
 
+def op11_spelling_groups(spark: SparkSession, folder: str) -> DataFrame:
+    words = spelling.word_counts(table(spark, folder, "documents"), noise_every=NOISE_EVERY)
+    return spelling.spelling_groups(words)
+
+
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = periodic_runs.find_runs(periodic_runs.with_planted_runs(table(spark, folder, "documents")))
+    found = found.withColumn("best", periodic_runs.strongest("runs"))
+    listed = F.transform("runs", lambda r: F.concat_ws(
+        ",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")))
+    best = {c: F.col(f"best.{c}") for c in ("start", "length", "period")}
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), *[column.alias(c) for c, column in best.items()],
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(listed, lambda x: F.concat(x, F.lit("\n"))), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed_text", 256).alias("collapsed_sha256"))
+
+
+def op13_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings")
+    return kmeans_tree.nearest(vectors, vectors.where(F.col("vec_id") % NEAR_STEP == 0), NEAR_TOP)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     known = (op1_substring_dedup, op2_best_fit_packing, op3_private_data, op4_near_dedup, op5_exact_topk,
-             op6_line_dedup, op7_line_rules, op8_source_mixing, op9_quality_classifier, op10_url_rules)
+             op6_line_dedup, op7_line_rules, op8_source_mixing, op9_quality_classifier, op10_url_rules,
+             op11_spelling_groups, op12_periodic_runs, op13_nearest_neighbours)
     return {f.__name__: f for f in known}
 
 
@@ -195,6 +226,87 @@ FROM f
 """
 
 
+def _checksum_steps() -> list[int]:
+    """What four bits do to the checksum's register, by the reflected polynomial of crc32."""
+    steps = []
+    for value in range(16):
+        for _ in range(4):
+            value = (value >> 1) ^ (0xEDB88320 if value & 1 else 0)
+        steps.append(value)
+    return steps
+
+
+def _crc32(text: str) -> str:
+    """crc32 of the UTF-8 bytes of an SQL text, half a byte at a time, the lower half first."""
+    digits = f"hex(encode({text}))"
+    halves = (f"list_transform(range(length({digits})), lambda i: CAST(instr('0123456789ABCDEF', "
+              f"substr({digits}, CAST(xor(i, 1) + 1 AS BIGINT), 1)) - 1 AS BIGINT))")
+    return (f"xor(list_reduce({halves}, lambda c, x: xor({_checksum_steps()}[(xor(c, x) & 15) + 1], c >> 4), "
+            f"CAST(4294967295 AS BIGINT)), CAST(4294967295 AS BIGINT))")
+
+
+OP11_SQL = rf"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{{C0}}-\x{{FF}}]+') AS runs FROM documents),
+x AS (SELECT doc_id, unnest(runs) AS run FROM d),
+u AS (SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS name, run, count(*) AS n FROM x GROUP BY ALL),
+h AS (SELECT run, n, {_crc32("name || ':' || run")} AS h FROM u),
+k AS (SELECT CASE WHEN h % {NOISE_EVERY} = 0
+        THEN substr(run, 1, CAST(h % length(run) AS BIGINT)) || substr(run, CAST(h % length(run) AS BIGINT) + 2)
+        ELSE run END AS word, n FROM h),
+w AS MATERIALIZED (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM k WHERE length(word) >= {spelling.LEAST_CHARS}
+      GROUP BY word HAVING sum(n) >= {spelling.LEAST_COUNT}),
+c AS MATERIALIZED (SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS rest
+      FROM (SELECT word, n, unnest(range(length(word))) AS i FROM w)),
+p AS (SELECT a.word, a.n, b.word AS near, b.n AS near_n FROM c a JOIN c b ON a.i = b.i AND a.rest = b.rest
+        AND a.word <> b.word
+      UNION SELECT a.word, a.n, b.word, b.n FROM w a JOIN c b ON a.word = b.rest
+      UNION SELECT a.word, a.n, b.word, b.n FROM c a JOIN w b ON a.rest = b.word),
+f AS MATERIALIZED (SELECT word, count(*) AS n_near, first(near ORDER BY near_n DESC, near) AS near,
+        max(near_n) AS near_n, max(n) AS n FROM p GROUP BY word),
+g AS MATERIALIZED (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near,
+        CASE WHEN near_n >= {spelling.RATIO} * w.n THEN near END AS form,
+        CASE WHEN near_n >= {spelling.RATIO} * w.n THEN near_n END AS form_n FROM w LEFT JOIN f USING (word)),
+r AS (SELECT word, word AS root, form FROM g UNION ALL SELECT r.word, g.word, g.form FROM r JOIN g ON r.form = g.word)
+SELECT g.word, g.n, CAST(n_near AS BIGINT) AS n_near, g.form, CAST(form_n AS BIGINT) AS form_n, r.root
+FROM g JOIN r ON r.word = g.word AND r.form IS NULL
+"""
+
+OP12_SQL = rf"""
+WITH d AS (SELECT doc_id, {WORDS} AS ws, {_crc32("CAST(doc_id AS VARCHAR)")} AS h FROM documents),
+e AS (SELECT *, h // 10 AS g, len(ws) AS n FROM d),
+o AS (SELECT *, CASE WHEN h % 10 = 0 AND n > 0 THEN g % n END AS a FROM e),
+m AS MATERIALIZED (SELECT doc_id, CASE WHEN a IS NULL THEN ws ELSE list_transform(range(n), lambda i:
+        ws[CAST(CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + g % 8)) END + 1 AS BIGINT)]) END AS ws
+      FROM o),
+x AS (SELECT doc_id, unnest(ws) AS word, unnest(range(len(ws))) AS place FROM m),
+s AS MATERIALIZED (SELECT doc_id, place, count(*) OVER win AS n, md5(array_to_string(list(word) OVER win, ' ')) AS gram
+      FROM x WINDOW win AS (PARTITION BY doc_id ORDER BY place ROWS BETWEEN CURRENT ROW AND 4 FOLLOWING)),
+p AS (SELECT a.doc_id, a.place, b.place - a.place AS lag FROM s a JOIN s b ON a.doc_id = b.doc_id AND a.gram = b.gram
+      AND b.place > a.place JOIN m ON m.doc_id = a.doc_id AND 4 * (b.place - a.place) <= len(m.ws)
+      WHERE a.n = 5 AND b.n = 5),
+i AS (SELECT doc_id, lag, place, place - row_number() OVER (PARTITION BY doc_id, lag ORDER BY place) AS island FROM p),
+t AS MATERIALIZED (SELECT doc_id, lag AS period, min(place) AS start, count(*) + 4 + lag AS length FROM i
+      GROUP BY doc_id, lag, island HAVING count(*) + 4 + lag >= greatest({periodic_runs.LEAST_WORDS},
+      {periodic_runs.EXPONENT} * lag)),
+r AS MATERIALIZED (SELECT * FROM t WHERE NOT EXISTS (SELECT 1 FROM t u WHERE u.doc_id = t.doc_id
+      AND u.period < t.period AND u.start <= t.start AND u.start + u.length >= t.start + t.length)),
+z AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS place FROM r),
+k AS (SELECT doc_id, string_agg(word, ' ' ORDER BY place) AS kept FROM x ANTI JOIN z USING (doc_id, place)
+      GROUP BY doc_id),
+b AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY CAST(length AS DOUBLE) / period DESC, start, period)
+      AS turn FROM r),
+l AS (SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), ''
+      ORDER BY start, period) AS listed FROM r GROUP BY doc_id)
+SELECT m.doc_id, CAST(coalesce(n_runs, 0) AS BIGINT) AS n_runs, CAST(b.start AS BIGINT) AS start,
+       CAST(b.length AS BIGINT) AS length, CAST(b.period AS BIGINT) AS period,
+       CAST(1000 * b.length // b.period AS BIGINT) AS exponent_milli, sha256(coalesce(listed, '')) AS runs_sha256,
+       sha256(coalesce(kept, '')) AS collapsed_sha256
+FROM m LEFT JOIN l USING (doc_id) LEFT JOIN k USING (doc_id) LEFT JOIN b ON b.doc_id = m.doc_id AND turn = 1
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {"op1_substring_dedup": OP1_SQL, "op4_near_dedup": OP4_SQL, "op5_exact_topk": OP5_SQL,
-            "op7_line_rules": OP7_SQL, "op8_source_mixing": OP8_SQL}
+            "op7_line_rules": OP7_SQL, "op8_source_mixing": OP8_SQL, "op11_spelling_groups": OP11_SQL,
+            "op12_periodic_runs": OP12_SQL}

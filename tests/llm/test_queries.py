@@ -38,12 +38,12 @@ def test_query_matches_sql(spark, duck, name):
 
 def test_every_dealt_operator_is_registered():
     known = entry.queries()
-    assert [sum(q.startswith(f"op{n}_") for q in known) for n in range(1, 11)] == [1] * 10
+    assert [sum(q.startswith(f"op{n}_") for q in known) for n in range(1, 14)] == [1] * 13
     assert "pipeline" in known
 
 
 @pytest.mark.parametrize("name", ["op2_best_fit_packing", "op3_private_data", "op6_line_dedup",
-                                  "op9_quality_classifier", "op10_url_rules"])
+                                  "op9_quality_classifier", "op10_url_rules", "op12_periodic_runs"])
 def test_query_covers_its_table(spark, name):
     table = "pages" if name.startswith("op10") else "documents"
     key = "page_id" if table == "pages" else "doc_id"
