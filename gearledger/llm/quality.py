@@ -7,7 +7,8 @@ together by stochastic gradient descent in numpy on a bounded sample of labelled
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import re
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from zlib import crc32
 
@@ -31,6 +32,11 @@ THRESHOLD = 0.3
 FOLDS = 5
 #: Words whose features a worker remembers; the memory is emptied when full and only saves time.
 CACHE_WORDS = 150_000
+#: New words whose features a worker holds as arrays at one time; words of a text, or bytes of a long word, likewise.
+SLICE_WORDS = 4_000
+SLICE = 32_768
+#: Bytes of a text that are split into words at one time, besides a single longer word.
+PIECE_BYTES = 1_000_000
 #: Bucket of a word that repeats the word before it, whatever the word is.
 SAME = 0
 
@@ -40,6 +46,10 @@ def fold(doc_id: str | Column) -> Column:
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % FOLDS
 
 
+def _buckets(hashes: np.ndarray) -> np.ndarray:
+    return (1 + (hashes >> np.uint64(33)) % np.uint64(BUCKETS - 1)).astype(np.int64)
+
+
 def word_buckets(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Per word its hash; then the buckets of all words, each word and the byte n-grams of the word between two
     marks, word after word, and the number of buckets of each."""
@@ -57,17 +67,16 @@ def word_buckets(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray
         hashes.append(grams[whole])
     every = np.concatenate(owners)
     order = np.argsort(every, kind="stable")
-    buckets = 1 + (np.concatenate(hashes) >> np.uint64(33)) % np.uint64(BUCKETS - 1)
-    return marks, buckets[order].astype(np.int64), np.bincount(every, minlength=len(marked))
+    return marks, _buckets(np.concatenate(hashes)[order]), np.bincount(every, minlength=len(marked))
 
 
 def pair_buckets(marks: np.ndarray) -> np.ndarray:
     """Buckets of neighbouring words from the hashes of the words."""
     left, right = marks[:-1], marks[1:]
     mixed = (left * np.uint64(0x9E3779B97F4A7C15) + right) * np.uint64(0xD6E8FEB86659FD93)
-    out = 1 + (mixed >> np.uint64(33)) % np.uint64(BUCKETS - 1)
+    out = _buckets(mixed)
     out[left == right] = SAME
-    return out.astype(np.int64)
+    return out
 
 
 def text_features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
@@ -127,49 +136,104 @@ def train(texts: list[str], labels: list[int], epochs: int = EPOCHS, rate: float
     return model
 
 
+def word_lists(text: str | None, limit: int = PIECE_BYTES) -> Iterator[list[bytes]]:
+    """The words of a text in lists of a bounded number of bytes; a list ends at white space."""
+    data = (text or "").encode("utf-8", "surrogatepass")
+    start = 0
+    while len(data) - start > limit:
+        gap = re.compile(rb"[\x20\x09-\x0D]").search(data, start + limit)
+        if gap is None:
+            break
+        yield data[start : gap.start()].split()
+        start = gap.end()
+    yield data[start:].split()
+
+
 class Scorer:
-    """Scores texts with a model, remembering the summed vectors of words."""
+    """Scores texts with a model, remembering the summed vectors of words.
+
+    Vectors are held as single floats and summed as doubles, new words are learnt in slices, and long texts and long words
+    are summed piece by piece, so memory grows neither with a text nor with the number of texts.
+    """
 
     def __init__(self, model: Model):
         self.model = model
+        self.vectors = model.vectors.astype(np.float32)
         self.rows: dict[bytes, int] = {}
-        self.sums = np.zeros((1024, DIM))
+        self.sums = np.zeros((1024, DIM), np.float32)
         self.marks = np.zeros(1024, np.uint64)
         self.sizes = np.zeros(1024, np.int64)
 
+    def _room(self, end: int) -> None:
+        while end > len(self.sums):
+            self.sums = np.concatenate([self.sums, np.zeros_like(self.sums)])
+            self.marks = np.concatenate([self.marks, np.zeros_like(self.marks)])
+            self.sizes = np.concatenate([self.sizes, np.zeros_like(self.sizes)])
+
     def learn(self, words: set[bytes]) -> None:
+        """Remember the words; a memory that would get too large is emptied first."""
         fresh = [w for w in words if w not in self.rows]
         if len(self.rows) + len(fresh) > CACHE_WORDS and self.rows:
             self.rows.clear()
             fresh = list(words)
-        if not fresh:
-            return
-        start = len(self.rows)
-        end = start + len(fresh)
-        while end > len(self.sums):
-            self.sums = np.vstack([self.sums, np.zeros_like(self.sums)])
-            self.marks = np.concatenate([self.marks, np.zeros_like(self.marks)])
-            self.sizes = np.concatenate([self.sizes, np.zeros_like(self.sizes)])
-        marks, flat, sizes = word_buckets(fresh)
+        short = [w for w in fresh if len(w) <= SLICE]
+        for start in range(0, len(short), SLICE_WORDS):
+            self._learn_slice(short[start : start + SLICE_WORDS])
+        for word in fresh:
+            if len(word) > SLICE:
+                self._learn_long(word)
+
+    def _learn_slice(self, words: list[bytes]) -> None:
+        start, end = len(self.rows), len(self.rows) + len(words)
+        self._room(end)
+        marks, flat, sizes = word_buckets(words)
         cuts = np.cumsum(sizes) - sizes
-        self.sums[start:end] = np.add.reduceat(self.model.vectors[flat], cuts)
+        self.sums[start:end] = np.add.reduceat(self.vectors[flat], cuts, dtype=np.float64)
         self.marks[start:end], self.sizes[start:end] = marks, sizes
-        self.rows.update(zip(fresh, range(start, end)))
+        self.rows.update(zip(words, range(start, end)))
+
+    def _learn_long(self, word: bytes) -> None:
+        """As for other words; the n-grams of stretches that overlap by all but one byte of a gram are those of the word."""
+        at = len(self.rows)
+        self._room(at + 1)
+        marked = b"<" + word + b">"
+        mark = np.array([crc32(marked)], np.uint64)
+        total, size = self.vectors[_buckets(mix(mark))].sum(axis=0, dtype=np.float64), 1
+        for n in GRAMS:
+            for start in range(0, len(marked) - n + 1, SLICE):
+                part = np.frombuffer(marked[start : start + SLICE + n - 1], np.uint8).astype(np.uint64)
+                grams = _buckets(gram_hashes(part, n, n))
+                total += self.vectors[grams].sum(axis=0, dtype=np.float64)
+                size += len(grams)
+        self.sums[at], self.marks[at], self.sizes[at] = total, mark[0], size
+        self.rows[word] = at
+
+    def score(self, lists: Iterable[list[bytes]]) -> float:
+        """Score of a text from its lists of words; new words are learnt list by list."""
+        total, size, last = np.zeros(DIM), 0, None
+        for words in lists:
+            for start in range(0, len(words), SLICE):
+                part = words[start : start + SLICE]
+                try:
+                    at = np.fromiter(map(self.rows.__getitem__, part), np.int64, len(part))
+                except KeyError:
+                    self.learn(set(part))
+                    at = np.fromiter(map(self.rows.__getitem__, part), np.int64, len(part))
+                marks = self.marks[at]
+                pairs = pair_buckets(marks if last is None else np.concatenate([last, marks]))
+                last = marks[-1:]
+                total += self.sums[at].sum(axis=0, dtype=np.float64)
+                total += self.vectors[pairs].sum(axis=0, dtype=np.float64)
+                size += int(self.sizes[at].sum()) + len(pairs)
+        return self.model.probability(total / max(1, size))
 
     def scores(self, texts: list[str | None]) -> list[float]:
-        """Scores of a bounded amount of text; the words that are new are learnt together."""
+        """Scores of a bounded amount of text, or of a single longer one; new words of several texts are learnt together."""
+        if len(texts) == 1:
+            return [self.score(word_lists(texts[0]))]
         lists = [(t or "").encode("utf-8", "surrogatepass").split() for t in texts]
         self.learn(set().union(*lists))
-        out = []
-        for words in lists:
-            average = np.zeros(DIM)
-            if words:
-                at = np.fromiter(map(self.rows.__getitem__, words), np.int64, len(words))
-                pairs = pair_buckets(self.marks[at])
-                total = self.sums[at].sum(axis=0) + self.model.vectors[pairs].sum(axis=0)
-                average = total / (int(self.sizes[at].sum()) + len(pairs))
-            out.append(self.model.probability(average))
-        return out
+        return [self.score([words]) for words in lists]
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, limit: int = TRAIN_DOCS) -> list:
