@@ -1,6 +1,6 @@
-"""Line dedup by pairwise alignment: documents meet through shared runs of lines, and patience diff finds the common
-blocks, which the later document loses. Where the alignment leaves lines that both have, the runs
-of both are compared exactly, so repeated and crossed passages go as well."""
+"""Line dedup by pairwise alignment: documents meet through shared rare line hashes, patience diff aligns a document with
+the earlier one, and the aligned common blocks go from the later document. What stayed is aligned again until no block is
+left, so repeated and crossed passages go as well."""
 
 from __future__ import annotations
 
@@ -26,12 +26,33 @@ _FACTOR = 0x9FB21C651E98DF25
 _INVERSE = pow(_FACTOR, -1, 2**64)
 
 
+def _rising(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The longest chain of pairs that rises on both sides; pairs come by their left side."""
+    tops: list[int] = []
+    piles: list[int] = []
+    back: list[int] = []
+    for n, (_, j) in enumerate(pairs):
+        pile = bisect_left(tops, j)
+        back.append(piles[pile - 1] if pile else -1)
+        if pile == len(tops):
+            tops.append(j)
+            piles.append(n)
+        else:
+            tops[pile], piles[pile] = j, n
+    chain = []
+    n = piles[-1] if piles else -1
+    while n >= 0:
+        chain.append(pairs[n])
+        n = back[n]
+    return chain[::-1]
+
+
 def patience(left: list, right: list) -> list[tuple[int, int]]:
     """Pairs of positions of equal items, rising in both lists.
 
     Common heads and tails are matched first; between them the items that occur once on both sides are put into
-    their longest rising order, and the gaps are treated the same way; a gap without such items gives no pairs and is
-    left to ``shared_lines``. Explicit stack, so length is no limit.
+    their longest rising order, and the gaps are treated the same way; in a gap without such items the occurrences are
+    matched in order, each with the next one on the right. Explicit stack, so length is no limit.
     """
     found: list[tuple[int, int]] = []
     todo = [(0, len(left), 0, len(right))]
@@ -46,29 +67,22 @@ def patience(left: list, right: list) -> list[tuple[int, int]]:
         if a >= b or c >= d:
             continue
         once = Counter(left[a:b])
-        there = Counter(right[c:d])
-        at = {x: j for j, x in enumerate(right[c:d], c) if there[x] == 1}
-        unique = [(i, at[x]) for i, x in enumerate(left[a:b], a) if once[x] == 1 and x in at]
-        tops: list[int] = []
-        piles: list[int] = []
-        back: list[int] = []
-        for n, (_, j) in enumerate(unique):
-            pile = bisect_left(tops, j)
-            back.append(piles[pile - 1] if pile else -1)
-            if pile == len(tops):
-                tops.append(j)
-                piles.append(n)
-            else:
-                tops[pile], piles[pile] = j, n
-        chain = []
-        n = piles[-1] if piles else -1
-        while n >= 0:
-            chain.append(unique[n])
-            n = back[n]
+        there: dict = {}
+        for j, x in enumerate(right[c:d], c):
+            if x in once:
+                there.setdefault(x, []).append(j)
+        chain = _rising([(i, there[x][0]) for i, x in enumerate(left[a:b], a) if once[x] == 1 and len(there.get(x, ())) == 1])
         if not chain:
+            j = c
+            for i, x in enumerate(left[a:b], a):
+                at = there.get(x, ())
+                n = bisect_left(at, j)
+                if n < len(at):
+                    found.append((i, at[n]))
+                    j = at[n] + 1
             continue
         i, j = a, c
-        for x, y in reversed(chain):
+        for x, y in chain:
             found.append((x, y))
             todo.append((i, x, j, y))
             i, j = x + 1, y + 1
@@ -76,20 +90,81 @@ def patience(left: list, right: list) -> list[tuple[int, int]]:
     return sorted(found)
 
 
-def common_blocks(later: list, earlier: list, words: list[int], least: int = BLOCK_WORDS) -> list[tuple[int, int]]:
-    """Line ranges of the later document that align as a block of at least so many words."""
-    out, start, last, total = [], None, None, 0
-    for i, j in [*patience(later, earlier), (-9, -9)]:
-        if last is not None and (i, j) == (last[0] + 1, last[1] + 1):
-            total += words[i]
-        else:
-            if start is not None and total >= least:
-                out.append((start, last[0] + 1))
-            start, total = i, words[i] if i >= 0 else 0
-        last = (i, j)
+def _blocks(pairs: list[tuple[int, int]], later: list, earlier: list, words: list[int],
+            least: int) -> list[tuple[int, int]]:
+    """Line ranges of the later document around the pairs, as far as both sides go on equal, of at least so many words."""
+    out: list[tuple[int, int]] = []
+    covered: dict[int, int] = {}
+    for i, j in pairs:
+        if i < covered.get(j - i, 0):
+            continue
+        a, b, shift = i, i + 1, j - i
+        while a > 0 and a + shift > 0 and later[a - 1] == earlier[a - 1 + shift]:
+            a -= 1
+        while b < len(later) and b + shift < len(earlier) and later[b] == earlier[b + shift]:
+            b += 1
+        covered[shift] = b
+        if sum(words[a:b]) >= least:
+            out.append((a, b))
     return out
 
 
+def common_lines(later: list, earlier: list, words: list[int], least: int = BLOCK_WORDS) -> list[int]:
+    """Lines of the later document in an aligned block of at least so many words, repeated and crossed ones included.
+
+    The whole document is aligned first. Each stretch that stayed is then aligned on its own with the whole earlier
+    document, so a passage that stands crossed or more often than there meets its match. Where that finds no block, the
+    lines of the stretch are anchors, the rarest first, at each place that they have in the earlier document. All blocks
+    around an anchor are known then, so it is a wall; lines with too few words between walls are left.
+    """
+    wanted = set(later)
+    places: dict = {}
+    for j, x in enumerate(earlier):
+        if x in wanted:
+            places.setdefault(x, []).append(j)
+    pairs = set(zip(earlier, earlier[1:]))
+    wall = [x not in places for x in later]
+    joined = [False, *(x in pairs for x in zip(later, later[1:])), False]
+    gone = [False] * len(later)
+
+    def may_go(i: int) -> bool:
+        if gone[i] or wall[i]:
+            return False
+        total, a, b = words[i], i, i + 1
+        while total < least and joined[a] and not wall[a - 1]:
+            a -= 1
+            total += words[a]
+        while total < least and joined[b] and not wall[b]:
+            total += words[b]
+            b += 1
+        return total >= least
+
+    def remove(anchors: list[tuple[int, int]]) -> bool:
+        found = _blocks(anchors, later, earlier, words, least)
+        for x, y in found:
+            gone[x:y] = [True] * (y - x)
+        return bool(found)
+
+    todo = [(0, len(later))]
+    while todo:
+        a, b = todo.pop()
+        if not any(map(may_go, range(a, b))):
+            continue
+        if remove([(a + i, j) for i, j in patience(later[a:b], earlier)]):
+            start = a
+            for i in range(a, b + 1):
+                if i == b or gone[i] or wall[i]:
+                    if start < i:
+                        todo.append((start, i))
+                    start = i + 1
+            continue
+        for i in sorted(range(a, b), key=lambda i: (len(places.get(later[i], ())), i)):
+            if may_go(i):
+                remove([(i, j) for j in places[later[i]]])
+                wall[i] = True
+    return [i for i, x in enumerate(gone) if x]
+
+
 def runs(lines: list, words: list[int], least: int = BLOCK_WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start, end and key of the shortest runs of at least so many words that start or end at each line.
 
@@ -108,28 +183,6 @@ def runs(lines: list, words: list[int], least: int = BLOCK_WORDS) -> tuple[np.nd
     return start, end, mix((sums[end] - sums[start]) * undo[start])
 
 
-def shared_lines(later: list, earlier: list, words: list[int], least: int = BLOCK_WORDS) -> list[int]:
-    """Lines of the later document in any run of at least so many words that the earlier one has, anywhere and however
-    often; linear in the lines. A line that only the earlier document has ends a run, whatever its words."""
-    known = dict(zip(later, words))
-    start, end, key = runs(later, words, least)
-    there = runs(earlier, [known.get(x, least) for x in earlier], least)[2]
-    hit = np.isin(key, there)
-    edges = np.zeros(len(later) + 1, np.int64)
-    np.add.at(edges, start[hit], 1)
-    np.add.at(edges, end[hit], -1)
-    return np.flatnonzero(np.cumsum(edges[:-1])).tolist()
-
-
-def common_lines(later: list, earlier: list, words: list[int], least: int = BLOCK_WORDS) -> list[int]:
-    """Lines of the later document that go: the aligned blocks, and the shared runs where common lines are left."""
-    gone = {i for a, b in common_blocks(later, earlier, words, least) for i in range(a, b)}
-    held = set(earlier)
-    if any(x in held and i not in gone for i, x in enumerate(later)):
-        gone.update(shared_lines(later, earlier, words, least))
-    return sorted(gone)
-
-
 def _align(least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -142,16 +195,35 @@ def _align(least: int):
     return run
 
 
+def rare_runs(lines: list[tuple[int, int, int, int]], least: int = BLOCK_WORDS) -> set[tuple[int, int]]:
+    """The rarest line and the key of each shortest run of at least so many words.
+
+    ``lines`` holds place, hash, words and number of occurrences of the lines that other documents have as well; a run
+    ends where a place is missing. Of equally rare lines the smaller hash counts.
+    """
+    out: set[tuple[int, int]] = set()
+    places = [x[0] for x in lines]
+    cuts = [0, *(n for n in range(1, len(lines)) if places[n] != places[n - 1] + 1), len(lines)]
+    for a, b in zip(cuts, cuts[1:]):
+        part = lines[a:b]
+        if sum(x[2] for x in part) < least:
+            continue
+        start, end, key = runs([x[1] for x in part], [x[2] for x in part], least)
+        for i, j, k in zip(start.tolist(), end.tolist(), key.view(np.int64).tolist()):
+            out.add((min((x[3], x[1]) for x in part[i:j])[1], k))
+    return out
+
+
 def _anchors(least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = batch.select(["line_hash", "line_words"]).to_pylist()
-            keys = [np.unique(runs(r["line_hash"], r["line_words"], least)[2]) for r in rows]
+            keys = [sorted(rare_runs([tuple(x.values()) for x in lines], least))
+                    for lines in batch.column("lines").to_pylist()]
             owners = pa.array(np.repeat(np.arange(len(keys)), [len(k) for k in keys]))
+            rare, run_keys = (pa.array([x[i] for k in keys for x in k], pa.int64()) for i in (0, 1))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").take(owners), batch.column("text_key").take(owners),
-                 pa.array(np.concatenate([np.empty(0, np.uint64), *keys]).view(np.int64))],
-                names=["doc_id", "text_key", "anchor"])
+                [batch.column("doc_id").take(owners), batch.column("text_key").take(owners), rare, run_keys],
+                names=["doc_id", "text_key", "rare", "run"])
 
     return run
 
@@ -165,12 +237,12 @@ def line_words(line: Column) -> Column:
 def duplicate_lines(docs: DataFrame, least: int = BLOCK_WORDS) -> DataFrame:
     """doc_id, text_key and the positions of the lines that go, one row per document that loses lines.
 
-    The earlier document is the one with the smaller doc_id. A shortest run of ``least`` words leads a document to the
-    first document that has the run, whatever the length of its lines, so a line goes if and only if a run around it
-    stands in any earlier document. Where an id has several texts, the pair names the one with the run. A run in a
-    third of all documents costs one pair per document; of several runs that lead to the same first holder the pair is
-    aligned once. Lines are judged on the input. A line that goes stands in an earlier document, and the first holder
-    of a line never loses it, so no line vanishes everywhere.
+    The earlier document is the one with the smaller doc_id. Lines that one document has alone are left out first. In each
+    shortest run of ``least`` words among the others the rarest line leads: the document meets the first document that
+    has this line in such a run, whatever the length of its lines. Where an id has several texts, the pair names the one
+    with the run. A line in a third of all documents costs one pair per document at most; a pair is aligned once, however
+    many lines lead to it. Lines are judged on the input. A line that goes stands in an earlier document, and the first
+    holder of a line never loses it, so no line vanishes everywhere.
     """
     keyed = with_text_key(docs, F.split(F.coalesce("text", F.lit("")), "\n").alias("lines")).where("doc_id IS NOT NULL")
     counted = keyed.select(
@@ -178,11 +250,21 @@ def duplicate_lines(docs: DataFrame, least: int = BLOCK_WORDS) -> DataFrame:
         F.transform("lines", line_words).alias("line_words"))
     sequences = materialise(counted.dropDuplicates(["doc_id", "text_key"]), "line-sequences")
     kind = docs.schema["doc_id"].dataType.simpleString()
-    anchors = sequences.mapInArrow(_anchors(least), f"doc_id {kind}, text_key long, anchor long")
+    single = sequences.select("doc_id", "text_key", F.posexplode(F.arrays_zip("line_hash", "line_words"))).select(
+        "doc_id", "text_key", F.col("pos").alias("place"), F.col("col.line_hash").alias("line"),
+        F.col("col.line_words").alias("words"))
+    known = single.groupBy("line").agg(F.count(F.lit(1)).alias("times"), F.min("doc_id").alias("low"),
+                                       F.max("doc_id").alias("high")).where("low < high").select("line", "times")
+    common = single.join(known, "line").groupBy("doc_id", "text_key").agg(
+        F.array_sort(F.collect_list(F.struct("place", "line", "words", "times"))).alias("lines"))
+    anchors = common.mapInArrow(_anchors(least), f"doc_id {kind}, text_key long, rare long, run long")
+    anchors = materialise(anchors, "line-anchors")
     first = F.min(F.struct("doc_id", "text_key")).alias("first")
-    shared = anchors.groupBy("anchor").agg(first, F.max("doc_id").alias("latest")).where("first.doc_id < latest").select(
-        "anchor", F.col("first.doc_id").alias("earlier"), F.col("first.text_key").alias("earlier_key"))
-    pairs = anchors.join(shared, "anchor").where("doc_id > earlier").select(
+    leads = ["rare", "run"]
+    shared = anchors.groupBy(*leads).agg(first, F.max("doc_id").alias("latest")).where(
+        "first.doc_id < latest").select(
+        *leads, F.col("first.doc_id").alias("earlier"), F.col("first.text_key").alias("earlier_key"))
+    pairs = anchors.join(shared, leads).where("doc_id > earlier").select(
         "doc_id", "text_key", "earlier", "earlier_key").distinct()
     held = sequences.select(F.col("doc_id").alias("earlier"), F.col("text_key").alias("earlier_key"),
                             F.col("line_hash").alias("earlier_hash"))

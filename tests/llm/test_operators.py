@@ -1,9 +1,12 @@
 """Every operator against brute force and on edge cases: nulls, empty and long texts, ties, repeated rows, empty tables
 and further columns whose names clash with the operator's own."""
 
+import copy
 import random
 import re
+import tracemalloc
 from collections import Counter
+from zlib import crc32
 
 import numpy as np
 import pytest
@@ -171,8 +174,61 @@ def test_topk_ties_nulls_and_copies(spark):
 def test_patience_and_blocks():
     assert line_dedup.patience(list("abcxdef"), list("abcydef")) == [(0, 0), (1, 1), (2, 2), (4, 4), (5, 5), (6, 6)]
     assert line_dedup.patience([], ["a"]) == []
-    assert line_dedup.common_blocks(list("pabq"), list("abz"), [9, 6, 6, 9]) == [(1, 3)]
-    assert line_dedup.common_blocks(list("pabq"), list("azb"), [9, 6, 6, 9]) == []
+    # In a gap without lines that occur once on both sides, occurrences are matched in order.
+    assert line_dedup.patience(list("qaabbz"), list("paabybr")) == [(1, 1), (2, 2), (3, 3), (4, 5)]
+    assert line_dedup.common_lines(list("pabq"), list("abz"), [9, 6, 6, 9]) == [1, 2]
+    assert line_dedup.common_lines(list("pabq"), list("azb"), [9, 6, 6, 9]) == []
+
+
+def test_alignment_decides(monkeypatch):
+    """Patience diff alone settles plain copies; without any pair of aligned lines nothing goes."""
+    later = ["x", *"abcdefgh", "y", *"ijklmnop", "z"]
+    earlier = [*"abcdefgh", "q", *"ijklmnop"]
+    called = []
+    plain = line_dedup.patience
+    monkeypatch.setattr(line_dedup, "patience", lambda left, right: called.append(left) or plain(left, right))
+    assert line_dedup.common_lines(later, earlier, [2] * len(later)) == [*range(1, 9), *range(10, 18)]
+    assert called == [later]
+    monkeypatch.setattr(line_dedup, "_blocks", lambda pairs, *rest: [])
+    assert line_dedup.common_lines(later, earlier, [2] * len(later)) == []
+
+
+def shared_lines(later, earlier, words, least):
+    """Lines of the later document in any run of at least so many words that the earlier one has, by hashes of runs."""
+    known = dict(zip(later, words))
+    start, end, key = line_dedup.runs(later, words, least)
+    there = line_dedup.runs(earlier, [known.get(x, least) for x in earlier], least)[2]
+    hit = np.isin(key, there)
+    edges = np.zeros(len(later) + 1, np.int64)
+    np.add.at(edges, start[hit], 1)
+    np.add.at(edges, end[hit], -1)
+    return np.flatnonzero(np.cumsum(edges[:-1])).tolist()
+
+
+def test_common_lines_of_long_documents():
+    """Passages copied, crossed and repeated among hundreds of lines, some of them frequent; and no quadratic time."""
+    r = random.Random(6)
+    for k in (3, 20, 400):
+        words = [r.choice([0, 1, 3, 5, 12]) for _ in range(k)]
+        for _ in range(25):
+            earlier = [r.randrange(k) for _ in range(300)]
+            later = [r.randrange(k) for _ in range(200)]
+            for _ in range(8):
+                a, n = r.randrange(300), r.randrange(1, 20)
+                later[r.randrange(200) : 0] = earlier[a : a + n]
+            sizes = [words[x] for x in later]
+            assert line_dedup.common_lines(later, earlier, sizes) == shared_lines(later, earlier, sizes, 10)
+    n = 20_000
+    assert line_dedup.common_lines([1] * n, [1] * (n // 3), [4] * n) == list(range(n))
+    assert line_dedup.common_lines(list(range(n)), list(range(n))[::-1], [4] * n) == []
+
+
+def test_the_rarest_line_of_a_run_leads():
+    lines = [(0, 70, 4, 9), (1, 71, 4, 2), (2, 72, 4, 9), (4, 73, 20, 5), (6, 74, 4, 1)]
+    assert {rare for rare, _ in line_dedup.rare_runs(lines)} == {71, 73}
+    assert {rare for rare, _ in line_dedup.rare_runs([(p, h, w, 3) for p, h, w, _ in lines])} == {70, 73}
+    same = {key for _, key in line_dedup.rare_runs(lines)}
+    assert same == {key for _, key in line_dedup.rare_runs([(p + 5, *rest) for p, *rest in lines])}
 
 
 def test_line_dedup(spark, none):
@@ -374,6 +430,141 @@ def test_private_data_adds_spans_and_keeps_base(spark, docs, none):
 
 
 
+U64 = 2**64
+
+
+def plain_mix(x):
+    x ^= x >> 32
+    x = x * 0xD6E8FEB86659FD93 % U64
+    x ^= x >> 32
+    x = x * 0xD6E8FEB86659FD93 % U64
+    return x ^ (x >> 32)
+
+
+def plain_gram(data, n):
+    total = (n * 2 + 0x9E3779B97F4A7C15) % U64
+    for byte in data:
+        total = (total ^ byte) * 0x9FB21C651E98DF25 % U64
+        total ^= total >> 29
+    return plain_mix(total)
+
+
+def plain_features(text):
+    """Buckets and shares of a text, feature by feature."""
+    ws = words(text)
+    found = []
+    for w in ws:
+        marked = b"<" + w + b">"
+        hashes = [plain_mix(crc32(marked))]
+        hashes += [plain_gram(marked[i : i + n], n) for n in (3, 4, 5) for i in range(len(marked) - n + 1)]
+        found += [1 + (h >> 33) % (quality.BUCKETS - 1) for h in hashes]
+    for a, b in zip(ws, ws[1:]):
+        left, right = crc32(b"<" + a + b">"), crc32(b"<" + b + b">")
+        mixed = (left * 0x9E3779B97F4A7C15 + right) * 0xD6E8FEB86659FD93 % U64
+        found.append(quality.SAME if left == right else 1 + (mixed >> 33) % (quality.BUCKETS - 1))
+    counts = Counter(found)
+    return {b: n / len(found) for b, n in counts.items()}
+
+
+def plain_score(model, text):
+    average = np.zeros(quality.DIM)
+    for bucket, share in plain_features(text).items():
+        average += share * model.vectors[bucket]
+    z = model.layer @ average + model.bias
+    return 1 / (1 + np.exp(z[0] - z[1]))
+
+
+def random_model(seed=3):
+    r = np.random.default_rng(seed)
+    return quality.Model(r.normal(size=(quality.BUCKETS, quality.DIM)), r.normal(size=(2, quality.DIM)), r.normal(size=2))
+
+
+def test_quality_features_and_scores_against_plain_sums(monkeypatch):
+    texts = [t for t in TEXTS if len(t or "") < 4000] + ["b b b é é", "long" * 900 + " " + prose(30, 8)]
+    for text in texts:
+        buckets, shares = quality.text_features(text)
+        assert dict(zip(buckets.tolist(), shares.tolist())) == pytest.approx(plain_features(text))
+    model = random_model()
+    expected = [plain_score(model, t) for t in texts]
+    # The same with slices, pieces and a memory so small that every bound is met.
+    for small in (False, True):
+        if small:
+            for name, value in (("SLICE_WORDS", 3), ("SLICE", 64), ("PIECE_BYTES", 50), ("CACHE_WORDS", 40)):
+                monkeypatch.setattr(quality, name, value)
+        scorer = quality.Scorer(model)
+        assert scorer.scores(texts) == pytest.approx(expected, abs=1e-5)
+        assert [scorer.scores([t])[0] for t in texts] == pytest.approx(expected, abs=1e-5)
+        lists = [list(quality.word_lists(t, 50)) for t in texts]
+        assert [sum(x, []) for x in lists] == [words(t) for t in texts]
+        assert [scorer.score(x) for x in lists] == pytest.approx(expected, abs=1e-5)
+
+
+def test_quality_training_step_follows_the_gradient(monkeypatch):
+    """One step from a known model, with the slopes of the loss taken from differences."""
+    text, label, rate = prose(12, 31), 1, 0.5
+    start = random_model()
+    start.layer *= 0.1
+    monkeypatch.setattr(quality, "Model", lambda vectors, layer, bias: copy.deepcopy(start))
+    shares = plain_features(text)
+
+    def loss(model):
+        p = plain_score(model, text)
+        return -np.log(p if label else 1 - p)
+
+    def slope(change):
+        values = []
+        for step in (1e-5, -1e-5):
+            model = copy.deepcopy(start)
+            change(model, step)
+            values.append(loss(model))
+        return (values[0] - values[1]) / 2e-5
+
+    after = quality.train([text], [label], epochs=1, rate=rate)
+    for c in range(2):
+        for k in range(0, quality.DIM, 5):
+            def on_layer(model, step, c=c, k=k):
+                model.layer[c, k] += step
+            assert after.layer[c, k] == pytest.approx(start.layer[c, k] - rate * slope(on_layer), abs=1e-6)
+        def on_bias(model, step, c=c):
+            model.bias[c] += step
+        assert after.bias[c] == pytest.approx(start.bias[c] - 0.1 * rate * slope(on_bias), abs=1e-6)
+    for bucket, share in list(shares.items())[::9]:
+        def on_vector(model, step, bucket=bucket):
+            model.vectors[bucket, 2] += step
+        # The step of a vector goes by the square root of its share, the slope by the share.
+        wanted = start.vectors[bucket, 2] - rate * slope(on_vector) / np.sqrt(share)
+        assert after.vectors[bucket, 2] == pytest.approx(wanted, abs=1e-5)
+    untouched = next(b for b in range(1, quality.BUCKETS) if b not in shares)
+    assert (after.vectors[untouched] == start.vectors[untouched]).all()
+
+
+@pytest.mark.parametrize("text", [prose(1_200_000, 12), "q" * 6_000_000, "a b " * 1_500_000], ids=["words", "one", "short"])
+def test_quality_scores_very_long_texts_in_bounded_memory(text):
+    scorer = quality.Scorer(random_model())
+    tracemalloc.start()
+    score = scorer.scores([text])[0]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # Twice the text (its bytes, and one long word of it), and a bounded rest.
+    assert 0 <= score <= 1 and peak < 2.2 * len(text) + 150_000_000
+
+
+def test_quality_ties_repeats_and_clashing_columns(spark, none):
+    """Repeated rows and equal texts tie; columns named like the results pass through the filter unread."""
+    kind = "doc_id long, text string, score string, predicted string, held_out string, quality int"
+    rows = [(i, prose(20, i % 7) if i % 3 else None, "s", "p", "h", 9) for i in range(30)] * 2
+    frame = spark.createDataFrame(rows, kind)
+    labels = spark.createDataFrame([(i, i % 2, None) for i in range(30)] + [(3, 0, 1), (None, 1, 1)],
+                                   "doc_id long, quality int, toxic int")
+    got = quality.score_documents(frame, labels).collect()
+    assert len(got) == 60 and len({(r["doc_id"], r["score"]) for r in got}) == 30
+    assert len({(rows[r["doc_id"]][1], r["score"]) for r in got}) == 8
+    kept = quality.keep_good(frame, labels)
+    good = Counter(r["doc_id"] for r in got if r["predicted"] == 1)
+    assert kept.columns == frame.columns and Counter(r["doc_id"] for r in kept.collect()) == good
+    assert quality.keep_good(frame.limit(0), labels).count() == 0
+
+
 def test_quality_learns_on_held_out_documents(spark, none):
     rows = [(i, prose(40, i) if i % 3 else " ".join(w + "$$$" for w in prose(40, i).split())) for i in range(300)]
     labels = [(i, int(i % 3 > 0), 0) for i, _ in rows] + [(1, None, 0), (None, 1, 0)]
