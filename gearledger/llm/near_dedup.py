@@ -28,6 +28,9 @@ BAND_PERMUTATIONS = 4
 SMALL_BUCKET = 8
 #: Shingles of one tile of a cluster.
 TILE_SHINGLES = 1_000_000
+#: Shingles of one bucket in which shared ones are counted, and the least number of buckets.
+BUCKET_SHINGLES = 1_000_000
+LEAST_BUCKETS = 16
 _ROWS = 4096
 _BLOCK = 256
 
@@ -94,12 +97,45 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
              pa.array([s.tobytes() for s in sets], pa.binary())], names=["node", "n", "shingles"])
 
 
-def _explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for node, data in zip(batch.column("node"), batch.column("shingles").to_pylist()):
-            values = np.frombuffer(data, np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(values), node.as_py(), np.int64)), pa.array(values)], names=["node", "shingle"])
+def _bucketed(buckets: int):
+    """Shingles of every node, packed by bucket of their hash."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for node, data in zip(batch.column("node"), batch.column("shingles").to_pylist()):
+                values = np.frombuffer(data, np.uint64)
+                at = (mix(values) % np.uint64(buckets)).astype(np.int64)
+                order = np.argsort(at, kind="stable")
+                held, starts = np.unique(at[order], return_index=True)
+                parts = [x.tobytes() for x in np.split(values[order], starts[1:])] if len(held) else []
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(held), pa.array(np.full(len(held), node.as_py(), np.int64)), pa.array(parts, pa.binary())],
+                    names=["bucket", "node", "shingles"])
+
+    return run
+
+
+def _shared_in_bucket(group: pa.Table) -> pa.Table:
+    """Per node the number of its shingles in this bucket that another node has as well."""
+    sets = [np.frombuffer(x, np.uint64) for x in group.column("shingles").to_pylist()]
+    _, at, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    shared = np.bincount(owner[times[at] > 1], minlength=len(sets))
+    keep = shared > 0
+    return pa.table({"node": pa.array(group.column("node").to_numpy()[keep]), "s": pa.array(shared[keep], pa.int64())})
+
+
+def shared_shingles(sets: DataFrame) -> DataFrame:
+    """node and s, the number of its shingles that other nodes of ``sets`` have as well; nodes without any are left out.
+
+    Shingles are dealt by hash into buckets whose number grows with their total, so a bucket stays small however hot a
+    shingle is, and a row carries all shingles that a node has in a bucket.
+    """
+    total = sets.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    buckets = max(LEAST_BUCKETS, -(-total // BUCKET_SHINGLES))
+    dealt = sets.mapInArrow(_bucketed(buckets), "bucket long, node long, shingles binary")
+    counted = dealt.groupBy("bucket").applyInArrow(_shared_in_bucket, "node long, s long")
+    return counted.groupBy("node").agg(F.sum("s").alias("s"))
 
 
 def _confirm(percent: int) -> Callable:
@@ -158,9 +194,8 @@ def links_of(nodes: DataFrame, docs: DataFrame, percent: int = PERCENT) -> DataF
     sets = materialise(texts.mapInArrow(_sets, "node long, n long, shingles binary"), "sets")
 
     hot_nodes = hot.select("node").distinct()
-    own = sets.join(hot_nodes, "node", "left_semi").mapInArrow(_explode, "node long, shingle long")
-    common = own.groupBy("shingle").agg(F.count(F.lit(1)).alias("holders")).where("holders > 1").select("shingle")
-    shared = own.join(common, "shingle").groupBy("node").agg(F.count(F.lit(1)).alias("s"))
+    own = sets.join(hot_nodes, "node", "left_semi").select("node", "n", "shingles")
+    shared = shared_shingles(own)
     central = sets.select("node", "n").join(shared, "node").groupBy("node").agg(
         F.max("n").alias("n"), F.max("s").alias("s")).where(f"100 * s >= {percent} * n")
     members = materialise(hot.join(central, "node"), "hot")

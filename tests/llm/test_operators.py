@@ -148,6 +148,21 @@ def test_line_dedup_where_an_id_has_several_texts(spark):
     assert sorted((r["doc_id"], r["n_lines_removed"]) for r in out) == [(1, 0)] * 4 + [(i, 3) for i in range(2, 6)]
 
 
+@pytest.mark.parametrize("size", [1_000_000, 40])
+def test_shared_shingles_against_plain_counts(spark, monkeypatch, size):
+    monkeypatch.setattr(near_dedup, "BUCKET_SHINGLES", size)
+    r = random.Random(2)
+    sets = {i: {r.randrange(300) if r.random() < 0.5 else 1000 + 100 * i + j for j in range(r.randrange(1, 40))}
+            for i in range(50)}
+    sets[60] = {5000}
+    rows = [(i, len(x), bytearray(np.array(sorted(x), np.uint64).tobytes())) for i, x in sets.items()]
+    frame = spark.createDataFrame(rows, "node long, n long, shingles binary")
+    times = Counter(x for s in sets.values() for x in s)
+    wanted = {i: sum(times[x] > 1 for x in s) for i, s in sets.items()}
+    assert dict(map(tuple, near_dedup.shared_shingles(frame).collect())) == {i: n for i, n in wanted.items() if n}
+    assert near_dedup.shared_shingles(frame.limit(0)).collect() == []
+
+
 def test_components_of_a_chain(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 101), (7, 7)]
     got = dict(components(spark.createDataFrame(edges, "a long, b long")).collect())
