@@ -53,11 +53,18 @@ def upsert(
 
 
 def insert_if_absent(
-    target: DataFrame, updates: DataFrame, keys: Sequence[str], unique: bool = False
+    target: DataFrame, updates: DataFrame, keys: Sequence[str], unique: bool = False,
+    audit: Mapping[str, Column] | None = None,
 ) -> DataFrame:
-    """Add the rows whose key the target does not hold; existing rows stay as they are."""
+    """Add the rows whose key the target does not hold; existing rows stay as they are.
+
+    ``audit`` sets columns of the added rows, such as an insert time.
+    """
     if not unique:
         updates = one_per_key(updates, keys)
+    if audit:
+        types = dict(target.dtypes)
+        updates = updates.withColumns({c: value.cast(types[c]) for c, value in audit.items()})
     present = target.select(*keys).distinct()  # a key held by very many rows is one row here
     added = updates.join(present, list(keys), "left_anti")
     return target.unionByName(added.select(*target.columns))
@@ -74,11 +81,12 @@ def replace_groups(target: DataFrame, updates: DataFrame, columns: Sequence[str]
 
 def update_columns(
     target: DataFrame, updates: DataFrame, keys: Sequence[str], columns: Sequence[str],
-    where: Column | None = None, unique: bool = False,
+    where: Column | None = None, unique: bool = False, audit: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """Overwrite columns of the target rows that match a key and satisfy ``where``.
 
-    No rows are added. Matched rows take the new value even when it is null.
+    No rows are added. Matched rows take the new value even when it is null. ``audit`` sets further columns of the
+    matched rows, such as an update time.
     """
     if not unique:
         updates = one_per_key(updates.select(*keys, *columns), keys)
@@ -88,7 +96,8 @@ def update_columns(
         hit = hit & F.coalesce(where, F.lit(False))
     types = dict(target.dtypes)
     joined = join_folded(target, new, keys)
+    values = {c: F.col(f"new_{c}") for c in columns} | dict(audit or {})
     return joined.select(*[
-        F.when(hit, F.col(f"new_{c}").cast(types[c])).otherwise(F.col(c)).alias(c) if c in columns else F.col(c)
+        F.when(hit, values[c].cast(types[c])).otherwise(F.col(c)).alias(c) if c in values else F.col(c)
         for c in target.columns
     ])

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gearledger.functions import predicates as P
-from gearledger.functions.calendar import days_before, same_day_last_year
+from gearledger.functions.calendar import DateLike, between_days, day, days_before, same_day_last_year
 from gearledger.functions.money import round2
 from gearledger.functions.text import clean_part_number, pid
 from gearledger.operators.extremes import extreme_row, highest_per_key, lowest_per_key
@@ -111,6 +111,68 @@ def price_history(rows: DataFrame) -> DataFrame:
         round2(F.col("price_sum") / F.col("sale_times")).alias("avg_sale_price"), "sale_times")
 
 
+def day_sums(rows: DataFrame) -> DataFrame:
+    """Ledger rows: sum and number of the sales of each key and day, from which the running average is folded."""
+    return rows.groupBy(*KEYS, "deliver_time").agg(
+        F.sum("sale_price").cast("decimal(28,2)").alias("price_sum"), F.count(F.lit(1)).alias("sale_times"))
+
+
+def replace_days(ledger: DataFrame, sums: DataFrame, start: DateLike | None, end: DateLike | None) -> DataFrame:
+    """The ledger with the rows of the days from start to end replaced by those of a batch that stands for these days.
+
+    A batch that comes again, whole or corrected, replaces what it gave before instead of adding to it; a day without
+    sales in the new batch is emptied. It is a filter and a union, so nothing is shuffled.
+    """
+    days = between_days(F.col("deliver_time"), start, end)
+    return ledger.where(~days).unionByName(sums.where(days))
+
+
+def close_days(ledger: DataFrame, until: DateLike) -> DataFrame:
+    """The ledger with all days until one folded into that day, one row per key. Closed days cannot be replaced singly."""
+    closed = ledger.where(F.col("deliver_time") <= day(until)).groupBy(*KEYS).agg(
+        F.sum("price_sum").cast("decimal(28,2)").alias("price_sum"), F.sum("sale_times").alias("sale_times"))
+    return ledger.where(F.col("deliver_time") > day(until)).unionByName(
+        closed.withColumn("deliver_time", day(until)))
+
+
+def average_of_ledger(ledger: DataFrame) -> DataFrame:
+    """Mean price and number of all sales of each key."""
+    return ledger.groupBy(*KEYS).agg(
+        round2(F.sum("price_sum").cast("double") / F.sum("sale_times")).alias("avg_sale_price"),
+        F.sum("sale_times").alias("sale_times"))
+
+
+#: Columns of the lowest and of the highest price in the history.
+LOW = ("min_sale_price", "min_sale_province", "min_sale_deliver_time")
+HIGH = ("max_sale_price", "max_sale_province", "max_sale_deliver_time")
+
+
+def price_snapshot(history: DataFrame, batch: DataFrame, ledger: DataFrame, brand_map: DataFrame) -> DataFrame:
+    """The history after a batch: one aggregation of the batch, one join with the history, and the ledger's averages.
+
+    Lowest and highest prices follow the rules of ``price_min_merge`` and ``price_max_merge``; keys outside of the batch
+    keep theirs. Averages and sale counts are those of the ledger, which holds the batch already, so merging the same
+    batch again changes nothing. A brand code is looked up for the keys of the batch.
+    """
+    new = price_history(batch).select(
+        *KEYS, F.col("oe").alias("new_oe"), *[F.col(c).alias(f"new_{c}") for c in (*LOW, *HIGH)], F.lit(True).alias("in_batch"))
+    new = with_brand_code(new, brand_map).withColumnRenamed("brand_code", "new_brand_code")
+    joined = history.drop("avg_sale_price", "sale_times").join(new, KEYS, "full_outer")
+
+    def taken(names: tuple[str, str, str], better: Column) -> list[Column]:
+        expired = F.col(names[2]) < days_before(F.col(f"new_{names[2]}"), EXPIRY_DAYS)
+        take = F.coalesce(better, F.lit(False)) | F.coalesce(expired, F.lit(False))
+        return [F.when(F.col("in_batch") & (F.col(c).isNull() | take), F.col(f"new_{c}")).otherwise(F.col(c)).alias(c)
+                for c in names]
+
+    merged = joined.select(
+        *KEYS, F.when(F.col("in_batch"), F.col("new_brand_code")).otherwise(F.col("brand_code")).alias("brand_code"),
+        F.coalesce("oe", "new_oe").alias("oe"),
+        *taken(LOW, F.col(LOW[0]) > F.col(f"new_{LOW[0]}")), *taken(HIGH, F.col(HIGH[0]) <= F.col(f"new_{HIGH[0]}")))
+    return merged.join(average_of_ledger(ledger), KEYS, "left").select(
+        *KEYS, "brand_code", "oe", *LOW, *HIGH, "avg_sale_price", "sale_times")
+
+
 def order_item_enriched(rows: DataFrame, brand_map: DataFrame, list_prices: DataFrame) -> DataFrame:
     """Clean price rows with the brand code and the list price of the part."""
     coded = lookup(

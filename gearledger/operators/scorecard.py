@@ -31,16 +31,19 @@ def _channels(prefix: str, amount: Column) -> list[Column]:
     ]
 
 
-def _event_sums(
-    orders: DataFrame, bases: dict[str, str], flags: list[str], sums: dict[str, Column],
-    start: DateLike | None, end: DateLike | None,
+def order_events(
+    orders: DataFrame, bases: dict[str, str], start: DateLike | None = None, end: DateLike | None = None
 ) -> DataFrame:
+    """One row per dated event of the orders that count, with the order's columns, ``basis`` and ``stat_date``."""
+    return event_rows(orders.where(P.is_b2b()).withColumn("is_direct", P.direct()), bases, start, end)
+
+
+def _event_sums(rows: DataFrame, flags: list[str], sums: dict[str, Column]) -> DataFrame:
     """Order count ``n`` and plain sums per day, place, event kind and flag values.
 
-    This is the only step that touches every order. The many conditional figures of a
+    This is the only step that touches every event. The many conditional figures of a
     scorecard are taken afterwards from its few rows per place.
     """
-    rows = event_rows(orders.where(P.is_b2b()).withColumn("is_direct", P.direct()), bases, start, end)
     return rows.groupBy(*KEYS, "basis", *flags).agg(
         F.count("id").alias("n"), *[from_cents(F.sum(cents(c))).alias(name) for name, c in sums.items()])
 
@@ -54,14 +57,11 @@ def _by_place(sums: DataFrame, measures: list[Column]) -> DataFrame:
     return sums.groupBy(*KEYS, side).agg(*measures).drop("side")
 
 
-def _order_sums(
-    orders: DataFrame, bases: dict[str, str], start: DateLike | None, end: DateLike | None
-) -> DataFrame:
-    sums = {
+def _order_sums(events: DataFrame) -> DataFrame:
+    return _event_sums(events, FLAGS, {
         "amount": _signed("order_amount", "refund_amount"),
         "purchase": _signed("purchase_amount", "refund_purchase_amount"),
-    }
-    return _event_sums(orders, bases, FLAGS, sums, start, end)
+    })
 
 
 def _delivery_measures() -> list[Column]:
@@ -94,22 +94,22 @@ def daily_delivery_net(
     orders: DataFrame, start: DateLike | None = None, end: DateLike | None = None
 ) -> DataFrame:
     """Delivered minus refunded per day, province and city."""
-    return _by_place(_order_sums(orders, DELIVERED, start, end), _delivery_measures())
+    return _by_place(_order_sums(order_events(orders, DELIVERED, start, end)), _delivery_measures())
 
 
 def daily_paid(orders: DataFrame, start: DateLike | None = None, end: DateLike | None = None) -> DataFrame:
-    return _by_place(_order_sums(orders, PAID, start, end), _paid_measures())
+    return _by_place(_order_sums(order_events(orders, PAID, start, end)), _paid_measures())
 
 
-def daily_actual_receipts(
+def received_orders(
     track: DataFrame, orders: DataFrame, start: DateLike | None = None, end: DateLike | None = None,
     cutoff: DateLike = P.BROKER_TERM_START,
 ) -> DataFrame:
-    """Cash received per day, province and city; order rows may share an ``order_id``.
+    """Receipts of an order and day, one row for each order row: their number, their amount in cents, and the order.
 
     Receipts are folded to one row per order and day before they meet the orders, so an order with
-    very many receipts is one row in the join. The sums per order and the distinct count of orders keep
-    the partitioning of that join. Receipts on credit terms are summed apart until the order's delivery day is known.
+    very many receipts is one row in the join. Receipts on credit terms are summed apart until the order's
+    delivery day is known.
     """
     term = P.broker_term()
     received = (
@@ -127,11 +127,15 @@ def daily_actual_receipts(
         plain, on_term = (F.coalesce(f"{kind}_{name}", F.lit(0)) for kind in ("plain", "term"))
         return plain + F.when(term_counts, on_term).otherwise(0)
 
-    rows = (
+    return (
         received.join(orders.where(P.is_b2b()), F.col("iorder_id") == F.col("order_id"))
         .withColumns({"receipts": counted("n"), "amount": counted("cents"), "is_direct": P.direct()})
         .where(F.col("receipts") > 0)
     )
+
+
+def _receipt_figures(rows: DataFrame) -> DataFrame:
+    """Figures per day and place; the sums per order and the distinct count of orders share one partitioning."""
     sums = rows.groupBy("iorder_id", *KEYS, *FLAGS, "vehicle_type").agg(
         F.sum("receipts").alias("n"),
         from_cents(F.sum("amount")).alias("amount"),
@@ -151,6 +155,14 @@ def daily_actual_receipts(
     )
 
 
+def daily_actual_receipts(
+    track: DataFrame, orders: DataFrame, start: DateLike | None = None, end: DateLike | None = None,
+    cutoff: DateLike = P.BROKER_TERM_START,
+) -> DataFrame:
+    """Cash received per day, province and city; order rows may share an ``order_id``."""
+    return _receipt_figures(received_orders(track, orders, start, end, cutoff))
+
+
 def with_report_keys(rows: DataFrame) -> DataFrame:
     """Report id and month text of a daily (province, city) row."""
     return rows.withColumns({
@@ -165,19 +177,27 @@ def daily_scorecard(
 ) -> DataFrame:
     """Delivered, received and paid figures side by side; the order table is read once for the
     delivered and paid bases together."""
-    sums = _order_sums(orders, {**DELIVERED, **PAID}, start, end)
-    dated = _by_place(sums, [*_delivery_measures(), *_paid_measures()])
-    received = daily_actual_receipts(track, orders, start, end, cutoff)
-    return with_report_keys(full_outer_merge([dated, received], KEYS))
+    events = order_events(orders, {**DELIVERED, **PAID}, start, end)
+    return scorecard_of_events(events, received_orders(track, orders, start, end, cutoff))
+
+
+def scorecard_of_events(events: DataFrame, receipts: DataFrame) -> DataFrame:
+    """The daily scorecard of dated order events and received orders, wherever they come from."""
+    dated = _by_place(_order_sums(events), [*_delivery_measures(), *_paid_measures()])
+    return with_report_keys(full_outer_merge([dated, _receipt_figures(receipts)], KEYS))
 
 
 def vehicle_part_mix_net(
     orders: DataFrame, start: DateLike | None = None, end: DateLike | None = None
 ) -> DataFrame:
     """Original and aftermarket parts by vehicle kind, net of refunds."""
+    return vehicle_mix_of_events(order_events(orders, DELIVERED, start, end))
+
+
+def vehicle_mix_of_events(events: DataFrame) -> DataFrame:
+    """As ``vehicle_part_mix_net``, from dated delivery and refund events."""
     amount, oem = _signed("order_amount", "refund_amount"), _signed("oem_amount", "refund_oem_amount")
-    sums = _event_sums(
-        orders, DELIVERED, ["vehicle_type"], {"amount": amount, "oem": oem, "afm": amount - oem}, start, end)
+    sums = _event_sums(events, ["vehicle_type"], {"amount": amount, "oem": oem, "afm": amount - oem})
     forward = F.col("basis") == "delivered"
     kind = F.col("vehicle_type")
 

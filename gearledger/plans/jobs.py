@@ -10,24 +10,30 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from gearledger.functions import predicates as P
 from gearledger.operators import bonus, managers, parts, prices, scorecard, shops
+from gearledger.operators.event_log import EventLog
 from gearledger.operators.merge import insert_if_absent, upsert
 from gearledger.session import materialise
 from gearledger.sources.tables import publish
+from gearledger.sources.versions import publish_parts, read_parts
 
 Source = Callable[[str], DataFrame]
 
 
-def business_job(source: Source, date: dt.date) -> dict[str, DataFrame]:
-    """Scorecards, repeat shops and manager achievement of one day."""
+def business_job(source: Source, date: dt.date, log: EventLog | None = None) -> dict[str, DataFrame]:
+    """Scorecards, repeat shops and manager achievement of one day.
+
+    With an event log the daily scorecard reads the day's partition of it instead of all orders and receipts.
+    """
     orders, track, cities = source("orders"), source("track"), source("city_map")
     years = materialise(shops.shop_years(orders, source("core_users"), until=date))
     month = f"year = {date.year} AND month = {date.month}"
     return {
-        "daily_scorecard": scorecard.daily_scorecard(orders, track, date, date),
+        "daily_scorecard": log.daily_scorecard(date, date) if log else scorecard.daily_scorecard(
+            orders, track, date, date),
         "vehicle_scorecard": scorecard.complementary_scorecard(orders, shops.city_shop_counts(years, date), date, date),
         "shop_detail": shops.shop_detail(years, date).where(month),
         "active_shops": shops.active_shops(years, date).where(month),
@@ -65,26 +71,18 @@ def bonus_job(source: Source, date: dt.date) -> dict[str, DataFrame]:
 
 
 def price_job(source: Source, date: dt.date) -> dict[str, DataFrame]:
-    """New price-history and order-item snapshots after one day of sales."""
+    """New price-history and order-item snapshots, and the price ledger, after one day of sales.
+
+    The day replaces itself in the ledger, so the job may run again for a day, also on the history it published.
+    """
     batch = P.clean_price_rows(source("order_items"), date, date)
-    history = source("price_history")
-    merges = {
-        "min": prices.price_min_merge(history, batch), "max": prices.price_max_merge(history, batch),
-        "avg": prices.price_avg_merge(history, batch)}
-    changed = {
-        "min": ["min_sale_price", "min_sale_province", "min_sale_deliver_time"],
-        "max": ["max_sale_price", "max_sale_province", "max_sale_deliver_time"],
-        "avg": ["avg_sale_price", "sale_times"]}
-    changes = merges["min"].drop("pid")
-    for kind in ("max", "avg"):
-        changes = changes.join(merges[kind].select(*prices.KEYS, *changed[kind]), prices.KEYS)
-    brand_map = source("brand_map")
-    changes = prices.with_brand_code(changes, brand_map)
-    columns = ["brand_code", *[c for names in changed.values() for c in names]]
+    history, brand_map = source("price_history"), source("brand_map")
+    ledger = materialise(prices.replace_days(source("price_ledger"), prices.day_sums(batch), date, date), "ledger")
     items = prices.order_item_enriched(batch, brand_map, source("list_prices"))
     floor = prices.price_floor_merge(source("floor_history"), P.clean_price_rows(source("sold_parts"), date, date))
     return {
-        "price_history": upsert(history, changes, prices.KEYS, columns, unique=True),
+        "price_history": prices.price_snapshot(history, batch, ledger, brand_map),
+        "price_ledger": ledger,
         "order_items_priced": insert_if_absent(source("order_items_priced"), items, ["orderitem_id"]),
         "floor_history": upsert(
             source("floor_history"), prices.with_brand_code(floor.drop("pid"), brand_map), prices.KEYS,
@@ -123,12 +121,24 @@ STANDING = {
 }
 
 
-def publish_all(tables: Mapping[str, DataFrame], folder: str) -> None:
+def publish_all(tables: Mapping[str, DataFrame], folder: str, date: dt.date | None = None) -> None:
     """Write the finished tables of a job.
 
-    Rows of a standing table replace those of their day or month and leave the others, so days accumulate and a
-    rerun changes nothing. Other tables replace their snapshot; such a one may be computed from the old one, so it
-    goes to a folder of its own run.
+    Rows of a standing table replace those of their day or month and leave the others, so days accumulate. With a
+    ``date``, its day or month is replaced also where the job found nothing, and every table moves to its new state in
+    one step (see ``sources.versions``); read such tables with ``published``. Without one, a partition for which a
+    rerun has no row keeps its old rows. Other tables replace their snapshot; such a one may be computed from the old
+    one, so without a date it goes to a folder of its own run.
     """
     for name, table in tables.items():
-        publish(table, f"{folder}/{name}", STANDING.get(name))
+        columns = STANDING.get(name, [])
+        if date is None:
+            publish(table, f"{folder}/{name}", columns or None)
+        else:
+            known = {"stat_date": date, "year": date.year, "month": date.month}
+            publish_parts(table, f"{folder}/{name}", columns, [{c: known[c] for c in columns}])
+
+
+def published(spark: SparkSession, folder: str) -> Source:
+    """Source of the tables that ``publish_all`` wrote with a date."""
+    return lambda name: read_parts(spark, f"{folder}/{name}")

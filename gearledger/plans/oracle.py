@@ -412,15 +412,16 @@ def _fill(side: str, columns: list[str]) -> list[str]:
 
 
 # Bonus
-VIEWS["v_roster"] = """
-SELECT user_id, fr_username, name, position, province, year, month, CAST(0.7 AS DOUBLE) AS repeat_shop_factor FROM (
+VIEWS["v_staff"] = """
   SELECT s.s_suppkey AS user_id, lower(s.s_name) AS fr_username, s.s_name AS name, a.position, a.province
   FROM v_supplier s LEFT JOIN v_area a ON a.user_id = s.s_suppkey
   WHERE s.s_suppkey % 13 <> 0 AND s.pos <> '00' AND s.s_suppkey % 17 <> 0
   UNION
   SELECT s.s_suppkey, lower(s.s_name), s.s_name, '00', p.province
-  FROM v_supplier s JOIN v_region_user u ON u.user_id = s.s_suppkey JOIN v_region_province p ON p.region_id = u.region_id
-) r CROSS JOIN v_months"""
+  FROM v_supplier s JOIN v_region_user u ON u.user_id = s.s_suppkey JOIN v_region_province p ON p.region_id = u.region_id"""
+VIEWS["v_roster"] = """
+SELECT user_id, fr_username, name, position, province, year, month, CAST(0.7 AS DOUBLE) AS repeat_shop_factor
+FROM v_staff r CROSS JOIN v_months"""
 
 VIEWS["v_regular_sum"] = """
 SELECT r.user_id, r.name, r.position, r.year, r.month,
@@ -561,10 +562,19 @@ upd AS (SELECT *, row_number() OVER (PARTITION BY orderitem_id
 SELECT orderitem_id, car_brand, temp_oe, quality_type, province, sale_price, deliver_time FROM tgt
 UNION ALL SELECT orderitem_id, car_brand, temp_oe, quality_type, province, sale_price, deliver_time
 FROM upd WHERE rn = 1 AND NOT EXISTS (SELECT 1 FROM tgt WHERE tgt.orderitem_id = upd.orderitem_id)""",
-    "update_bonus_columns": """
-SELECT r.user_id, r.position, r.province, r.year, r.month, c.amount_picc AS personal_picc_amount, c.sales_class AS manager_level
-FROM v_roster r LEFT JOIN (SELECT *, '03' AS at_position FROM v_customer_manager) c
-  ON c.at_position = r.position AND c.user_id = r.user_id AND c.year = r.year AND c.month = r.month""",
+    "update_bonus_columns": f"""
+WITH picc AS (SELECT manager_id, order_amount, deliver_date, payment_date FROM v_b2b WHERE is_picc = '1' AND manager_id <> 0),
+sold AS (SELECT manager_id, year(deliver_date) AS y, month(deliver_date) AS m, SUM(order_amount) AS amount
+  FROM picc WHERE deliver_date IS NOT NULL GROUP BY 1, 2, 3),
+got AS (SELECT manager_id, year(payment_date) AS y, month(payment_date) AS m, SUM(order_amount) AS amount
+  FROM picc GROUP BY 1, 2, 3),
+rows AS MATERIALIZED (SELECT user_id, position, province, year, month, CASE WHEN position = '03' THEN user_id END AS manager
+  FROM v_staff CROSS JOIN v_months),
+full_rows AS (SELECT r.*, CAST(COALESCE(s.amount, 0) AS DECIMAL(28,2)) AS sold, COALESCE(g.amount, 0) AS got
+  FROM rows r LEFT JOIN sold s ON s.manager_id = r.manager AND s.y = r.year AND s.m = r.month
+  LEFT JOIN got g ON g.manager_id = r.manager AND g.y = r.year AND g.m = r.month)
+SELECT user_id, position, province, year, month, CASE WHEN position = '03' THEN sold END AS personal_picc_amount,
+  CASE WHEN position = '03' THEN {sales_class("position", "got")} END AS manager_level FROM full_rows""",
     "manager_scorecard": _outer(
         _outer("SELECT * FROM v_manager_net", "SELECT * FROM v_manager_actual", _GRAIN,
                _fill("a", _MANAGER_NET) + _fill("b", _MANAGER_ACTUAL)),
@@ -750,9 +760,27 @@ SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY car_brand, temp_oe, qua
   ORDER BY sale_price, deliver_time DESC, province, part_oe) AS rn FROM v_parts WHERE temp_oe <> '') r WHERE rn = 1"""
 
 
+_PLAIN_MAX_MERGE = ORACLES["price_max_merge"]
+_ALL_AVERAGES = f"""
+SELECT car_brand, temp_oe, quality_type, {ratio2("CAST(SUM(sale_price) AS DOUBLE) / COUNT(*)")} AS avg_sale_price,
+  COUNT(*) AS sale_times FROM v_clean GROUP BY 1, 2, 3"""
 for _name in ("price_floor_merge", "price_min_merge", "price_max_merge", "price_avg_merge"):
     ORACLES[_name] = f"SELECT p.*, g.code AS brand_code FROM ({ORACLES[_name]}) p LEFT JOIN v_brand_map g ON g.name = p.car_brand"
 
+ORACLES["price_snapshot"] = f"""
+SELECT k.car_brand, k.temp_oe, k.quality_type, g.code AS brand_code, COALESCE(lo.part_oe, m.oe) AS oe,
+  COALESCE(m.min_sale_price, lo.sale_price) AS min_sale_price, COALESCE(m.min_sale_province, lo.province) AS min_sale_province,
+  COALESCE(m.min_sale_deliver_time, lo.deliver_time) AS min_sale_deliver_time,
+  COALESCE(x.max_sale_price, hi.sale_price) AS max_sale_price, COALESCE(x.max_sale_province, hi.province) AS max_sale_province,
+  COALESCE(x.max_sale_deliver_time, hi.deliver_time) AS max_sale_deliver_time, k.avg_sale_price, k.sale_times
+FROM ({_ALL_AVERAGES}) k LEFT JOIN v_before_low lo USING (car_brand, temp_oe, quality_type)
+LEFT JOIN v_before_high hi USING (car_brand, temp_oe, quality_type)
+LEFT JOIN v_min_merge m USING (car_brand, temp_oe, quality_type)
+LEFT JOIN ({_PLAIN_MAX_MERGE}) x USING (car_brand, temp_oe, quality_type)
+LEFT JOIN v_brand_map g ON g.name = k.car_brand"""
+ORACLES["price_average_from_ledger"] = _ALL_AVERAGES
+ORACLES["scorecard_from_event_log"] = ORACLES["daily_scorecard"]
+
 ORACLES["manager_stats_two_days"] = ORACLES["manager_scorecard"]
 
 ORACLES["complementary_scorecard"] = "SELECT *" + _REPORT + " FROM (" + _outer(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,11 +16,12 @@ from gearledger.functions.money import GOODS_TAX, ex_tax, total_if
 from gearledger.functions.text import clean_part_number, pid, quality_group
 from gearledger.operators import bonus, managers, parts, prices, scorecard, shops
 from gearledger.operators.columns import add_price_columns
+from gearledger.operators.event_log import EventLog
 from gearledger.operators.extremes import rows_at_extreme
 from gearledger.operators.lookups import distinct_codes, id_bounds, join_inner_dim, join_left_dim, lookup
 from gearledger.operators.merge import insert_if_absent, replace_groups, update_columns, upsert
 from gearledger.operators.netting import net_full_outer
-from gearledger.session import materialise, tune
+from gearledger.session import materialise, shared_folder, tune
 from gearledger.sources import views as V
 from gearledger.sources.tables import Tables
 
@@ -29,6 +32,9 @@ REFUND_STATE_START = "1998-08-01"
 SERVICE_BONUS_START = "1998-07-01"
 EXCLUDED_SUPPLIER = 50
 PRICE_BATCH_START, LAST_DAY_BEFORE_BATCH = "2001-06-01", "2001-05-31"
+SECOND_BATCH_START, LAST_DAY_OF_FIRST_BATCH = "2001-07-01", "2001-06-30"
+# No event of the tables is later.
+LAST_EVENT_DAY = "2002-12-31"
 ITEM_TARGET_END = "1999-12-31"
 ITEM_UPDATE_START = "1999-01-01"
 PRICE_PROVINCES = ["nation_1", "nation_2"]
@@ -357,6 +363,20 @@ def daily_scorecard(t: Tables) -> DataFrame:
     return scorecard.daily_scorecard(V.orders(t), V.track(t, with_city=False), cutoff=BROKER_TERM_START)
 
 
+@query
+def scorecard_from_event_log(t: Tables) -> DataFrame:
+    """Days up to the cut from the orders; those from the cut on appended to a day-partitioned event log in two runs, the
+    second of them twice, and read from there. Refunds of orders from before the cut come with the day they fall on."""
+    orders, track = V.orders(t), V.track(t, with_city=False)
+    log = EventLog(t.spark, f"{shared_folder(t.spark)}/gearledger/event-log-{uuid.uuid4().hex}")
+    first, middle, last = (dt.date.fromisoformat(x) for x in (PRICE_BATCH_START, SECOND_BATCH_START, LAST_EVENT_DAY))
+    log.append(orders, track, first, middle - dt.timedelta(days=1), BROKER_TERM_START)
+    for _ in range(2):
+        log.append(orders, track, middle, last, BROKER_TERM_START)
+    before = scorecard.daily_scorecard(orders, track, None, LAST_DAY_BEFORE_BATCH, BROKER_TERM_START)
+    return before.unionByName(log.daily_scorecard(PRICE_BATCH_START))
+
+
 @query
 def vehicle_part_mix_net(t: Tables) -> DataFrame:
     return scorecard.vehicle_part_mix_net(V.orders(t))
@@ -564,6 +584,33 @@ def price_avg_merge(t: Tables) -> DataFrame:
     return prices.with_brand_code(merged, V.brand_map(t))
 
 
+def _price_ledger(t: Tables) -> DataFrame:
+    """Sales before the cut as closed days, then two batches, the second of them twice."""
+    before, batch = _price_history_and_batch(t)
+    early = prices.day_sums(batch.where(F.col("deliver_time") < cal.day(SECOND_BATCH_START)))
+    late = materialise(prices.day_sums(batch.where(F.col("deliver_time") >= cal.day(SECOND_BATCH_START))), "ledger")
+    ledger = prices.close_days(prices.day_sums(before), LAST_DAY_BEFORE_BATCH)
+    ledger = prices.replace_days(ledger, early, PRICE_BATCH_START, LAST_DAY_OF_FIRST_BATCH)
+    for _ in range(2):
+        ledger = prices.replace_days(ledger, late, SECOND_BATCH_START, None)
+    return ledger
+
+
+@query
+def price_average_from_ledger(t: Tables) -> DataFrame:
+    return prices.average_of_ledger(_price_ledger(t))
+
+
+@query
+def price_snapshot(t: Tables) -> DataFrame:
+    """The history before the cut merged with the batch, and that merged with the same batch again."""
+    before, batch = _price_history_and_batch(t)
+    brand_map, ledger = V.brand_map(t), materialise(_price_ledger(t), "ledger")
+    history = prices.with_brand_code(prices.price_history(before), brand_map)
+    once = materialise(prices.price_snapshot(history, batch, ledger, brand_map), "price-history")
+    return prices.price_snapshot(once, batch, ledger, brand_map)
+
+
 @query
 def order_item_enriched(t: Tables) -> DataFrame:
     return prices.order_item_enriched(_price_rows(t), V.brand_map(t), V.list_prices(t))

@@ -5,6 +5,7 @@ from collections import Counter
 
 import pytest
 
+from gearledger.functions import predicates as P
 from gearledger.operators import managers, parts, prices
 from gearledger.plans import jobs
 from gearledger.sources import views as V
@@ -29,7 +30,9 @@ def run(spark, tmp_path_factory):
         "offers": V.offers, "base_parts": V.base_parts, "local_prices": V.local_prices,
         "province_map": V.province_map,
         "price_history": lambda t: prices.with_brand_code(
-            prices.price_history(V.parts(t).where("deliver_time < '1998-03-31'")), V.brand_map(t)),
+            prices.price_history(P.clean_price_rows(V.parts(t), end="1998-03-30")), V.brand_map(t)),
+        "price_ledger": lambda t: prices.close_days(prices.day_sums(
+            P.clean_price_rows(V.parts(t), end="1998-03-30")), "1998-03-30"),
         "floor_history": lambda t: prices.with_brand_code(prices.lowest_per_key(
             V.parts(t).where("deliver_time < '1998-03-31'"), prices.KEYS, "sale_price").selectExpr(
             *prices.KEYS, "part_oe AS oe", "sale_price", "province AS sale_province", "deliver_time"), V.brand_map(t)),
@@ -76,6 +79,12 @@ def test_price_job_updates_the_snapshot(run):
         "deliver_time = '1998-03-31' AND temp_oe <> '' AND temp_oe NOT LIKE 'JY%' AND sale_price > 5").count()
     assert after.agg({"sale_times": "sum"}).first()[0] == old_sales + batch_rows
     assert after.where("brand_code IS NULL").count() == 0
+    # The same day again, on what the first run published: nothing is counted twice.
+    publish(out["price_ledger"], f"{folder}/new_ledger")
+    new = {"price_history": after, "price_ledger": spark.read.parquet(f"{folder}/new_ledger")}
+    again = jobs.price_job(lambda name: new.get(name) or source(name), DATE)
+    assert Counter(again["price_history"].collect()) == Counter(after.collect())
+    assert Counter(again["price_ledger"].collect()) == Counter(new["price_ledger"].collect())
     publish(out["floor_history"], f"{folder}/new_floor")
     floor = spark.read.parquet(f"{folder}/new_floor")
     assert floor.count() >= source("floor_history").count()
