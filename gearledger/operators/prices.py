@@ -147,6 +147,41 @@ LOW = ("min_sale_price", "min_sale_province", "min_sale_deliver_time")
 HIGH = ("max_sale_price", "max_sale_province", "max_sale_deliver_time")
 
 
+def _beside(history: DataFrame, new: DataFrame, brand_map: DataFrame) -> DataFrame:
+    """History and the figures of a batch (``new_*``) with its brand codes in one full join on the keys."""
+    coded = with_brand_code(new, brand_map)
+    renamed = coded.select(*KEYS, *[F.col(c).alias(f"new_{c}") for c in coded.columns if c not in KEYS],
+                           F.lit(True).alias("in_batch"))
+    return history.join(renamed, KEYS, "full_outer")
+
+
+def _kept() -> list[Column | str]:
+    code = F.when(F.col("in_batch"), F.col("new_brand_code")).otherwise(F.col("brand_code"))
+    return [*KEYS, code.alias("brand_code"), F.coalesce("oe", "new_oe").alias("oe")]
+
+
+def _taken(names: tuple[str, str, str], better: Column) -> list[Column]:
+    """The batch's value of each column where the stored one is missing, beaten or expired."""
+    expired = F.col(names[2]) < days_before(F.col(f"new_{names[2]}"), EXPIRY_DAYS)
+    take = F.coalesce(better, F.lit(False)) | F.coalesce(expired, F.lit(False))
+    return [F.when(F.col("in_batch") & (F.col(c).isNull() | take), F.col(f"new_{c}")).otherwise(F.col(c)).alias(c)
+            for c in names]
+
+
+def low_snapshot(history: DataFrame, batch: DataFrame, brand_map: DataFrame) -> DataFrame:
+    """The history with the lowest prices of a batch merged in, in one join on the keys; its other columns stay.
+
+    A history stored in buckets of the keys is not shuffled: only the aggregated batch moves.
+    """
+    low = lowest_per_key(batch, KEYS, "sale_price").select(
+        *KEYS, F.col("part_oe").alias("oe"), F.col("sale_price").alias(LOW[0]), F.col("province").alias(LOW[1]),
+        F.col("deliver_time").alias(LOW[2]))
+    joined = _beside(history, low, brand_map)
+    rest = [c for c in history.columns if c not in (*KEYS, "brand_code", "oe", *LOW)]
+    merged = joined.select(*_kept(), *_taken(LOW, F.col(LOW[0]) > F.col(f"new_{LOW[0]}")), *rest)
+    return merged.select(*history.columns)
+
+
 def price_snapshot(history: DataFrame, batch: DataFrame, ledger: DataFrame, brand_map: DataFrame) -> DataFrame:
     """The history after a batch: one aggregation of the batch, one join with the history, and the ledger's averages.
 
@@ -154,21 +189,10 @@ def price_snapshot(history: DataFrame, batch: DataFrame, ledger: DataFrame, bran
     keep theirs. Averages and sale counts are those of the ledger, which holds the batch already, so merging the same
     batch again changes nothing. A brand code is looked up for the keys of the batch.
     """
-    new = price_history(batch).select(
-        *KEYS, F.col("oe").alias("new_oe"), *[F.col(c).alias(f"new_{c}") for c in (*LOW, *HIGH)], F.lit(True).alias("in_batch"))
-    new = with_brand_code(new, brand_map).withColumnRenamed("brand_code", "new_brand_code")
-    joined = history.drop("avg_sale_price", "sale_times").join(new, KEYS, "full_outer")
-
-    def taken(names: tuple[str, str, str], better: Column) -> list[Column]:
-        expired = F.col(names[2]) < days_before(F.col(f"new_{names[2]}"), EXPIRY_DAYS)
-        take = F.coalesce(better, F.lit(False)) | F.coalesce(expired, F.lit(False))
-        return [F.when(F.col("in_batch") & (F.col(c).isNull() | take), F.col(f"new_{c}")).otherwise(F.col(c)).alias(c)
-                for c in names]
-
-    merged = joined.select(
-        *KEYS, F.when(F.col("in_batch"), F.col("new_brand_code")).otherwise(F.col("brand_code")).alias("brand_code"),
-        F.coalesce("oe", "new_oe").alias("oe"),
-        *taken(LOW, F.col(LOW[0]) > F.col(f"new_{LOW[0]}")), *taken(HIGH, F.col(HIGH[0]) <= F.col(f"new_{HIGH[0]}")))
+    new = price_history(batch).select(*KEYS, "oe", *LOW, *HIGH)
+    joined = _beside(history.drop("avg_sale_price", "sale_times"), new, brand_map)
+    merged = joined.select(*_kept(), *_taken(LOW, F.col(LOW[0]) > F.col(f"new_{LOW[0]}")),
+                           *_taken(HIGH, F.col(HIGH[0]) <= F.col(f"new_{HIGH[0]}")))
     return merged.join(average_of_ledger(ledger), KEYS, "left").select(
         *KEYS, "brand_code", "oe", *LOW, *HIGH, "avg_sale_price", "sale_times")
 

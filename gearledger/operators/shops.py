@@ -104,3 +104,35 @@ def shop_detail(years: DataFrame, until: DateLike | None = None) -> DataFrame:
     """Base (type 2) and repeat (type 1) shop rows in one table."""
     base = base_shops(years, until).withColumn("type", F.lit(BASE_TYPE))
     return base.unionByName(repeat_shops(years, until).withColumn("type", F.lit(REPEAT_TYPE)))
+
+
+def shop_bitmaps(shops: DataFrame) -> DataFrame:
+    """Shops per month and city as bitmaps, to be stored: one row per place, month and bucket of shop numbers.
+
+    Distinct counts of any roll-up come from these rows alone, as the bitmaps of months and places can be joined by or.
+    """
+    return shops.where("shop_id IS NOT NULL").groupBy(
+        *MONTH_KEYS, "province", "city", F.bitmap_bucket_number("shop_id").alias("bucket")
+    ).agg(F.bitmap_construct_agg(F.bitmap_bit_position("shop_id")).alias("shops"))
+
+
+def count_bitmaps(bitmaps: DataFrame, keys: list[str]) -> DataFrame:
+    """Distinct shops per keys from stored bitmaps."""
+    joined = bitmaps.groupBy(*keys, "bucket").agg(F.bitmap_or_agg("shops").alias("shops"))
+    return joined.groupBy(*keys).agg(F.sum(F.bitmap_count("shops")).alias("no_shop"))
+
+
+def year_to_date(bitmaps: DataFrame) -> DataFrame:
+    """The bitmaps again for every later month of their year, so that a month holds all shops of the year until it."""
+    return bitmaps.withColumn("month", F.explode(F.sequence("month", F.lit(12))))
+
+
+def shop_levels(bitmaps: DataFrame) -> DataFrame:
+    """Distinct shops per month and city, per month and province, and per province from the start of the year."""
+    province = [*MONTH_KEYS, "province"]
+    frames = {"city": count_bitmaps(bitmaps, [*province, "city"]), "province": count_bitmaps(bitmaps, province),
+              "year_to_date": count_bitmaps(year_to_date(bitmaps), province)}
+    rows = [df.select(F.lit(level).alias("level"), *province,
+                      (F.col("city") if level == "city" else F.lit(None).cast("string")).alias("city"), "no_shop")
+            for level, df in frames.items()]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])

@@ -533,6 +533,10 @@ _POINT = "regexp_replace(p_name || '#' || p_brand || '~+1,2', " + _OE_REGEX + ")
 ORACLES: dict[str, str] = {
     "scan_orders": f"SELECT {_ORDER_COLUMNS} FROM v_orders",
     "id_bounds": "SELECT MIN(o_orderkey) AS lower_bound, MAX(o_orderkey) AS upper_bound FROM orders",
+    "bounds_from_footers": """
+SELECT COUNT(*) AS n_rows, MIN(o_orderkey) AS min_o_orderkey, MAX(o_orderkey) AS max_o_orderkey,
+  MIN(o_custkey) AS min_o_custkey, MAX(o_custkey) AS max_o_custkey FROM orders""",
+    "orders_by_ranges": "SELECT o_orderkey, o_custkey, o_totalprice FROM orders",
     "brand_code_list": "SELECT DISTINCT code AS standard_brand_code FROM v_brand_map",
     "province_name_lookup": """
 SELECT s_suppkey, CAST(s_nationkey AS VARCHAR) AS code, COALESCE(n_name, '') AS province_name,
@@ -660,6 +664,11 @@ FROM v_rated""",
 SELECT year, month, province, city, COUNT(DISTINCT shop_id) AS no_shop FROM v_repeat_shops GROUP BY 1, 2, 3, 4""",
     "repeat_by_province": """
 SELECT year, month, province, COUNT(DISTINCT shop_id) AS no_shop FROM v_repeat_shops GROUP BY 1, 2, 3""",
+    "repeat_shops_from_bitmaps": """
+SELECT 'city' AS level, year, month, province, city, COUNT(DISTINCT shop_id) AS no_shop FROM v_repeat_shops GROUP BY ALL
+UNION ALL SELECT 'province', year, month, province, NULL, COUNT(DISTINCT shop_id) FROM v_repeat_shops GROUP BY ALL
+UNION ALL SELECT 'year_to_date', year, CAST(later AS INTEGER), province, NULL, COUNT(DISTINCT shop_id)
+FROM v_repeat_shops JOIN (SELECT unnest(range(1, 13)) AS later) m ON later >= month GROUP BY ALL""",
     "manager_delivery_net": "SELECT * FROM v_manager_net",
     "manager_actual_receipts": "SELECT * FROM v_manager_actual",
     "service_charge_by_manager": "SELECT * FROM v_service",
@@ -778,6 +787,13 @@ LEFT JOIN v_before_high hi USING (car_brand, temp_oe, quality_type)
 LEFT JOIN v_min_merge m USING (car_brand, temp_oe, quality_type)
 LEFT JOIN ({_PLAIN_MAX_MERGE}) x USING (car_brand, temp_oe, quality_type)
 LEFT JOIN v_brand_map g ON g.name = k.car_brand"""
+ORACLES["upsert_bucketed_history"] = ORACLES["upsert_price_history"]
+ORACLES["rules_in_sql"] = f"""
+SELECT id, cls AS class, {class_name("position", "cls")} AS class_name, {bonus_ratio("position", "cls")} AS ratio,
+  {selfop_ratio("cls")} AS selfop_ratio, {brokered_ratio("cls")} AS brokered_ratio,
+  {repeat_factor("repeat_rate")} AS repeat_factor, {selfop_factor("completion")} AS selfop_factor,
+  {brokered_factor("completion")} AS brokered_factor, replace(position || cls, '.', '') AS cleaned
+FROM (SELECT *, {sales_class("position", "amount")} AS cls FROM v_rated) x"""
 ORACLES["price_average_from_ledger"] = _ALL_AVERAGES
 ORACLES["scorecard_from_event_log"] = ORACLES["daily_scorecard"]
 

@@ -13,6 +13,7 @@ from gearledger.functions import calendar as cal
 from gearledger.functions import predicates as P
 from gearledger.functions import ratings as R
 from gearledger.functions.money import GOODS_TAX, ex_tax, total_if
+from gearledger.functions.sql_rules import register_rules
 from gearledger.functions.text import clean_part_number, pid, quality_group
 from gearledger.operators import bonus, managers, parts, prices, scorecard, shops
 from gearledger.operators.columns import add_price_columns
@@ -23,7 +24,8 @@ from gearledger.operators.merge import insert_if_absent, replace_groups, update_
 from gearledger.operators.netting import net_full_outer
 from gearledger.session import materialise, shared_folder, tune
 from gearledger.sources import views as V
-from gearledger.sources.tables import Tables
+from gearledger.sources.ranges import footer_bounds, read_by_ranges
+from gearledger.sources.tables import Tables, bucketed_table
 
 # Parameters of the registered queries. The tables cover 1995 to 2001, so the rule dates that
 # lie outside that span are moved into it; otherwise those rules would never apply.
@@ -67,6 +69,17 @@ def id_bounds_(t: Tables) -> DataFrame:
     return id_bounds(t.orders, "o_orderkey")
 
 
+@query
+def bounds_from_footers(t: Tables) -> DataFrame:
+    return footer_bounds(t.spark, f"{t.folder}/orders.parquet", ["o_orderkey", "o_custkey"])
+
+
+@query
+def orders_by_ranges(t: Tables) -> DataFrame:
+    """The orders read in eight ranges of about equally many rows."""
+    return read_by_ranges(t.orders.select("o_orderkey", "o_custkey", "o_totalprice"), "o_orderkey", 8)
+
+
 @query
 def brand_code_list(t: Tables) -> DataFrame:
     return distinct_codes(V.brand_map(t), "standard_brand_code")
@@ -108,6 +121,14 @@ def upsert_price_history(t: Tables) -> DataFrame:
         ["brand_code", "min_sale_price", "min_sale_province", "min_sale_deliver_time"], unique=True)
 
 
+@query
+def upsert_bucketed_history(t: Tables) -> DataFrame:
+    """As ``upsert_price_history``, on a history stored in buckets of its keys."""
+    before, batch = _price_history_and_batch(t)
+    history = prices.with_brand_code(prices.price_history(before), V.brand_map(t))
+    return prices.low_snapshot(bucketed_table(history, "price_history", prices.KEYS), batch, V.brand_map(t))
+
+
 @query
 def insert_if_absent_(t: Tables) -> DataFrame:
     columns = ["orderitem_id", "car_brand", "temp_oe", "quality_type", "province", "sale_price", "deliver_time"]
@@ -341,6 +362,18 @@ def completion_brokered_factor(t: Tables) -> DataFrame:
     return _rated(t).select("id", "completion", R.completion_brokered_factor(F.col("completion")).alias("factor"))
 
 
+@query
+def rules_in_sql(t: Tables) -> DataFrame:
+    """All nine rules called from SQL text."""
+    return register_rules(t.spark).sql("""
+        SELECT id, class, sales_class_name(position, class) AS class_name, bonus_ratio(position, class) AS ratio,
+          manager_selfop_ratio(class) AS selfop_ratio, manager_brokered_ratio(class) AS brokered_ratio,
+          repeat_shop_factor(repeat_rate) AS repeat_factor, completion_selfop_factor(completion) AS selfop_factor,
+          completion_brokered_factor(completion) AS brokered_factor,
+          clean_part_number(concat(position, '-', class, '~')) AS cleaned
+        FROM (SELECT *, sales_class(position, amount) AS class FROM {rated})""", rated=_rated(t))
+
+
 # --- scorecards --------------------------------------------------------------------------
 
 @query
@@ -433,6 +466,12 @@ def repeat_by_province(t: Tables) -> DataFrame:
     return shops.shops_by_province(shops.repeat_shops(_shop_years(t)))
 
 
+@query
+def repeat_shops_from_bitmaps(t: Tables) -> DataFrame:
+    """City, province and year-to-date counts from stored bitmaps; the orders are read for these once."""
+    return shops.shop_levels(materialise(shops.shop_bitmaps(shops.repeat_shops(_shop_years(t))), "shop-bitmaps"))
+
+
 # --- managers ----------------------------------------------------------------------------
 
 @query

@@ -9,6 +9,8 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from gearledger.sources.ranges import balanced_cuts, range_predicates
+
 # Number of parallel range reads.
 SCAN_PARTITIONS = 50
 PRICE_CENSUS_PARTITIONS = 100
@@ -51,6 +53,17 @@ def scan_table(
     return spark.read.format("jdbc").options(**options).load()
 
 
+def scan_balanced(
+    spark: SparkSession, connection: Mapping[str, str], table: str, column: str = "id",
+    partitions: int = SCAN_PARTITIONS,
+) -> DataFrame:
+    """Scan split into ranges of about equally many rows. The key column is read first, split by an even stride."""
+    keys = scan_table(spark, connection, f"(SELECT {column} FROM {table}) keys", column, partitions)
+    predicates = range_predicates(column, balanced_cuts(keys, column, partitions))
+    options = {k: v for k, v in connection.items() if k != "url"}
+    return spark.read.jdbc(connection["url"], table, predicates=predicates, properties=options)
+
+
 def write_table(df: DataFrame, connection: Mapping[str, str], table: str, mode: str = "overwrite") -> None:
     """Bulk write of a finished table, in batches instead of a statement per row."""
     options = {**connection, "dbtable": table, "batchsize": str(WRITE_BATCH), "truncate": "true"}

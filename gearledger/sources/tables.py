@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 
+from gearledger.session import shared_folder
+
 # Known schemas; a table read with one needs no job to look into its files first.
 SCHEMAS = {
     "region": "r_regionkey INT, r_name STRING",
@@ -44,3 +49,17 @@ def publish(df: DataFrame, path: str, partition_by: list[str] | None = None) ->
     if partition_by:
         writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
     writer.parquet(path)
+
+
+def bucketed_table(df: DataFrame, name: str, keys: Sequence[str], buckets: int | None = None) -> DataFrame:
+    """Store a standing table bucketed and sorted by its keys, in the catalog, and read it.
+
+    A join on exactly these keys then shuffles its other side only. There are as many buckets as the session has shuffle
+    partitions, unless said otherwise; a session with more shuffles the table again.
+    """
+    spark = df.sparkSession
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    known = f"{name}_{uuid.uuid4().hex}"
+    df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).sortBy(*keys).option(
+        "path", f"{shared_folder(spark)}/gearledger/{known}").saveAsTable(known)
+    return spark.table(known)

@@ -5,11 +5,15 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from gearledger.operators import prices, scorecard
+from gearledger.functions import ratings as R
+from gearledger.functions.sql_rules import register_rules
+from gearledger.functions.text import clean_part_number
+from gearledger.operators import prices, scorecard, shops
 from gearledger.operators.event_log import EventLog
-from gearledger.operators.merge import insert_if_absent, update_columns
+from gearledger.operators.merge import insert_if_absent, update_columns, upsert
 from gearledger.plans import jobs
-from gearledger.sources import versions
+from gearledger.sources import ranges, versions
+from gearledger.sources.tables import bucketed_table
 from tests.conftest import day, rows_of
 
 ROWS = "day date, shop string, n long"
@@ -168,3 +172,102 @@ def test_audit_columns_of_inserted_and_updated_rows(table):
         (1, "old", "a"), (2, "old", "a"), (3, "new", "job")]
     assert rows_of(update_columns(target, updates, ["k"], ["v"], audit=stamp)) == [(1, "old", "a"), (2, "new", "job")]
     assert rows_of(update_columns(target, updates, ["k"], ["v"], F.col("k") > 5, audit=stamp)) == rows_of(target)
+
+
+def test_ranges_hold_every_row_once_and_about_equally_many(spark, tmp_path):
+    # A third of the keys lies in one percent of their span; some keys are null.
+    crowded = ["SELECT id + 500000 AS id FROM range(0, 10000)", "SELECT id * 50 AS id FROM range(0, 20000)",
+               "SELECT CAST(NULL AS LONG) AS id FROM range(0, 100)"]
+    spark.sql(" UNION ALL ".join(crowded)).write.parquet(str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t"))
+    cuts = ranges.balanced_cuts(table, "id", 20)
+    counts = [table.where(p).count() for p in ranges.range_predicates("id", cuts)]
+    assert len(counts) == 20 and sum(counts) == 30100 and max(counts) < 2 * 30100 / 20
+    read = ranges.read_by_ranges(table, "id", 20)
+    assert sorted(read.collect(), key=repr) == sorted(table.collect(), key=repr)
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("GreaterThanOrEqual(id,") >= 19
+    none = table.limit(0)
+    assert ranges.balanced_cuts(none, "id", 20) == [] and ranges.read_by_ranges(none, "id", 20).count() == 0
+    assert ranges.read_by_ranges(table.where("id IS NULL"), "id", 5).count() == 100
+    assert ranges.balanced_cuts(table, "id", 1) == [] and ranges.range_predicates("id", [7]) == [
+        "id < 7 OR id IS NULL", "id >= 7"]
+    same = spark.sql("SELECT 3L AS id FROM range(50)")
+    assert ranges.read_by_ranges(same, "id", 8).count() == 50
+
+
+def test_bounds_come_from_the_footers(spark, table, tmp_path):
+    path = str(tmp_path / "t")
+    table("id long, day date, shop string", [(3, "2020-01-05", "a"), (None, None, "b"), (9, "2020-03-01", "c")]).coalesce(1).write.parquet(path)
+    bounds = ranges.footer_bounds(spark, path, ["id", "day"])
+    assert rows_of(bounds) == [(3, 3, 9, day("2020-01-05"), day("2020-03-01"))]
+    plan = bounds._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [COUNT(*), MIN(id), MAX(id), MIN(day), MAX(day)]" in plan
+    assert spark.conf.get("spark.sql.parquet.aggregatePushdown") == "false"
+
+
+def test_shops_counted_from_bitmaps(spark, table):
+    kind = "shop_id long, shop_name string, province string, city string, year int, month int"
+    rows = [(s, "n", f"p{s % 3}", f"c{s % 5}", 2020, m) for s in (1, 2, 40000, 40001, 99999, 7) for m in (2, 3, 11) if (s + m) % 2]
+    rows += [(1, "n", None, "c1", 2021, 1), (None, "n", "p1", "c1", 2020, 2), rows[0]]
+    bitmaps = shops.shop_bitmaps(table(kind, rows))
+    assert bitmaps.select("bucket").distinct().count() == 3
+    known = [r for r in rows if r[0] is not None]
+    wanted = {}
+    for s, _, p, c, y, m in known:
+        wanted.setdefault(("city", y, m, p, c), set()).add(s)
+        wanted.setdefault(("province", y, m, p, None), set()).add(s)
+        for later in range(m, 13):
+            wanted.setdefault(("year_to_date", y, later, p, None), set()).add(s)
+    assert rows_of(shops.shop_levels(bitmaps)) == sorted([(*k, len(v)) for k, v in wanted.items()], key=repr)
+    assert shops.shop_levels(bitmaps.limit(0)).count() == 0
+
+
+def test_bucketed_history_is_not_shuffled(spark, table):
+    brands = table("standard_brand_name string, standard_brand_code string", [("B", "C1")])
+    before = table(SALES, [sale(10, "2020-05-01", f"A{i}") for i in range(50)])
+    batch = table(SALES, [sale(i % 20 + 1, "2020-06-01", f"A{i}", "new") for i in range(40, 60)])
+    history = prices.with_brand_code(prices.price_history(before), brands)
+    stored = bucketed_table(history, "test_history", prices.KEYS)
+    merged = prices.low_snapshot(stored, batch, brands)
+    low = prices.with_brand_code(prices.price_min_merge(history, batch).drop("pid"), brands)
+    wanted = upsert(history, low, prices.KEYS, ["brand_code", *prices.LOW], unique=True)
+    assert rows_of(merged, *wanted.columns) == rows_of(wanted)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = prices.low_snapshot(stored, batch, brands)._jdf.queryExecution().executedPlan().toString().split("\n")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    at = next(i for i, line in enumerate(plan) if "Bucketed: true" in line)
+    depth, above = len(plan[at]) - len(plan[at].lstrip(" :+-")), []
+    for line in reversed(plan[:at]):
+        own = len(line) - len(line.lstrip(" :+-"))
+        if own < depth:
+            depth = own
+            above.append(line)
+    assert any("SortMergeJoin" in x or "ShuffledHashJoin" in x for x in above) and not any("Exchange" in x for x in above)
+    assert any("Exchange" in x for x in plan)
+
+
+def test_rules_in_sql_text(spark, table):
+    rows = [(p, a, c, r) for p in ("00", "01", "02", "03", "05", "09", None)
+            for a in ("0", "850000", "850000.01", "1500000.5", "6000000", "6000000.01", "20000000", "99999999", None)
+            for c in ("1", "1.1", "2.2", "3", "5", None) for r in ("0", "25", "34.99", "40", "99.99", "110", None)]
+    frame = table("p string, a decimal(18,2), c string, r decimal(11,2)", rows)
+    columns = {
+        "sales_class(p, a)": R.sales_class(F.col("p"), F.col("a")),
+        "sales_class_name(p, c)": R.sales_class_name(F.col("p"), F.col("c")),
+        "bonus_ratio(p, c)": R.bonus_ratio(F.col("p"), F.col("c")),
+        "manager_selfop_ratio(c)": R.manager_selfop_ratio(F.col("c")),
+        "manager_brokered_ratio(c)": R.manager_brokered_ratio(F.col("c")),
+        "repeat_shop_factor(r)": R.repeat_shop_factor(F.col("r")),
+        "completion_selfop_factor(r)": R.completion_selfop_factor(F.col("r")),
+        "completion_brokered_factor(r)": R.completion_brokered_factor(F.col("r")),
+        "clean_part_number(concat(p, r'+, -./~# \\*x', c))": clean_part_number(
+            F.concat("p", F.lit("+, -./~# \\*x"), "c")),
+    }
+    register_rules(spark)
+    for text, column in columns.items():
+        got = spark.sql(f"SELECT {text} AS v, p, a, c, r FROM {{frame}}", frame=frame)
+        assert got.exceptAll(frame.select(column.alias("v"), "p", "a", "c", "r")).count() == 0, text
+        assert got.count() == len(rows)
