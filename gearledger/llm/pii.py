@@ -9,12 +9,13 @@ of them that the patterns miss, and adds the spans it finds beside the base ones
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gearledger.llm.common import chunked
@@ -24,6 +25,9 @@ MAX_UNITS = 6
 #: Training: at most so many documents of at most so many characters, and passes over their islands.
 TRAIN_DOCS = 600
 TRAIN_CHARS = 50_000
+#: What a text shows where it may hold a kind; looser than the patterns, only to draw training texts by.
+SIGNS = {"email": "[A-Za-z0-9._%+-]@[A-Za-z0-9-]+[.][A-Za-z0-9-]", "ip": "[0-9][.][0-9]+[.][0-9]+[.][0-9]",
+         "card": "[0-9](?:[ -]?[0-9]){11}", "phone": "[+][0-9][ ().0-9-]+[0-9]"}
 EPOCHS = 6
 RATE = 0.2
 #: An added span needs at least this margin over reading its words as nothing.
@@ -315,16 +319,30 @@ def train(texts: list[str], epochs: int = EPOCHS, rate: float = RATE) -> Field:
 
 
 def added_spans(field: Field, text: str, base: list[Span]) -> list[Span]:
-    """Spans the field finds clear of every base span."""
+    """Spans the field finds clear of every base span; linear in the words and base spans."""
     out = []
+    # Base spans of different kinds may overlap: as disjoint stretches in order, one search tells what meets a range.
+    starts: list[int] = []
+    ends: list[int] = []
+    for start, end in sorted((b, e) for _, b, e in base):
+        if ends and start < ends[-1]:
+            ends[-1] = max(ends[-1], end)
+        else:
+            starts.append(start)
+            ends.append(end)
+
+    def taken(start: int, end: int) -> bool:
+        at = bisect_left(starts, end)
+        return at > 0 and ends[at - 1] > start
+
     for units in islands(text):
-        if all(any(s < e and f > b for _, b, e in base) for s, f in units):
+        if all(taken(*unit) for unit in units):
             continue
         for i, j, kind in decode(field, text, units):
             if not kind:
                 continue
             start, end = trimmed(text, units[i][0], units[j - 1][1])
-            if any(start < e and end > b for _, b, e in base):
+            if taken(start, end):
                 continue
             whole = field.weights[:, span_features(text[start:end], j - i)].sum(axis=1)
             apart = sum(field.weights[0, span_features(text[a:b], 1)].sum() for a, b in units[i:j])
@@ -334,11 +352,17 @@ def added_spans(field: Field, text: str, base: list[Span]) -> list[Span]:
 
 
 def training_texts(docs: DataFrame, limit: int = TRAIN_DOCS) -> list[str]:
-    """Texts of at most ``limit`` documents with a digit or an @, chosen by a hash of their id."""
+    """Texts of at most ``limit`` documents: an equal number for each kind whose signs they show, and as many with digits
+    or an @ only, each chosen by a hash of their id. So a rare kind is learnt however common the others are. Texts over
+    ``TRAIN_CHARS`` characters are not drawn."""
     able = docs.where(F.col("doc_id").isNotNull() & F.col("text").rlike("[0-9@]")
                       & (F.char_length("text") <= TRAIN_CHARS))
-    ids = able.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
-    rows = able.select("doc_id", "text").join(ids, "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"))
+    shown = F.array_compact(F.array(*[F.when(F.col("text").rlike(sign), F.lit(kind)) for kind, sign in SIGNS.items()]))
+    drawn = able.select("doc_id", F.explode(F.when(F.size(shown) > 0, shown).otherwise(F.array(F.lit("none")))).alias("kind"))
+    place = F.row_number().over(Window.partitionBy("kind").orderBy(F.xxhash64("doc_id"), "doc_id"))
+    ids = drawn.distinct().withColumn("place", place).where(F.col("place") <= limit // (len(SIGNS) + 1))
+    rows = able.select("doc_id", "text").join(ids.select("doc_id").distinct(), "doc_id").groupBy("doc_id").agg(
+        F.min("text").alias("text"))
     return [r["text"] for r in sorted(rows.collect())]
 
 

@@ -4,6 +4,7 @@ and further columns whose names clash with the operator's own."""
 import copy
 import random
 import re
+import time
 import tracemalloc
 from collections import Counter
 from zlib import crc32
@@ -445,6 +446,93 @@ def test_private_data_adds_spans_and_keeps_base(spark, docs, none):
 
 
 
+def segmentations(n):
+    if n == 0:
+        yield []
+    for size in range(1, min(n, pii.MAX_UNITS) + 1):
+        for kind in range(len(pii.KINDS) + 1):
+            if kind or size == 1:
+                for rest in segmentations(n - size):
+                    yield [(size, kind), *rest]
+
+
+def island_case(seed, n):
+    r = np.random.default_rng(seed)
+    k = len(pii.KINDS) + 1
+    field = pii.Field(r.normal(size=(k, len(pii.FEATURES))), r.normal(size=(k + 1, k)))
+    text = " ".join(["+1", "(275)", "555-7228", "a@b.com", "4041894974608795", "10.2.3.4"][:n])
+    units = [m.span() for m in re.finditer(r"\S+", text)]
+    scores = pii.lattice(field, n, pii.candidates(text, units))
+
+    def value(parts):
+        at, before, total = 0, k, 0.0
+        for size, kind in parts:
+            total += field.follow[before, kind] + scores[at, at + size][kind]
+            at, before = at + size, kind
+        return total
+
+    return field, text, units, {tuple(parts): value(parts) for parts in segmentations(n)}
+
+
+@pytest.mark.parametrize("n", [1, 2, 4])
+def test_decoding_finds_the_best_of_all_segmentations(n):
+    for seed in range(6):
+        field, text, units, values = island_case(seed, n)
+        best = max(values, key=values.get)
+        assert tuple((j - i, kind) for i, j, kind in pii.decode(field, text, units)) == best
+
+
+def test_field_training_follows_the_gradient(monkeypatch):
+    """The step without its shrinking, against slopes of the log-likelihood over all segmentations."""
+    field, text, units, values = island_case(1, 3)
+    gold = [(0, 2, 4), (2, 3, 0)]
+    parts = tuple((j - i, kind) for i, j, kind in gold)
+    after = copy.deepcopy(field)
+    pii.gradient_step(after, text, units, gold, 1.0)
+
+    def likelihood(changed):
+        scores = pii.lattice(changed, 3, pii.candidates(text, units))
+        k, totals = len(pii.KINDS) + 1, {}
+        for option in values:
+            at, before, total = 0, k, 0.0
+            for size, kind in option:
+                total += changed.follow[before, kind] + scores[at, at + size][kind]
+                at, before = at + size, kind
+            totals[option] = total
+        return totals[parts] - np.logaddexp.reduce(list(totals.values()))
+
+    for name in ("weights", "follow"):
+        plain = getattr(field, name)
+        step = getattr(after, name) - plain * (1 - 1e-3)
+        for at in list(np.ndindex(plain.shape))[:: max(1, plain.size // 40)]:
+            sides = []
+            for move in (1e-5, -1e-5):
+                changed = copy.deepcopy(field)
+                getattr(changed, name)[at] += move
+                sides.append(likelihood(changed))
+            assert step[at] == pytest.approx((sides[0] - sides[1]) / 2e-5, abs=1e-5)
+
+
+def test_very_many_addresses_in_one_text():
+    text = " ".join(f"user{i}@example{i % 7}.com" for i in range(200_000)) + " 275 555 7228"
+    base = pii.base_spans(text)
+    begun = time.perf_counter()
+    added = pii.added_spans(island_case(1, 1)[0], text[-3000:], pii.base_spans(text[-3000:]))
+    units = [x for x in pii.islands(text)]
+    pii.added_spans(pii.Field.empty(), " ".join(f"user{i}@example{i % 7}.com" for i in range(200_000)), base)
+    assert len(base) == 200_000 and units and time.perf_counter() - begun < 20
+    plain = [s for s in added if any(s[1] < e and s[2] > b for _, b, e in pii.base_spans(text[-3000:]))]
+    assert plain == []
+
+
+def test_training_draws_rare_kinds(spark):
+    """A kind in three of thousands of texts with digits is learnt from all the same."""
+    rows = [(i, f"in {i} there were {i * 7} of them, 10.0.{i % 200}.{i % 250}") for i in range(3000)]
+    rows += [(5000 + i, "pay 4041 8949 7460 8795 or write") for i in range(3)]
+    texts = pii.training_texts(spark.createDataFrame(rows, "doc_id long, text string"), 100)
+    assert sum("4041" in t for t in texts) == 3 and len(texts) <= 100
+
+
 U64 = 2**64
 
 
