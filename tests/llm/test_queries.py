@@ -90,3 +90,30 @@ def test_pipeline_stages(spark):
     ran = corpus_pipeline.run(spark, SMALL).toPandas()
     key = ["doc_id", "piece", "length", "ids_crc32"]
     assert sorted(map(tuple, ran[key].values.tolist())) == sorted(map(tuple, packed[key].values.tolist()))
+
+
+def test_pipeline_stages_on_odd_tables(spark):
+    """Null ids, texts and sources, empty and long texts, repeated rows, further columns, and an empty table."""
+    kind = "doc_id long, text string, lang string, source string, n_chars long, score string, passes int, kept string"
+    prose = [r.text for r in spark.read.parquet(f"{SMALL}/documents.parquet").orderBy("doc_id").limit(12).collect()]
+    texts = [None, "", " \n ", "one", *prose, prose[0], "word " * 60_000, "w" * 50_000]
+    rows = [(i, t, "en", f"s{i % 2}" if i % 3 else None, 1, "a", 2, "b") for i, t in enumerate(texts)]
+    rows += [rows[5], (None, prose[1], None, None, None, None, None, None), (None, None, None, None, None, None, None, None)]
+    for docs in (spark.createDataFrame(rows, kind), spark.createDataFrame([], kind)):
+        empty = docs.isEmpty()
+        for name, stage in corpus_pipeline.STAGES:
+            after = stage(spark, docs, SMALL)
+            found = after.collect()
+            if name != "best_fit_packing":
+                assert after.columns == docs.columns
+                assert name == "source_mixing" or len(found) <= len(rows)
+            assert bool(found) != empty
+            if not empty and name == "line_dedup":
+                assert {r.text for r in found} >= {None, "", "one"}
+            if not empty and name == "near_dedup":
+                assert sum(r.text == prose[0] for r in found) == 1 and {r.text for r in found} >= {None, ""}
+            if not empty and name == "source_mixing":
+                assert all(r.text and r.text.strip() for r in found)
+            if not empty and name == "best_fit_packing":
+                assert {r.doc_id for r in found} == {r[0] for r in rows}
+                assert max(r.offset + r.length for r in found) <= 2048
