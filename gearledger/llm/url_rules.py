@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.fpm import FPGrowth
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gearledger.session import materialise
+
 #: Fixed rules: verdict, host, path. A rule holds for its host and all subdomains, longest rule first.
 RULES = (
     ("allow", "com", "/"),
@@ -61,14 +65,52 @@ def url_tokens(url: Column, host: Column, path: Column) -> Column:
     return F.when(host == "", F.array().cast("array<string>")).otherwise(known)
 
 
+def token_bundles(labelled: DataFrame, min_support: float = MIN_SUPPORT) -> DataFrame:
+    """Frequent tokens of rows of tokens and verdict: token, bundle, verdict, support.
+
+    Tokens that stand in exactly the same rows share a bundle, named by its first token. They are told by their number
+    of rows and two sums of row hashes. The verdict is that of all rows of the token, or null where they differ. There
+    are at most ``tokens per row / min_support`` such tokens.
+    """
+    rows = labelled.groupBy("tokens", "verdict").agg(F.count(F.lit(1)).alias("n"))
+    rows = rows.select("n", "verdict", F.explode("tokens").alias("token"),
+                       F.xxhash64("tokens", "verdict").cast("decimal(20,0)").alias("one"),
+                       F.xxhash64(F.lit(1), "verdict", "tokens").cast("decimal(20,0)").alias("two"))
+    total = labelled.count()
+    stood = rows.groupBy("token").agg(
+        F.sum("n").alias("n"), F.sum("one").alias("one"), F.sum("two").alias("two"),
+        F.min("verdict").alias("verdict"), F.max("verdict").alias("other"))
+    frequent = stood.where(F.col("n") >= math.ceil(total * min_support))
+    together = Window.partitionBy("n", "one", "two")
+    return frequent.select("token", F.min("token").over(together).alias("bundle"),
+                           F.when(F.col("verdict") == F.col("other"), F.col("verdict")).alias("verdict"),
+                           (F.col("n") / total).alias("support"))
+
+
 def mine_rules(labelled: DataFrame, min_support: float = MIN_SUPPORT,
                min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
-    """rule_id, antecedent, verdict, confidence and support from rows of tokens and verdict.
+    """rule_id, antecedent, members, verdict, confidence and support from rows of tokens and verdict.
 
-    A rule goes if a part of its antecedent already gives the same verdict with at least its confidence. The
-    number of rules is bounded by the support, not by the number of rows.
+    An antecedent is a list of bundles; the entry of ``members`` at the same place lists the bundle's tokens, any of
+    which stands for it, since all have the same rows. A rule goes if a part of its antecedent already gives the same
+    verdict with at least its confidence. So a token whose rows all have one verdict is a rule alone and takes part in
+    no other, and FP-growth combines the bundles of the rest. The number of rules is bounded by the support, not by
+    the number of rows.
     """
-    items = labelled.select(F.concat("tokens", F.array(F.concat(F.lit(LABEL), F.col("verdict")))).alias("items"))
+    known = materialise(token_bundles(labelled, min_support), "url_bundles")
+    members = known.groupBy("bundle").agg(
+        F.sort_array(F.collect_list("token")).alias("tokens"), F.first("verdict").alias("verdict"),
+        F.first("support").alias("support"))
+    alone = members.where("verdict IS NOT NULL").select(
+        F.array("bundle").alias("antecedent"), "verdict", F.lit(1.0).alias("confidence"), "support")
+
+    mixed = known.where("verdict IS NULL AND token = bundle").select("token")
+    basket = F.to_json("tokens").alias("basket")
+    lists = labelled.select("tokens", basket).distinct().select("basket", F.explode("tokens").alias("token"))
+    lists = lists.join(mixed, "token").groupBy("basket").agg(F.collect_list("token").alias("bundles"))
+    label = F.array(F.concat(F.lit(LABEL), F.col("verdict")))
+    items = labelled.select("verdict", basket).join(lists, "basket", "left").select(
+        F.concat(F.coalesce("bundles", F.array().cast("array<string>")), label).alias("items"))
     model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(items)
     found = model.associationRules.where(F.col("consequent")[0].startswith(LABEL)).select(
         F.sort_array("antecedent").alias("antecedent"),
@@ -82,25 +124,35 @@ def mine_rules(labelled: DataFrame, min_support: float = MIN_SUPPORT,
     covered = pairs.groupBy("l.rule_id", "s.rule_id", F.col("l.verdict").alias("verdict")).agg(
         F.count(F.lit(1)).alias("hits"), F.first(F.size("s.antecedent")).alias("need"))
     covered = covered.where("hits = need").select(F.col("l.rule_id").alias("rule_id"), "verdict").distinct()
-    return named.join(covered, ["rule_id", "verdict"], "left_anti")
+    kept = named.join(covered, ["rule_id", "verdict"], "left_anti").select(*alone.columns).unionByName(alone)
+
+    kept = kept.withColumn("rule_id", F.concat_ws(" & ", "antecedent"))
+    slots = kept.select("rule_id", "verdict", F.posexplode("antecedent").alias("slot", "bundle"))
+    slots = slots.join(members.select("bundle", "tokens"), "bundle").groupBy("rule_id", "verdict").agg(
+        F.sort_array(F.collect_list(F.struct("slot", "tokens"))).alias("slots"))
+    return kept.join(slots, ["rule_id", "verdict"]).select(
+        "rule_id", "antecedent", F.col("slots.tokens").alias("members"), "verdict", "confidence", "support")
 
 
 def match_rules(baskets: DataFrame, rules: DataFrame) -> DataFrame:
     """The mined verdict of every distinct token list that a rule matches: basket, mined_verdict, mined_rule.
 
-    The inverted index maps a token to the rules that need it; a rule matches when all its tokens were hit. Of
-    several the most confident wins, then the best supported, the longest, block, and the first by name.
+    The inverted index maps a token to the rules that need its bundle; a rule matches when all its bundles were hit,
+    and is named by the first token that hit each. Of several the most confident wins, then the best supported, the
+    longest, block, and the first by name.
     """
-    index = rules.select("rule_id", "verdict", "confidence", "support", F.size("antecedent").alias("need"),
-                         F.explode("antecedent").alias("token"))
+    index = rules.select("rule_id", "verdict", "confidence", "support", F.size("members").alias("need"),
+                         F.posexplode("members").alias("slot", "tokens")).withColumn("token", F.explode("tokens"))
     distinct = baskets.groupBy("basket").agg(F.first("tokens").alias("tokens"))
-    hits = distinct.select("basket", F.explode("tokens").alias("token")).join(index, "token")
-    full = hits.groupBy("basket", "rule_id", "verdict", "confidence", "support", "need").agg(
-        F.count(F.lit(1)).alias("hits")).where("hits = need")
+    hits = distinct.select("basket", F.explode("tokens").alias("token")).join(index.drop("tokens"), "token")
+    rule = ["basket", "rule_id", "verdict", "confidence", "support", "need"]
+    full = hits.groupBy(*rule, "slot").agg(F.min("token").alias("token")).groupBy(*rule).agg(
+        F.sort_array(F.collect_list("token")).alias("hit")).where(F.size("hit") == F.col("need"))
     best = F.min(F.struct(-F.col("confidence"), -F.col("support"), -F.col("need"),
-                          F.when(F.col("verdict") == "block", 0).otherwise(1), "rule_id", "verdict"))
+                          F.when(F.col("verdict") == "block", 0).otherwise(1), F.concat_ws(" & ", "hit").alias("name"),
+                          "verdict"))
     return full.groupBy("basket").agg(best.alias("best")).select(
-        "basket", F.col("best.verdict").alias("mined_verdict"), F.col("best.rule_id").alias("mined_rule"))
+        "basket", F.col("best.verdict").alias("mined_verdict"), F.col("best.name").alias("mined_rule"))
 
 
 def judge_urls(pages: DataFrame, rules: tuple = RULES, min_support: float = MIN_SUPPORT,

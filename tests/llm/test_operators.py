@@ -2,6 +2,7 @@
 and further columns whose names clash with the operator's own."""
 
 import copy
+import itertools
 import random
 import re
 import time
@@ -11,6 +12,7 @@ from zlib import crc32
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from gearledger.llm import (
@@ -696,27 +698,92 @@ def test_url_parts_and_rules(spark):
     assert url_rules.judge_urls(frame.limit(0)).count() == 0
 
 
-def test_mined_rules_equal_brute_force(spark):
-    r = random.Random(2)
-    pool = ["a", "b", "c", "d", "e"]
+def minimal_rules(rows, support, confidence):
+    """All antecedents with enough support and confidence that no part of them makes needless."""
+    pool = sorted({t for tokens, _ in rows for t in tokens})
+    sets = [(set(tokens), verdict) for tokens, verdict in rows]
+    expected, level = {}, [((), sets)]
+    while level:
+        grown = [((*part, t), [(have, v) for have, v in hits if t in have])
+                 for part, hits in level for t in pool if not part or t > part[-1]]
+        level = [(part, hits) for part, hits in grown if len(hits) >= support * len(rows)]
+        for part, hits in level:
+            for verdict in ("allow", "block"):
+                n = sum(v == verdict for _, v in hits)
+                if n >= support * len(rows) and n / len(hits) >= confidence:
+                    expected[part, verdict] = (n / len(hits), n / len(rows))
+    return {k: c for k, c in expected.items() if not any(
+        set(o) < set(k[0]) and v == k[1] and d[0] >= c[0] for (o, v), d in expected.items())}
+
+
+def best_verdict(tokens, rules):
+    fits = [(-c, -s, -len(part), verdict != "block", verdict) for (part, verdict), (c, s) in rules.items()
+            if set(part) <= set(tokens)]
+    return min(fits)[-1] if fits else None
+
+
+def labelled_lists(seed):
+    r = random.Random(seed)
     rows = []
     for _ in range(200):
-        tokens = sorted(r.sample(pool, r.randint(1, 4)))
-        rows.append((tokens, "block" if "a" in tokens and "b" in tokens or "e" in tokens else "allow"))
-    frame = spark.createDataFrame(rows, "tokens array<string>, verdict string")
-    mined = {(tuple(x["antecedent"]), x["verdict"]): x["confidence"] for x in url_rules.mine_rules(frame, 0.05, 0.9).collect()}
-    expected = {}
-    for mask in range(1, 32):
-        part = tuple(t for i, t in enumerate(pool) if mask >> i & 1)
-        hits = [v for t, v in rows if set(part) <= set(t)]
-        for verdict in ("allow", "block"):
-            if hits and hits.count(verdict) >= 0.05 * len(rows) and hits.count(verdict) / len(hits) >= 0.9:
-                expected[part, verdict] = hits.count(verdict) / len(hits)
-    pruned = {k: c for k, c in expected.items() if not any(
-        set(o) < set(k[0]) and v == k[1] and d >= c for (o, v), d in expected.items())}
-    assert mined == pytest.approx(pruned)
-    baskets = spark.createDataFrame([("1", ["a", "b"]), ("2", ["z"])], "basket string, tokens array<string>")
-    got = {x["basket"]: x["mined_verdict"] for x in url_rules.match_rules(baskets, url_rules.mine_rules(frame, 0.05, 0.9)).collect()}
-    assert got == {"1": "block"}
+        tokens = set(r.sample(["a", "b", "c", "d", "e"], r.randint(1, 4)))
+        if "c" in tokens:
+            tokens |= {"c1", "c2"}  # always beside c
+        odd = r.random() < 0.03
+        rows.append((sorted(tokens), "block" if ("a" in tokens and "b" in tokens or "e" in tokens) != odd else "allow"))
+    return rows
 
 
+@pytest.mark.parametrize("seed", [2, 3])
+def test_mined_rules_equal_brute_force(spark, seed):
+    rows = labelled_lists(seed)
+    frame = spark.createDataFrame(rows, "tokens array<string>, verdict string")
+    rules = url_rules.mine_rules(frame, 0.05, 0.9)
+    mined = {}
+    for x in rules.collect():
+        for part in itertools.product(*x["members"]):
+            mined[tuple(sorted(part)), x["verdict"]] = (x["confidence"], x["support"])
+    pruned = minimal_rules(rows, 0.05, 0.9)
+    assert {k: pytest.approx(v) for k, v in pruned.items()} == mined
+    lists = [list(c) for n in range(4) for c in itertools.combinations(["a", "b", "c", "c1", "d", "e", "z"], n)]
+    baskets = spark.createDataFrame([(str(i), x) for i, x in enumerate(lists)], "basket string, tokens array<string>")
+    got = {x["basket"]: x["mined_verdict"] for x in url_rules.match_rules(baskets, rules).collect()}
+    assert got == {str(i): v for i, x in enumerate(lists) if (v := best_verdict(x, pruned))}
+
+
+def test_many_keys_of_one_site_are_one_item(spark):
+    keys = "&".join(f"k{i:02}=1" for i in range(25))
+    urls = [f"http://www.example.com/{'en' if i % 3 else 'de'}/x?{keys}" for i in range(60)]
+    urls += [f"http://h{i}.com/a{i}" for i in range(200)] + [f"http://x.net/es/{i}?k03=1" for i in range(3)]
+    urls += ["ftp://h.org/x?k07=1"] * 2 + ["http://h.org/es/x"]
+    frame = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    tokens = url_rules.url_tokens(F.col("url"), *url_rules.url_parts(F.col("url")))
+    started = time.time()
+    got = {r["page_id"]: r["verdict"] for r in url_rules.judge_urls(frame).collect()}
+    assert time.time() - started < 60
+    assert len(got) == len(urls)
+    rule = url_rules.fixed_rule(*url_rules.url_parts(F.col("url")))[1]
+    labelled = frame.select(tokens.alias("tokens"), rule.alias("verdict")).where("verdict IS NOT NULL")
+    bundles = {r["token"]: r["bundle"] for r in url_rules.token_bundles(labelled).collect()}
+    assert {bundles[f"key:k{i:02}"] for i in range(25) if i != 3} == {bundles["key:k00"]}
+
+
+def test_url_verdicts_follow_the_mined_rules(spark):
+    """Whole rows of the operator: fixed verdicts first, else the best mined rule, else allow."""
+    r = random.Random(4)
+    urls = []
+    for i in range(300):
+        host = r.choice(["a.net", "b.net", "c.com", "www.example.com", "example.com", "d.org"])
+        part = r.choice(["es", "fr", "en", "de"])
+        urls.append(f"http://{host}/{part}/{r.choice(['x', 'y', ''])}" + r.choice(["", "?k=1", "?q=2"]))
+    urls += [None, "", "no url", urls[0], urls[0]]
+    frame = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    host, path = url_rules.url_parts(F.col("url"))
+    rule, verdict = url_rules.fixed_rule(host, path)
+    seen = frame.select("page_id", rule.alias("rule"), verdict.alias("fixed"),
+                        url_rules.url_tokens(F.col("url"), host, path).alias("tokens")).collect()
+    rules = minimal_rules([(x["tokens"], x["fixed"]) for x in seen if x["fixed"]], 0.05, 0.9)
+    expected = {x["page_id"]: (x["rule"], x["fixed"] or best_verdict(x["tokens"], rules) or "allow") for x in seen}
+    got = url_rules.judge_urls(frame, min_support=0.05).collect()
+    assert {x["page_id"]: (x["rule"], x["verdict"]) for x in got} == expected
+    assert {v for _, v in expected.values()} == {"allow", "block"}
