@@ -276,30 +276,26 @@ def _named(rows: DataFrame, keys: Sequence[str], names: dict[str, str]) -> DataF
 
 
 def apply_class_updates(table: DataFrame, regular: DataFrame, parttime: DataFrame, managers: DataFrame) -> DataFrame:
-    """Amounts, ratios and classes: regular staff, then region heads running a province, then
-    customer managers."""
+    """Amounts, ratios and classes: regular staff and customer managers, then region heads running a province."""
     position = F.col("position")
     person = ["user_id", "position", *MONTH_KEYS]
-    regular_names = {
+    names = {
         "personal_picc_amount": "amount_picc", "personal_picc_actual_amount": "amount_actual_picc",
-        "married_profit_bonus_ratio": "bonus_ratio", "selfop_profit_bonus_ratio": "bonus_ratio",
-        "manager_level": "sales_class", "level_name": "sales_class_name",
-    }
-    manager_names = {
-        **regular_names,
         "married_profit_bonus_ratio": "married_bonus_ratio", "selfop_profit_bonus_ratio": "selfop_bonus_ratio",
+        "manager_level": "sales_class", "level_name": "sales_class_name",
     }
+    # Their positions differ, so one join serves both; regular staff have one ratio for either column.
+    both = F.col("bonus_ratio")
+    staff = regular.where(position.isin(*R.REGULAR_POSITIONS)).withColumns(
+        {"married_bonus_ratio": both, "selfop_bonus_ratio": both})
+    staff = _named(staff, person, names).unionByName(
+        _named(managers.where(position == R.CUSTOMER_MANAGER), person, names))
     place = ["user_id", "province", *MONTH_KEYS]
     parttime_names = {c: "bonus_ratio" for c in ("married_profit_bonus_ratio", "selfop_profit_bonus_ratio")}
-    table = update_columns(
-        table, _named(regular, person, regular_names), person, list(regular_names),
-        position.isin(*R.REGULAR_POSITIONS))
-    table = update_columns(
+    table = update_columns(table, staff, person, list(names))
+    return update_columns(
         table, _named(parttime, place, parttime_names), place, list(parttime_names),
         position == R.REGION_HEAD)
-    return update_columns(
-        table, _named(managers, person, manager_names), person, list(manager_names),
-        position == R.CUSTOMER_MANAGER)
 
 
 _FACTOR_NAMES = {
@@ -307,8 +303,6 @@ _FACTOR_NAMES = {
     "selfop_profit_factor": "selfop_factor", "married_profit_factor": "married_factor",
     "repeat_shop_factor": "repeat_shop_factor",
 }
-_COMPLETION_NAMES = {
-    c: _FACTOR_NAMES[c] for c in ("picc_selfop_completion", "selfop_profit_factor", "married_profit_factor")}
 _REPEAT_NAMES = {"this_repeat_rate": "repeat_ratio", "repeat_shop_factor": "repeat_shop_factor"}
 
 
@@ -320,12 +314,15 @@ def apply_factor_updates(
     place = ["province", *MONTH_KEYS]
     head = ["user_id", "province", *MONTH_KEYS]
     person = ["user_id", *MONTH_KEYS]
-    table = update_columns(
-        table, _named(provinces, place, _FACTOR_NAMES), place, list(_FACTOR_NAMES),
-        position.isin(*R.PROVINCE_POSITIONS), unique=True)
-    table = update_columns(
-        table, _named(provinces, place, _COMPLETION_NAMES), place, list(_COMPLETION_NAMES),
-        position == R.CUSTOMER_MANAGER, unique=True)
+    # One join by province. Customer managers take the completion from it and keep their own repeat columns.
+    own = position == R.CUSTOMER_MANAGER
+    named = _named(provinces, place, {f"province_{c}": name for c, name in _FACTOR_NAMES.items()})
+    joined = join_folded(table, named.withColumn("in_province", F.lit(True)), place)
+    of_province = F.coalesce("in_province", F.lit(False)) & position.isin(*R.PROVINCE_POSITIONS, R.CUSTOMER_MANAGER)
+    table = joined.select(*[
+        F.when(of_province & ~own if c in _REPEAT_NAMES else of_province,
+               F.col(f"province_{c}").cast(kind)).otherwise(F.col(c)).alias(c) if c in _FACTOR_NAMES else F.col(c)
+        for c, kind in table.dtypes])
     table = update_columns(table, _named(regions, head, _FACTOR_NAMES), head, list(_FACTOR_NAMES))
     by_user = manager_repeat.withColumnRenamed("manager_id", "user_id")
     return update_columns(

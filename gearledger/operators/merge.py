@@ -54,18 +54,26 @@ def upsert(
 
 def insert_if_absent(
     target: DataFrame, updates: DataFrame, keys: Sequence[str], unique: bool = False,
-    audit: Mapping[str, Column] | None = None,
+    audit: Mapping[str, Column] | None = None, small_batch: bool = False,
 ) -> DataFrame:
     """Add the rows whose key the target does not hold; existing rows stay as they are.
 
-    ``audit`` sets columns of the added rows, such as an insert time.
+    ``audit`` sets columns of the added rows, such as an insert time. With ``small_batch`` the target's keys first meet
+    those of the updates in a semi join. Spark then puts a Bloom filter of the updates' keys on the scan of the target
+    if the join shuffles, the target's files are over, and the filtered updates' files under, the sizes that
+    ``spark.sql.optimizer.runtime.bloomFilter.*`` names; its bits are bounded there too. So of a large standing table
+    only keys that may stand in the batch are shuffled. The result is the same either way.
     """
+    batch_keys = updates.select(*keys)
     if not unique:
         updates = one_per_key(updates, keys)
     if audit:
         types = dict(target.dtypes)
         updates = updates.withColumns({c: value.cast(types[c]) for c, value in audit.items()})
-    present = target.select(*keys).distinct()  # a key held by very many rows is one row here
+    held = target.select(*keys)
+    if small_batch:
+        held = held.join(batch_keys, list(keys), "left_semi")
+    present = held.distinct()  # a key held by very many rows is one row here
     added = updates.join(present, list(keys), "left_anti")
     return target.unionByName(added.select(*target.columns))
 

@@ -788,6 +788,7 @@ LEFT JOIN v_min_merge m USING (car_brand, temp_oe, quality_type)
 LEFT JOIN ({_PLAIN_MAX_MERGE}) x USING (car_brand, temp_oe, quality_type)
 LEFT JOIN v_brand_map g ON g.name = k.car_brand"""
 ORACLES["upsert_bucketed_history"] = ORACLES["upsert_price_history"]
+ORACLES["insert_small_batch"] = ORACLES["insert_if_absent"]
 ORACLES["rules_in_sql"] = f"""
 SELECT id, cls AS class, {class_name("position", "cls")} AS class_name, {bonus_ratio("position", "cls")} AS ratio,
   {selfop_ratio("cls")} AS selfop_ratio, {brokered_ratio("cls")} AS brokered_ratio,

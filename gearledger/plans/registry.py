@@ -129,12 +129,20 @@ def upsert_bucketed_history(t: Tables) -> DataFrame:
     return prices.low_snapshot(bucketed_table(history, "price_history", prices.KEYS), batch, V.brand_map(t))
 
 
-@query
-def insert_if_absent_(t: Tables) -> DataFrame:
+def _items_and_updates(t: Tables) -> tuple[DataFrame, DataFrame]:
     columns = ["orderitem_id", "car_brand", "temp_oe", "quality_type", "province", "sale_price", "deliver_time"]
     target = P.clean_price_rows(V.parts(t), end=ITEM_TARGET_END).select(*columns)
-    updates = P.clean_price_rows(V.parts(t), ITEM_UPDATE_START).select(*columns)
-    return insert_if_absent(target, updates, ["orderitem_id"])
+    return target, P.clean_price_rows(V.parts(t), ITEM_UPDATE_START).select(*columns)
+
+
+@query
+def insert_if_absent_(t: Tables) -> DataFrame:
+    return insert_if_absent(*_items_and_updates(t), ["orderitem_id"])
+
+
+@query
+def insert_small_batch(t: Tables) -> DataFrame:
+    return insert_if_absent(*_items_and_updates(t), ["orderitem_id"], small_batch=True)
 
 
 @query

@@ -124,6 +124,39 @@ def test_insert_if_absent_keeps_existing_rows(table):
     assert rows_of(insert_if_absent(once, updates, ["k"])) == rows_of(once)
 
 
+def test_small_batch_inserts_the_same(table):
+    kind = "k long, v string"
+    target = table(kind, [(1, "old"), (1, "old2"), (None, "n"), (5, "o")])
+    for rows in ([(1, "new"), (2, "b"), (2, "a"), (None, "m"), (5, None), (6, None)], []):
+        updates = table(kind, rows)
+        assert rows_of(insert_if_absent(target, updates, ["k"], small_batch=True)) == rows_of(
+            insert_if_absent(target, updates, ["k"]))
+        assert rows_of(insert_if_absent(target.limit(0), updates, ["k"], small_batch=True)) == rows_of(
+            insert_if_absent(target.limit(0), updates, ["k"]))
+
+
+def test_small_batch_filters_the_scan_of_the_target(spark, tmp_path):
+    rows = spark.range(20_000).select(F.col("id").alias("k"), (F.col("id") % 40).alias("day"), F.lit("v").alias("v"))
+    rows.write.parquet(str(tmp_path / "t"))
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    target, updates = stored.where("day < 38"), stored.where("day = 39 OR day = 1")
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0"}
+    before = {key: spark.conf.get(key) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        merged = insert_if_absent(target, updates, ["k"], small_batch=True)
+        plan = merged._jdf.queryExecution().optimizedPlan().toString()
+        lines = plan.split("\n")
+        filters = [x for x in lines if "might_contain" in x]
+        assert len(filters) == 1 and "< 38" in filters[0]
+        assert merged.count() == target.count() + stored.where("day = 39").count()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
 def test_update_columns_needs_key_and_condition(table):
     target = table("k long, pos string, v long, w long", [(1, "a", 0, 0), (1, "b", 0, 0), (2, "a", 0, 0), (3, None, 0, 0)])
     updates = table("k long, v long", [(1, 5), (3, 6), (4, 7), (1, 4)])
