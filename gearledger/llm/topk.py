@@ -10,6 +10,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gearledger.session import materialise
+
 TILE_ROWS = 4096
 QUERY_ROWS = 512
 #: Tiles whose lists one task of the first merge level brings together.
@@ -110,7 +112,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int, id_column: str = "vec_
     a query's id the smallest vector is the query. Scores beyond a long stay at its end. Empty tables give no rows.
 
     Candidates and queries are packed into dense tiles where they are read; only every pair of a query block and a
-    candidate tile is joined, and each gives k rows per query. A rank window per branch and one over the branches
+    candidate tile is joined, and each gives k rows per query. The blocks are written first, so their size is known
+    where Spark chooses between a broadcast and pairs of partitions, and no pair packs them again. A rank window per branch and one over the branches
     merge them; Spark prunes to k rows per query before each exchange.
     """
     both = F.col(id_column).isNotNull() & usable(F.col(vector_column))
@@ -119,7 +122,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int, id_column: str = "vec_
     asked = asked.groupBy("id").agg(F.min("cells").alias("cells"))
     tiles = rows.mapInArrow(_pack(TILE_ROWS, ("id", "cells")), _TILE)
     blocks = asked.mapInArrow(_pack(QUERY_ROWS, ("id", "cells")), _TILE)
-    blocks = blocks.select(*[F.col(c).alias(f"q_{c}") for c in ("n", "dim", "ids", "cells")])
+    blocks = materialise(blocks, "query_blocks").select(
+        *[F.col(c).alias(f"q_{c}") for c in ("n", "dim", "ids", "cells")])
     partial = tiles.crossJoin(blocks).mapInArrow(
         _partial(k), "query_id long, vec_id long, score long, branch long")
     best = [F.col("score").desc(), F.col("vec_id").asc()]
