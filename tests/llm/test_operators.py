@@ -189,6 +189,24 @@ def test_topk_ties_nulls_and_copies(spark):
     assert topk.top_k(frame.limit(0), frame.limit(0), 10).count() == 0
 
 
+def test_topk_blocks_are_packed_once_beyond_the_broadcast_limit(spark):
+    r = np.random.default_rng(8)
+    frame = spark.createDataFrame([(i, [float(x) for x in r.normal(size=4)]) for i in range(400)],
+                                  "vec_id long, embedding array<double>").repartition(4)
+    queries = frame.where("vec_id % 50 = 0")
+    expected = {tuple(x) for x in topk.top_k(frame, queries, 10).collect()}
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        found = topk.top_k(frame, queries, 10)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        # One packing of the candidates and one of the pairs; the query blocks are read.
+        assert "CartesianProduct" in plan and plan.count("MapInArrow") == 2 and "query_blocks-" in plan
+        assert {tuple(x) for x in found.collect()} == expected and len(expected) == 80
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
 def test_patience_and_blocks():
     assert line_dedup.patience(list("abcxdef"), list("abcydef")) == [(0, 0), (1, 1), (2, 2), (4, 4), (5, 5), (6, 6)]
     assert line_dedup.patience([], ["a"]) == []
