@@ -21,7 +21,7 @@ from gearledger.llm.common import chunked
 from gearledger.session import materialise
 
 SEQUENCE = 2048
-#: Pieces of one group; a group costs at most one underfull sequence more than packing everything together.
+#: Pieces of one group. Groups are packed alone, so each ends with underfull sequences of its own.
 GROUP_PIECES = 16_384
 #: Exchanges tried per underfull bin of a group before the search ends.
 EFFORT = 6
