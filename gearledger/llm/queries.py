@@ -201,7 +201,7 @@ def _choose(values: tuple) -> str:
 
 OP8_SQL = rf"""
 WITH d AS (SELECT doc_id, source, CAST(len({WORDS}) AS BIGINT) AS size,
-             md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS k FROM documents),
+             md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, ''))) AS k FROM documents),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
 n AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) AS rank FROM s),
 c AS (SELECT source, source_size, 3 * source_size AS cap, {_choose(mixing.WEIGHTS)} AS weight,

@@ -375,12 +375,55 @@ def test_mixing(docs, none):
     assert mixing.mix_report(none).count() == 0 and mixing.curriculum(none).count() == 0
 
 
+def test_mixing_places_rows_without_id_and_repeated_ids_one_after_the_other(spark):
+    rows = [(i if i % 3 else None, f"t{i} " * (i % 7), "ab"[i % 2]) for i in range(300)]
+    rows += [(1, f"u{i} x", "a") for i in range(50)] + [(7, "same words here", "b")] * 20 + [(None, "one", None)]
+    rows += [(1, "u3 x", "b"), (None, None, "a"), (None, "", "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    got = mixing.place(docs, "text").collect()
+    assert sorted(map(repr, ((r.doc_id, r.carry_text) for r in got))) == sorted(repr(r[:2]) for r in rows)
+    for source in ("=a", "=b", ""):
+        mine = sorted((r.start, r["size"]) for r in got if r.source_key == source)
+        ends = [0, *(start + size for start, size in mine)]
+        assert [start for start, _ in mine] == ends[:-1]
+        assert {r.source_size for r in got if r.source_key == source} == {ends[-1]}
+    # Neither rows without an id nor rows that share one meet in a bucket.
+    assert len({r.place_key[:mixing.BUCKET_DIGITS] for r in got if r.doc_id is None}) > 50
+    assert len({r.place_key[:mixing.BUCKET_DIGITS] for r in got if r.doc_id == 1}) > 40
+
+
 def test_targets_stop_at_three_times_the_size(spark):
     rows = [("a", 10), ("b", 1000), ("c", 5), (None, 0)]
     got = {r["source"]: r["target"] for r in mixing.source_targets(spark.createDataFrame(rows, "source string, size long")).collect()}
     assert got == {"a": 30.0, "b": 970.0, "c": 15.0, None: 0.0}
 
 
+def test_packing_in_order(spark, docs, none, tmp_path):
+    """Groups of consecutive documents of the files in order, against the order and the pieces known beforehand."""
+    r = random.Random(4)
+    rows = [(i if i % 9 else None, prose(r.randrange(0, 700), i) if i % 5 else ["", None, "long words " * 6000][i % 3])
+            for i in range(90)]
+    path = str(tmp_path / "ordered")
+    # Nine files of ten documents each, in the order of the rows.
+    spark.sparkContext.parallelize(rows, 9).toDF("doc_id long, text string").write.parquet(path)
+    plain = packing.pack(spark.read.parquet(path)).toPandas()
+    key = ["doc_id", "piece", "start", "length", "ids_crc32"]
+    for frame in (spark.read.parquet(path), spark.createDataFrame(spark.sparkContext.parallelize(rows, 9),
+                                                                "doc_id long, text string")):
+        got = packing.pack_in_order(frame, group_docs=16).toPandas()
+        assert list(got.columns) == list(plain.columns)
+        assert Counter(map(repr, got[key].values.tolist())) == Counter(map(repr, plain[key].values.tolist()))
+        group = got.sequence_id // 2 ** (packing.PIECE_BITS + packing.PLACE_BITS + 1)
+        known = got.doc_id.notna()
+        assert (group[known] == got.doc_id[known] // 16).all()
+        for _, part in got.groupby("sequence_id"):
+            part = part.sort_values("offset")
+            assert part.offset.tolist() == [0, *part.length.cumsum().tolist()[:-1]] and part.length.sum() <= 2048
+        assert (got[got.piece > 0].length == 2048).all() and (got.piece > 0).sum() > 20
+    assert packing.pack_in_order(none).count() == 0
+    assert packing.pack_in_order(docs).count() == packing.pack(docs).count()
+
+
 def test_packing_round_trip(docs, none):
     from tokenizers import Tokenizer
 
