@@ -8,13 +8,13 @@ two for one) that increase the sum of squared fills, until bins run empty or no
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gearledger.llm.common import chunked
@@ -93,10 +93,12 @@ def cut(ids: bytes, limit: int = SEQUENCE) -> list[tuple[int, int, int]]:
              crc32(ids[4 * (max(0, end - limit) if end > first else 0) : 4 * end])) for end in ends]
 
 
-def pieces(docs: DataFrame, files: tuple[str, str, str] | None = None, limit: int = SEQUENCE) -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32 and salt (a running number of the task) of every document."""
+def pieces(docs: DataFrame, files: tuple[str, str, str] | None = None, limit: int = SEQUENCE, *carry: str) -> DataFrame:
+    """doc_id, the carried columns, piece, start, length, ids_crc32 and salt (a running number of the task) of every
+    document."""
     files = files or tokenizer_files()
-    kind = docs.schema["doc_id"].dataType.simpleString()
+    kept = ["doc_id", *carry]
+    kinds = ", ".join(f"{c} {docs.schema[c].dataType.simpleString()}" for c in kept)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, number = _tokens(*files), 0
@@ -110,13 +112,14 @@ def pieces(docs: DataFrame, files: tuple[str, str, str] | None = None, limit: in
             columns = [np.array(x, np.int64) for x in zip(*rows)] if rows else [np.empty(0, np.int64)] * 4
             salt = np.arange(number, number + len(rows))
             number += len(rows)
+            own = pa.array(owners, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").take(pa.array(owners, pa.int64())), pa.array(columns[0].astype(np.int32)),
+                [*(batch.column(c).take(own) for c in kept), pa.array(columns[0].astype(np.int32)),
                  pa.array(columns[1]), pa.array(columns[2]), pa.array(columns[3]), pa.array(salt)],
-                names=["doc_id", "piece", "start", "length", "ids_crc32", "salt"])
+                names=[*kept, "piece", "start", "length", "ids_crc32", "salt"])
 
-    return docs.select("doc_id", "text").mapInArrow(
-        run, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, salt long")
+    return docs.select("text", *kept).mapInArrow(
+        run, f"{kinds}, piece int, start long, length long, ids_crc32 long, salt long")
 
 
 def best_fit(lengths: np.ndarray, limit: int) -> np.ndarray:
@@ -234,6 +237,34 @@ def pack_lengths(lengths: np.ndarray, limit: int = SEQUENCE, effort: int = EFFOR
     return np.unique(search.bins, return_inverse=True)[1].astype(np.int64)
 
 
+PACKED = ("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+def _filled(order: list[str], limit: int, effort: int, shift: int) -> Callable[[pa.Table], pa.Table]:
+    """Packs the pieces of one ``pack_group``, read in the given order; the group is the number's part above the shift."""
+
+    def run(group: pa.Table) -> pa.Table:
+        rows = group.sort_by([(c, "ascending") for c in order])
+        lengths = rows.column("length").to_numpy().astype(np.int64)
+        number = int(rows.column("pack_group")[0].as_py())
+        bins = pack_lengths(lengths, limit, effort)
+        by_bin = np.argsort(bins, kind="stable")
+        before = np.cumsum(lengths[by_bin]) - lengths[by_bin]
+        first = np.searchsorted(bins[by_bin], np.arange(bins.max() + 1))
+        offsets = np.empty(len(bins), np.int64)
+        offsets[by_bin] = before - before[first][bins[by_bin]]
+        return rows.append_column("sequence_id", pa.array(bins + (number << shift))).append_column(
+            "offset", pa.array(offsets)).select(list(PACKED))
+
+    return run
+
+
+def _packed(dealt: DataFrame, run: Callable[[pa.Table], pa.Table]) -> DataFrame:
+    kind = dealt.schema["doc_id"].dataType.simpleString()
+    return dealt.groupBy("pack_group").applyInArrow(
+        run, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
+
+
 def pack(docs: DataFrame, files: tuple[str, str, str] | None = None, limit: int = SEQUENCE,
          group_pieces: int = GROUP_PIECES, effort: int = EFFORT) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id and offset of every piece of every document.
@@ -247,20 +278,41 @@ def pack(docs: DataFrame, files: tuple[str, str, str] | None = None, limit: int
     groups = max(1, -(-cut_pieces.count() // group_pieces))
     dealt = cut_pieces.withColumn("pack_group", F.pmod(
         F.xxhash64("doc_id", "piece", "ids_crc32", "salt"), F.lit(groups)))
+    return _packed(dealt, _filled(["doc_id", "piece", "ids_crc32", "salt"], limit, effort, 32))
 
-    def run(group: pa.Table) -> pa.Table:
-        order = group.sort_by([(c, "ascending") for c in ("doc_id", "piece", "ids_crc32", "salt")])
-        lengths = order.column("length").to_numpy().astype(np.int64)
-        number = int(order.column("pack_group")[0].as_py())
-        bins = pack_lengths(lengths, limit, effort)
-        by_bin = np.argsort(bins, kind="stable")
-        before = np.cumsum(lengths[by_bin]) - lengths[by_bin]
-        first = np.searchsorted(bins[by_bin], np.arange(bins.max() + 1))
-        offsets = np.empty(len(bins), np.int64)
-        offsets[by_bin] = before - before[first][bins[by_bin]]
-        return order.drop_columns(["salt", "pack_group"]).append_column(
-            "sequence_id", pa.array(bins + (number << 32))).append_column("offset", pa.array(offsets))
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return dealt.groupBy("pack_group").applyInArrow(
-        run, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
+#: Bits of a piece number, and of a document's place in its group of ``GROUP_PIECES``.
+PIECE_BITS, PLACE_BITS = 20, 14
+
+
+def file_order(docs: DataFrame, *columns: str) -> DataFrame:
+    """The columns of documents read from files, with ``file`` and ``row`` (the row's number in its file, from 0).
+
+    A frame that no file holds is written to the shared folder first, which keeps its order.
+    """
+    read = docs if docs.inputFiles() else materialise(docs.select(*columns), "ordered")
+    meta = read.metadataColumn("_metadata")
+    return read.select(*columns, meta["file_path"].alias("file"), meta["row_index"].alias("row"))
+
+
+def pack_in_order(docs: DataFrame, files: tuple[str, str, str] | None = None, limit: int = SEQUENCE,
+                  group_docs: int = GROUP_PIECES, effort: int = EFFORT) -> DataFrame:
+    """The columns of ``pack``, for documents whose files are in training order: sequence numbers follow that order.
+
+    A group holds ``group_docs`` (at most 2 ** ``PLACE_BITS``) consecutive documents, and all sequences of a group come
+    before those of the next. Only the first piece of a document may be shorter than a sequence, so only first pieces are
+    packed; every further one is a sequence of its own, numbered without a shuffle. Files are ordered by name, as Spark
+    numbers them; the window over them holds one row per file. Odd rows are treated as by ``pack``.
+    """
+    cut_pieces = materialise(pieces(file_order(docs, "doc_id", "text"), files, limit, "file", "row"), "pieces")
+    ordered = Window.orderBy(F.char_length("file"), "file").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = cut_pieces.groupBy("file").agg((F.max("row") + 1).alias("rows"))
+    before = sizes.select("file", F.coalesce(F.sum("rows").over(ordered), F.lit(0)).alias("before"))
+    placed = cut_pieces.join(before, "file").withColumn("place", F.col("before") + F.col("row")).withColumn(
+        "pack_group", F.floor(F.col("place") / group_docs).cast("long"))
+    shift = PIECE_BITS + PLACE_BITS + 1
+    own = (F.shiftleft("pack_group", shift) + F.lit(1 << (shift - 1))
+           + F.shiftleft(F.pmod("place", F.lit(group_docs)), PIECE_BITS) + F.col("piece"))
+    whole = placed.where("piece > 0").withColumn("sequence_id", own).withColumn("offset", F.lit(0).cast("long"))
+    first = placed.where("piece = 0").drop("file", "row", "before", "salt")
+    return _packed(first, _filled(["place"], limit, effort, shift)).union(whole.select(*PACKED))
