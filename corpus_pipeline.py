@@ -13,7 +13,7 @@ from gearledger.llm.common import table
 from gearledger.llm.line_dedup import drop_duplicate_lines
 from gearledger.llm.mixing import curriculum
 from gearledger.llm.near_dedup import drop_near_duplicates
-from gearledger.llm.packing import pack
+from gearledger.llm.packing import pack_in_order
 from gearledger.llm.quality import keep_good
 from gearledger.session import materialise
 
@@ -55,20 +55,21 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents in training order; a document stands as often as its source's target takes it.
 
-    Null and empty texts have no words and are never taken. Null sources are one source; null ids sort as the empty text;
-    repeated rows are documents of their own. Further columns pass, whatever their names. An empty table gives an empty
-    result.
+    Null and empty texts have no words and are never taken. Null sources are one source; rows without an id stand at
+    their text's place; repeated rows are documents of their own. Further columns pass, whatever their names. An empty
+    table gives an empty result.
     """
     return curriculum(docs).select(docs.columns)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents with their places in training sequences; the order of the documents is given up.
+    """Pieces of the documents with their places in training sequences, whose numbers follow the training order.
 
+    The order is that of the files of docs: sequences of a group of consecutive documents come before those of the next.
     Null and empty texts are one piece of the closing id alone; longer texts than a sequence are cut into several. Null
     ids stay null, repeated rows are packed each, further columns are left out. An empty table gives an empty result.
     """
-    return pack(docs)
+    return pack_in_order(docs)
 
 
 STAGES = [
