@@ -2,7 +2,7 @@
 
 The tree is fitted on a bounded sample; every row is put into a leaf. A query walks the tree with a priority queue of
 the branches it passed by, nearest centre first, and so meets the leaves in an order of its own. How many of them it
-visits is widened until the neighbours of calibration rows, known by brute force, are found.
+visits is widened until the neighbours of some of the queries, known by brute force, are found.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ LEAF_ROWS = 256
 SAMPLE_PER_LEAF = 32
 BRANCHES = 8
 ROUNDS = 12
-#: Rows whose neighbours are looked up by brute force, and the share of those neighbours that the visits must find.
+#: Queries whose neighbours are looked up by brute force, and the share of those neighbours that the visits must find.
 CALIBRATION_ROWS = 256
 RECALL = 0.97
 #: Candidates and queries of one cell of the search (on average), and queries of one matrix product.
@@ -201,36 +201,40 @@ def _with_visits(asked: DataFrame, tree: Tree, dim: int, visits: int, counts: np
 
 
 def calibrated_visits(held: DataFrame, tree: Tree, dim: int, k: int, recall: float,
-                      rows: int = CALIBRATION_ROWS) -> tuple[int, float]:
+                      rows: int = CALIBRATION_ROWS, asked: DataFrame | None = None) -> tuple[int, float]:
     """How many leaves to visit, and the share of the calibration rows' k nearest rows that so many visits find.
 
-    The calibration rows are at most so many, chosen by a hash; their neighbours are found by brute force over all rows.
-    Leaves are visited one more at a time until the share is reached.
+    The calibration rows are at most so many queries of ``asked`` (id and cells), chosen by a hash, for queries may lie
+    quite unlike the rows at large; without ``asked`` the rows themselves ask. Their neighbours are found by brute force
+    over all rows. Leaves are visited one more at a time until the share is reached.
     """
-    chosen = held.select("cells", F.col("ids")[0].alias("own")).orderBy(F.xxhash64("own", "cells"), "own").limit(rows)
-    sample = chosen.toArrow()
-    own = sample.column("own").to_numpy()
-    asked = dense(sample.column("cells").combine_chunks(), dim)
+    if asked is None:
+        asked = held.select(F.col("ids")[0].alias("id"), "cells")
+    sample = asked.select("cells", "id").orderBy(F.xxhash64("id", "cells"), "id").limit(rows).toArrow()
+    own = sample.column("id").to_numpy()
+    wanted = dense(sample.column("cells").combine_chunks(), dim)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             leaf = batch.column("leaf").to_numpy(zero_copy_only=False)
-            first = batch.column("own").to_numpy(zero_copy_only=False)
-            found = nearest_of(asked, dense(batch.column("cells"), dim), k + 1)
+            # One more than k, because the row's own class may hold the row alone.
+            found = nearest_of(wanted, dense(batch.column("cells"), dim), k + 1)
             row = np.repeat(np.arange(len(found)), [len(p) for p, _ in found])
-            at = np.concatenate([p for p, _ in found])
-            score = np.concatenate([x for _, x in found])
-            other = first[at] != own[row]
-            yield pa.RecordBatch.from_arrays([pa.array(x[other]) for x in (row, first[at], leaf[at], score)],
-                                             names=["row", "first", "leaf", "score"])
-
-    place = F.row_number().over(Window.partitionBy("row").orderBy(F.col("score").desc(), "first"))
-    pairs = held.select(F.col("ids")[0].alias("own"), "cells", "leaf").mapInArrow(
-        run, "row long, first long, leaf long, score double")
+            at = np.concatenate([p for p, _ in found]) if found else np.zeros(0, np.int64)
+            score = np.concatenate([x for _, x in found]) if found else np.zeros(0)
+            ids = batch.column("ids").take(pa.array(at))
+            each = np.repeat(np.arange(len(at)), pc.list_value_length(ids).to_numpy(zero_copy_only=False))
+            vec = ids.flatten().to_numpy(zero_copy_only=False)
+            other = vec != own[row[each]]
+            yield pa.RecordBatch.from_arrays([pa.array(x[other]) for x in (row[each], vec, leaf[at[each]], score[each])],
+                                             names=["row", "vec", "leaf", "score"])
+
+    place = F.row_number().over(Window.partitionBy("row").orderBy(F.col("score").desc(), "vec"))
+    pairs = held.select("ids", "cells", "leaf").mapInArrow(run, "row long, vec long, leaf long, score double")
     truth = pairs.withColumn("place", place).where(F.col("place") <= k).select("row", "leaf").collect()
     if not truth:
         return tree.leaves, 1.0
-    turn = [{leaf: n for n, leaf in enumerate(tree.visits(unit, tree.leaves), 1)} for unit in _units(asked)]
+    turn = [{leaf: n for n, leaf in enumerate(tree.visits(unit, tree.leaves), 1)} for unit in _units(wanted)]
     found_at = np.bincount([turn[r["row"]][r["leaf"]] for r in truth], minlength=tree.leaves + 1)
     share = np.cumsum(found_at) / len(truth)
     visits = max(1, int(np.argmax(share >= min(recall, 1.0))))
@@ -271,7 +275,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int, recall: float = RECA
     Other columns are not read. A query gets k rows whenever so many other ids stand in the table.
 
     Equal vectors are one class with its k + 1 smallest ids, which are all that can be among the k nearest of any query,
-    so a vector that stands very often costs as much as a single one. Candidates and queries of a leaf are dealt into
+    so a vector that stands very often costs as much as a single one. The number of visits is fitted on the queries, so
+    queries unlike the other rows get their neighbours too. Candidates and queries of a leaf are dealt into
     cells of bounded size, and each cell gives k + 1 classes per query. The sample, the leaf counts and the calibration
     rows are all that passes the driver; all are bounded by the parameters above.
     """
@@ -287,23 +292,29 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int, recall: float = RECA
     leaves = max(1, min(n // leaf_rows, sample.num_rows // SAMPLE_PER_LEAF))
     tree = fit_tree(_units(dense(sample.column("cells").combine_chunks(), dim)), leaves)
     held = materialise(_with_leaf(classes, tree, dim), "ann-leaves")
-    visits, _ = calibrated_visits(held, tree, dim, k, recall)
+    asked = materialise(
+        _vectors(queries, id_column, vector_column).groupBy("id").agg(F.min("cells").alias("cells")), "ann-queries")
+    visits, _ = calibrated_visits(held, tree, dim, k, recall, asked=asked)
     counts = np.zeros(tree.leaves, np.int64)
     for leaf, count in held.groupBy("leaf").count().collect():
         counts[leaf] = count
-    asked = _vectors(queries, id_column, vector_column).groupBy("id").agg(F.min("cells").alias("cells"))
     asked = materialise(_with_visits(asked, tree, dim, visits, counts, k + 1), "ann-visits")
     visitors = dict(asked.select(F.explode("leaves").alias("leaf")).groupBy("leaf").count().collect())
     # One row per leaf, and their number is bounded by the sample.
     cuts = F.broadcast(spark.createDataFrame(
         [(i, -(-int(c) // cell_rows), -(-visitors.get(i, 0) // cell_rows)) for i, c in enumerate(counts) if c],
-        "leaf long, held_cuts int, asked_cuts int"))
+        "leaf long, held_cuts long, asked_cuts long"))
 
     def dealt(frame: DataFrame, own: str, other: str, key: str) -> DataFrame:
-        """Rows with the part of their own side and every part of the other one."""
+        """Rows with the part of their own side and every part of the other one.
+
+        Both parts are longs on both sides: a cogroup takes its keys as they come, and equal numbers of two types are
+        hashed to different tasks, where their groups never meet.
+        """
         cut = frame.join(cuts, "leaf").where(F.col(f"{other}_cuts") > 0)
         return cut.withColumn(f"{own}_part", F.expr(f"pmod(xxhash64({key}), {own}_cuts)")).withColumn(
-            f"{other}_part", F.explode(F.sequence(F.lit(0), F.col(f"{other}_cuts") - 1))).drop("held_cuts", "asked_cuts")
+            f"{other}_part", F.explode(F.sequence(F.lit(0).cast("long"), F.col(f"{other}_cuts") - 1))
+        ).drop("held_cuts", "asked_cuts")
 
     cell = ["leaf", "held_part", "asked_part"]
     questions = dealt(asked.select("id", "cells", F.explode("leaves").alias("leaf")), "asked", "held", "id")

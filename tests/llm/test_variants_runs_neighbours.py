@@ -320,3 +320,34 @@ def test_no_query_goes_short_when_leaves_are_small(spark):
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     found = kmeans_tree.nearest(frame, frame, 40, recall=0.01, leaf_rows=10)
     assert found.count() == 300 * 40
+
+
+def test_neighbours_are_found_over_many_partitions(spark):
+    rng = np.random.default_rng(8)
+    rows = list(enumerate(rng.normal(size=(2000, 8)).tolist()))
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    old = {c: spark.conf.get(c) for c in ("spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.shuffle.partitions")}
+    try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        spark.conf.set("spark.sql.shuffle.partitions", "23")
+        found = kmeans_tree.nearest(frame, frame.where("vec_id % 50 = 0"), 5, leaf_rows=100, cell_rows=64).collect()
+    finally:
+        for c, value in old.items():
+            spark.conf.set(c, value)
+    truth = cosines(rows, range(0, 2000, 50))
+    hits = {(r.query_id, r.vec_id) for r in found}
+    assert len(found) == 200
+    assert sum((q, i) in hits for q, near in truth.items() for _, i in near[:5]) >= 0.9 * 200
+
+
+def test_queries_unlike_the_other_rows_find_their_neighbours(spark):
+    rng = np.random.default_rng(9)
+    centres = rng.normal(size=(20, 16))
+    cells = centres[rng.integers(0, 20, 4000)] + 0.02 * rng.normal(size=(4000, 16))
+    cells[::50] = rng.normal(size=(80, 16))
+    rows = list(enumerate(cells.tolist()))
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = kmeans_tree.nearest(frame, frame.where("vec_id % 50 = 0"), 5, leaf_rows=40).collect()
+    truth = cosines(rows, range(0, 4000, 50))
+    hits = {(r.query_id, r.vec_id) for r in found}
+    assert sum((q, i) in hits for q, near in truth.items() for _, i in near[:5]) >= 0.9 * 400
