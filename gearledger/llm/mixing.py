@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gearledger.llm.common import words_of
+from gearledger.session import materialise
 
 #: Weights of the sources in code-point order, repeating.
 WEIGHTS = (1, 2, 3)
@@ -111,6 +112,15 @@ def _pass_position(number: Column | int) -> Column:
     return position(F.least(share, F.lit(1.0)), F.col("slope"))
 
 
+def _in_training_order(placed: DataFrame, *columns: Column) -> DataFrame:
+    """One row per taken occurrence: the columns, ``mix_pass``, ``mix_position`` and ``mix_key``, range-sorted by position."""
+    spread = placed.where("passes > 0").withColumn(
+        "pass", F.explode(F.sequence(F.lit(0).cast("long"), F.col("passes") - 1)))
+    out = spread.select(*columns, F.col("pass").alias("mix_pass"), _pass_position(F.col("pass")).alias("mix_position"),
+                        F.col("place_key").alias("mix_key"))
+    return out.repartitionByRange("mix_position", "mix_key").sortWithinPartitions("mix_position", "mix_key")
+
+
 def curriculum(docs: DataFrame, **options) -> DataFrame:
     """The taken documents in training order: the columns of docs, ``mix_pass`` (from 0) and ``mix_position``.
 
@@ -118,17 +128,23 @@ def curriculum(docs: DataFrame, **options) -> DataFrame:
     range-partitioned and sorted by position, so files written from the result are in training order.
     """
     columns = [c for c in docs.columns if c not in ("mix_pass", "mix_position")]
-    placed = place(docs, *columns, **options).where("passes > 0")
-    spread = placed.withColumn("pass", F.explode(F.sequence(F.lit(0).cast("long"), F.col("passes") - 1)))
-    out = spread.select(*[F.col(f"carry_{c}").alias(c) for c in columns], F.col("pass").alias("mix_pass"),
-                        _pass_position(F.col("pass")).alias("mix_position"), F.col("place_key").alias("mix_key"))
-    ordered = out.repartitionByRange("mix_position", "mix_key").sortWithinPartitions("mix_position", "mix_key")
-    return ordered.drop("mix_key")
+    placed = place(docs, *columns, **options)
+    return _in_training_order(placed, *[F.col(f"carry_{c}").alias(c) for c in columns]).drop("mix_key")
 
 
 def mix_report(docs: DataFrame, **options) -> DataFrame:
-    """Per document: doc_id, size, source_size, target, taken words, and the step (millionths) of its first position."""
-    placed = place(docs, **options)
-    first = F.floor(_pass_position(0) * 1_000_000).cast("long")
-    return placed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("passes")).alias("taken"),
-                         F.when(F.col("passes") > 0, first).alias("first_step"))
+    """Per document: doc_id, size, source_size, target, taken words, and the step (millionths) of its first position.
+
+    The taken occurrences are written in training order, without their texts, and what is taken of a document is read
+    from there: the words of its occurrences, and the first of their positions. A taken document has words, so its
+    source and its start there name it, repeated rows too.
+    """
+    placed = materialise(place(docs, **options), "mix-places")
+    ordered = materialise(
+        _in_training_order(placed, F.col("source_key"), F.col("start"), F.col("size")), "mix-order")
+    taken = ordered.groupBy("source_key", "start").agg(
+        F.sum("size").alias("taken"), F.floor(F.min("mix_position") * 1_000_000).cast("long").alias("first_step"))
+    own = F.when(F.col("size") > 0, F.col("start"))
+    found = placed.withColumn("start", own).join(taken, ["source_key", "start"], "left")
+    return found.select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken"),
+                        "first_step")

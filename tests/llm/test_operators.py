@@ -375,6 +375,19 @@ def test_mixing(docs, none):
     assert mixing.mix_report(none).count() == 0 and mixing.curriculum(none).count() == 0
 
 
+def test_mix_report_reads_the_training_order(spark, docs, monkeypatch):
+    def last_half_only(placed, *columns):
+        return in_order(placed, *columns).where("mix_position >= 0.5")
+
+    in_order, whole = mixing._in_training_order, mixing.mix_report(docs).collect()
+    order = [(r["doc_id"], r["mix_position"]) for r in mixing.curriculum(docs).collect()]
+    assert order and sum(r["taken"] // r["size"] for r in whole if r["size"]) == len(order)
+    monkeypatch.setattr(mixing, "_in_training_order", last_half_only)
+    late = mixing.mix_report(docs).collect()
+    assert len(late) == len(whole) and all(r["first_step"] is None or r["first_step"] >= 500_000 for r in late)
+    assert sum(r["taken"] // r["size"] for r in late if r["size"]) == sum(x >= 0.5 for _, x in order)
+
+
 def test_mixing_places_rows_without_id_and_repeated_ids_one_after_the_other(spark):
     rows = [(i if i % 3 else None, f"t{i} " * (i % 7), "ab"[i % 2]) for i in range(300)]
     rows += [(1, f"u{i} x", "a") for i in range(50)] + [(7, "same words here", "b")] * 20 + [(None, "one", None)]
