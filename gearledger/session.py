@@ -10,6 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 PLAN_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Shuffles start finely cut and are brought together again by their measured bytes, so what one task holds
+    # follows the advisory size and not the share of the whole table that a fixed number of partitions gives it.
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "1000",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # A join on a hot key is split even when the next aggregation reuses its partitioning;
     # the extra exchange then carries partial aggregates only.

@@ -67,3 +67,17 @@ def test_jdbc_options_do_not_touch_the_callers():
     assert connection == {"url": "jdbc:x", "user": "u"}
     assert (options["lowerBound"], options["upperBound"], options["numPartitions"]) == ("1", "900", "50")
     assert "MIN(id)" in jdbc.bounds_query("t", "id")
+
+
+def test_tasks_of_a_join_follow_its_bytes(spark):
+    settings = {"spark.sql.shuffle.partitions": "2", "spark.sql.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256k"}
+    old = {c: spark.conf.get(c) for c in settings}
+    try:
+        for c, value in settings.items():
+            spark.conf.set(c, value)
+        left = spark.range(100_000).selectExpr("id AS k", "sha2(CAST(id AS STRING), 256) AS v")
+        assert left.join(left.withColumnRenamed("v", "w"), "k").rdd.getNumPartitions() > 2
+    finally:
+        for c, value in old.items():
+            spark.conf.set(c, value)
